@@ -63,7 +63,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: st
         words = table(LowerWordPieces, path)
         for b in batches:
             texts = [x or "" for x in b.column(b.schema.names.index(text)).to_pylist()]
-            got = [np.frombuffer(x, "<u4").astype(np.int32) for x in words.encode(texts)]
+            got = [np.frombuffer(x, "<u4").astype(np.int32) for at in range(0, len(texts), 256) for x in words.encode(texts[at : at + 256])]
             offsets = np.cumsum([0, *map(len, got)]).astype(np.int32)
             flat = np.concatenate(got) if got else np.array([], np.int32)
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
@@ -79,7 +79,7 @@ def op10_bpe(spark, sf_dir: str, path: str | None = None) -> DataFrame:
         words, decode = table(LowerWordPieces, path), _decoder(path)
         for b in batches:
             out = [[], [], []]
-            for data in words.encode([x or "" for x in b.column(1).to_pylist()]):
+            for data in (x for at in range(0, b.num_rows, 256) for x in words.encode(b.column(1).slice(at, 256).to_pylist())):
                 ids = np.frombuffer(data, "<u4")
                 out[0].append(len(ids))
                 out[1].append(hashlib.sha256(data).hexdigest())

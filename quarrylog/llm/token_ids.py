@@ -117,8 +117,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         total = 0
         for b in batches:
             texts = b.column(1).to_pylist()
-            for at in range(0, len(texts), 64):
-                for name, data in zip(b.column(0)[at : at + 64].to_pylist(), pieces.encode(texts[at : at + 64]), strict=True):
+            for at in range(0, len(texts), 256):
+                for name, data in zip(b.column(0)[at : at + 256].to_pylist(), pieces.encode(texts[at : at + 256]), strict=True):
                     held += (data, end)
                     sizes.append(len(data) // 4 + 1)
                     names.append(name)

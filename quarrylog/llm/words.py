@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are kept as little-endian 32-bit words, which this machine doesn't have")
 
 #: Pieces a worker keeps; beyond, the table starts anew. It bounds memory, not results.
 TABLE_LIMIT = 400_000
@@ -32,34 +35,22 @@ class PieceTable(dict):
         self.special = re.compile("|".join(specials)) if specials else None
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def add(self, pieces: set[str]) -> None:
-        if len(self) + len(pieces) > TABLE_LIMIT:
-            self.clear()
-        new = [p for p in pieces if p not in self]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.update(zip(part, self.whole(part), strict=True))
+        out = []
+        for at in range(0, len(texts), 20_000):
+            out += [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as the library gives them with add_special_tokens=False."""
-        out: list[bytes] = []
-        for text in texts:
-            pieces = self.cut(text)
-            if pieces is None:
-                out += self.whole([text])
-                continue
-            try:
-                out.append(b"".join(map(self.__getitem__, pieces)))
-            except KeyError:
-                need = set(pieces)
-                if len(need) > TABLE_LIMIT:
-                    out += self.whole([text])
-                    continue
-                self.add(need if len(self) + len(need) > TABLE_LIMIT else need.difference(self))
-                out.append(b"".join(map(self.__getitem__, pieces)))
-        return out
+        """Ids of each text, as the library gives them with add_special_tokens=False. `texts` is one bounded batch."""
+        cuts = [self.cut(t) for t in texts]
+        need = {p for c in cuts if c for p in c if p not in self}
+        if len(self) + len(need) > TABLE_LIMIT:
+            self.clear()
+            need = set().union(*[c for c in cuts if c])
+        self.update(zip(need, self.whole(list(need)), strict=True))
+        unsure = [t for t, c in zip(texts, cuts, strict=True) if c is None]
+        whole = iter(self.whole(unsure))
+        return [next(whole) if c is None else b"".join(map(self.__getitem__, c)) for c in cuts]
 
     def cut(self, text: str) -> list[str] | None:
         """Pieces that encode alone as in the text; None if that isn't sure."""
