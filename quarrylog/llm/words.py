@@ -18,7 +18,7 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit words, which this machine doesn't have")
 
 #: Pieces a worker keeps; beyond, the table starts anew. It bounds memory, not results.
-TABLE_LIMIT = 400_000
+TABLE_LIMIT = 1_000_000
 
 
 class PieceTable(dict):
@@ -60,17 +60,22 @@ class PieceTable(dict):
 class ByteLevelPieces(PieceTable):
     """For byte-level BPE whose splitting rule puts one leading space to the word behind it.
 
-    Cuts: in front of each single space, and around each single line break. A token never spans
-    them as long as no two white-space characters meet and the characters are of the plain sets below.
+    Cuts: in front of each single space, around each single line break, and in front of a full stop or
+    comma that stands alone at a word's end. A token never spans them as long as no two white-space
+    characters meet and the characters are of the plain sets below.
     """
 
     UNSURE = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ‐-‧]|[ \n][ \n]")
+    #: Stops that belong to a longer run of signs.
+    IN_RUNS = re.compile(r"[^\w\s][.,][ \n]|_[.,][ \n]|[ \n][.,][ \n]")
 
     def cut(self, text):
         if self.UNSURE.search(text) or (self.special and "<|" in text and self.special.search(text)):
             return None
+        if not self.IN_RUNS.search(text):
+            text = text.replace(", ", "\0, ").replace(". ", "\0. ").replace(".\n", "\0.\n")
         pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return pieces if pieces[0] and pieces[-1] else [p for p in pieces if p]
+        return pieces if "" not in pieces else [p for p in pieces if p]
 
 
 class LowerWordPieces(PieceTable):
