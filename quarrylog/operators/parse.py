@@ -42,6 +42,10 @@ def parse_log(docs: DataFrame, text: str = "content", format: str = "auto", log_
     if format.lower() in ("auto", "unknown", ""):
         chosen = [e for e in registry.entries() if e.specs]
         base = base.withColumn("_format", detect_format(F.col("_text")))
+        if not docs.isStreaming:
+            # The formats that occur, at most as many as there are formats: only they get a branch of the plan.
+            present = {r[0] for r in base.select("_format").distinct().collect()}
+            chosen = [e for e in chosen if e.name in present] or chosen[:1]
         parts = [_events_of(base.where(F.col("_format") == e.name), e) for e in chosen]
         found = reduce(lambda a, b: a.unionByName(b), parts)
     else:

@@ -1,11 +1,414 @@
-"""The queries of the log engine, with SQL for those that SQL can express."""
+"""The queries of the log engine over the driver's tables, with SQL for each that SQL can express.
+
+The tables hold no logs, so each query first writes log text from table columns and then parses it; its SQL
+takes the same figures straight from the columns.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.badges import count_badge, status_badge
+from ..operators import catalog, custom, patterns, post, workflow
+from ..operators.detect import detect_format
+from ..operators.parse import parse_log
+from . import analytics
+
+QUERIES, SQL = {}, {}
+c, l = F.col, F.lit  # noqa: E741
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def table(spark, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+LEVEL = "CASE l_returnflag WHEN 'R' THEN 'error' WHEN 'A' THEN 'warning' ELSE 'note' END"
+STATUS_SQL = "CASE l_returnflag WHEN 'R' THEN 'ERROR' WHEN 'A' THEN 'WARNING' ELSE 'INFO' END"
+
+
+def compiler_docs(spark, sf) -> DataFrame:
+    text = f"concat('src/p', l_partkey, '.c:', l_linenumber, ':', cast(l_quantity AS int), ': ', {LEVEL}, ': line ', l_linenumber, ' of part is ', l_linestatus, ' [-Wship-', lower(l_linestatus), ']')"
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(text).alias("content"))
+
+
+@query(f"""SELECT {STATUS_SQL} AS status, 'line <num> of part is ' || lower(l_linestatus) AS pattern, count(*) AS n, min('line ' || l_linenumber || ' of part is ' || l_linestatus) AS example
+FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1, 2""")
+def q01_lint_errors_by_pattern(spark, sf):
+    events = post.at_least(parse_log(compiler_docs(spark, sf), "content", "gcc_text"), "warning")
+    return events.groupBy("status", patterns.normalise(c("message")).alias("pattern")).agg(F.count(l(1)).alias("n"), F.min("message").alias("example"))
+
+
+def flagship(spark, sf):
+    return q01_lint_errors_by_pattern(spark, sf)
+
+
+@query("SELECT '-Wship-' || lower(l_linestatus) AS error_code, count(*) AS n, count(DISTINCT l_partkey) AS files, max(CAST(l_quantity AS INT)) AS last_column FROM lineitem GROUP BY 1")
+def q02_gcc_flags(spark, sf):
+    events = parse_log(compiler_docs(spark, sf), "content", "gcc")
+    return events.groupBy("error_code").agg(F.count(l(1)).alias("n"), F.countDistinct("ref_file").alias("files"), F.max("ref_column").alias("last_column"))
+
+
+JSONL = "to_json(named_struct('timestamp', cast(event_id AS string), 'level', CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'warn' ELSE 'info' END, 'message', concat('user ', user_id, ' did ', event_type), 'service', concat('svc', user_id % 5)))"
+EVENT_STATUS = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END"
+
+
+@query(f"SELECT 'svc' || (user_id % 5) AS category, {EVENT_STATUS} AS status, count(*) AS n, min(CAST(event_id AS VARCHAR)) AS first_seen FROM events GROUP BY 1, 2")
+def q03_jsonl_levels(spark, sf):
+    docs = table(spark, sf, "events").select(F.expr(JSONL).alias("content"))
+    return parse_log(docs, "content", "jsonl").groupBy("category", "status").agg(F.count(l(1)).alias("n"), F.min("function_name").alias("first_seen"))
+
+
+@query("SELECT CASE event_type WHEN 'error' THEN 'ERROR' ELSE 'INFO' END AS status, CASE event_type WHEN 'error' THEN 'code ' || (user_id % 7) ELSE '' END AS suggestion, count(*) AS n FROM events GROUP BY 1, 2")
+def q04_jsonl_error_override(spark, sf):
+    text = "CASE event_type WHEN 'error' THEN to_json(named_struct('message', 'm', 'error', concat('code ', user_id % 7))) ELSE to_json(named_struct('message', 'm')) END"
+    return parse_log(table(spark, sf, "events").select(F.expr(text).alias("content")), "content", "jsonl").groupBy("status", "suggestion").agg(F.count(l(1)).alias("n"))
+
+
+@query(f"SELECT 'svc' || (user_id % 5) AS category, {EVENT_STATUS} AS status, count(*) AS n, max('did ' || event_type) AS message FROM events GROUP BY 1, 2")
+def q05_logfmt_fields(spark, sf):
+    text = "concat('ts=', event_id, ' level=', CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'warn' ELSE 'info' END, ' msg=\"did ', event_type, '\" service=svc', user_id % 5)"
+    return parse_log(table(spark, sf, "events").select(F.expr(text).alias("content")), "content", "logfmt").groupBy("category", "status").agg(F.count(l(1)).alias("n"), F.max("message").alias("message"))
+
+
+@query("SELECT 'host' || (user_id % 11) AS origin, event_type AS category, count(*) AS n, max('value of ' || user_id) AS message FROM events GROUP BY 1, 2")
+def q06_syslog_hosts(spark, sf):
+    text = "concat('Jan  2 03:04:05 host', user_id % 11, ' ', event_type, '[', event_id, ']: value of ', user_id)"
+    return parse_log(table(spark, sf, "events").select(F.expr(text).alias("content")), "content", "syslog").groupBy("origin", "category").agg(F.count(l(1)).alias("n"), F.max("message").alias("message"))
+
+
+@query("""SELECT CAST(200 + 100 * (event_id % 4) AS VARCHAR) AS error_code, CASE WHEN event_id % 4 = 3 THEN 'ERROR' WHEN event_id % 4 = 2 THEN 'WARNING' ELSE 'INFO' END AS status,
+count(*) AS n, count(DISTINCT user_id) AS users, min('/' || event_type || '/' || user_id) AS path FROM events GROUP BY 1, 2""")
+def q07_access_status_classes(spark, sf):
+    text = "concat('10.0.0.', event_id % 250, ' - u', user_id, ' [10/Oct/2000:13:55:36 -0700] \"GET /', event_type, '/', user_id, ' HTTP/1.1\" ', 200 + 100 * (event_id % 4), ' ', user_id)"
+    return parse_log(table(spark, sf, "events").select(F.expr(text).alias("content")), "content", "apache_access").groupBy("error_code", "status").agg(F.count(l(1)).alias("n"), F.countDistinct("principal").alias("users"), F.min("ref_file").alias("path"))
+
+
+@query("SELECT '172.31.0.' || (user_id % 200) AS origin, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS bytes FROM events WHERE event_type = 'error' GROUP BY 1")
+def q08_vpc_reject_talkers(spark, sf):
+    text = "concat('2 123456789010 eni-1', user_id % 9, ' 172.31.0.', user_id % 200, ' 172.31.16.21 20641 22 6 20 ', user_id, ' 1418530010 1418530070 ', CASE event_type WHEN 'error' THEN 'REJECT' ELSE 'ACCEPT' END, ' OK')"
+    events = parse_log(table(spark, sf, "events").select(F.expr(text).alias("content")), "content", "vpc_flow").where("status = 'WARNING'")
+    return events.groupBy("origin").agg(F.count(l(1)).alias("n"), F.sum(F.get_json_object("structured_data", "$.bytes").cast("bigint")).alias("bytes"))
+
+
+@query("SELECT 'com.app.C' || (user_id % 13) AS category, 'java.lang.E' || (user_id % 3) || 'Exception' AS error_code, count(*) AS n, CAST(max(user_id) AS INT) AS last_line FROM events WHERE event_type = 'error' GROUP BY 1, 2")
+def q09_log4j_stack_fold(spark, sf):
+    text = "concat('2024-01-01 00:00:00,123 ERROR [main] com.app.C', user_id % 13, ' - failed\\njava.lang.E', user_id % 3, 'Exception: why\\n\\tat com.app.M.run(M.java:', user_id, ')\\n')"
+    docs = table(spark, sf, "events").where("event_type = 'error'").select(F.expr(text).alias("content"))
+    return parse_log(docs, "content", "log4j").groupBy("category", "error_code").agg(F.count(l(1)).alias("n"), F.max("ref_line").alias("last_line"))
+
+
+@query("SELECT CASE l_returnflag WHEN 'R' THEN 'FAIL' WHEN 'A' THEN 'SKIP' ELSE 'PASS' END AS status, count(*) AS n, count(DISTINCT l_partkey) AS packages FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1")
+def q10_gotest_pairing(spark, sf):
+    action = "CASE l_returnflag WHEN 'R' THEN 'fail' WHEN 'A' THEN 'skip' ELSE 'pass' END"
+    run = "CASE l_linestatus WHEN 'O' THEN concat('{\"Action\":\"run\",\"Package\":\"p', l_partkey, '\",\"Test\":\"T\"}\\n') ELSE '' END"
+    text = f"concat({run}, '{{\"Action\":\"', {action}, '\",\"Package\":\"p', l_partkey, '\",\"Test\":\"T\",\"Elapsed\":0.5}}')"
+    return parse_log(table(spark, sf, "lineitem").select(F.expr(text).alias("content")), "content", "gotest_json").groupBy("status").agg(F.count(l(1)).alias("n"), F.countDistinct("ref_file").alias("packages"))
+
+
+@query("SELECT CASE o_orderstatus WHEN 'F' THEN 'FAIL' WHEN 'O' THEN 'PASS' ELSE 'SKIP' END AS status, count(*) AS n, count(DISTINCT o_custkey) AS files FROM orders GROUP BY 1")
+def q11_pytest_json_outcomes(spark, sf):
+    outcome = "CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'passed' ELSE 'skipped' END"
+    text = f"concat('{{\"tests\":[{{\"nodeid\":\"t', o_custkey, '.py::test_', o_orderkey, '\",\"outcome\":\"', {outcome}, '\",\"duration\":0.25}}]}}')"
+    return parse_log(table(spark, sf, "orders").select(F.expr(text).alias("content")), "content", "pytest_json").groupBy("status").agg(F.count(l(1)).alias("n"), F.countDistinct("ref_file").alias("files"))
+
+
+@query("""SELECT event_type, status, count(*) AS n FROM (
+SELECT 'lint_issue' AS event_type, CASE l_returnflag WHEN 'R' THEN 'ERROR' ELSE 'WARNING' END AS status FROM lineitem UNION ALL SELECT 'summary', 'WARNING' FROM lineitem) GROUP BY 1, 2""")
+def q12_eslint_json_with_summary(spark, sf):
+    text = "concat('[{\"filePath\":\"p', l_partkey, '.js\",\"messages\":[{\"line\":', l_linenumber, ',\"column\":1,\"message\":\"m\",\"ruleId\":\"no-', lower(l_linestatus), '\",\"severity\":', CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END, '}]}]')"
+    return parse_log(table(spark, sf, "lineitem").select(F.expr(text).alias("content")), "content", "eslint_json").groupBy("event_type", "status").agg(F.count(l(1)).alias("n"))
+
+
+@query("SELECT 'src/n' || n_nationkey || '.c' AS ref_file, count(*) AS events, count(*) FILTER (WHERE o.o_orderstatus = 'F') AS missed FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_orderstatus = 'F' GROUP BY 1")
+def q13_lcov_file_coverage(spark, sf):
+    o, cu = table(spark, sf, "orders"), table(spark, sf, "customer")
+    text = "concat('SF:src/n', c_nationkey, '.c\\nDA:', o_orderkey, ',', CASE o_orderstatus WHEN 'F' THEN 0 ELSE 3 END, '\\nend_of_record')"
+    docs = o.join(cu, o.o_custkey == cu.c_custkey).select(F.expr(text).alias("content"))
+    return parse_log(docs, "content", "lcov").groupBy("ref_file").agg(F.count(l(1)).alias("events"), F.count_if(c("status") == "WARNING").alias("missed"))
+
+
+CUSTOM = r"^(?P<severity>\w+)\|(?P<file>[^|]*)\|(?P<line>\d+)\|(?P<message>.*)$"
+
+
+@query(f"SELECT {STATUS_SQL} AS status, l_linestatus AS message, count(*) AS n, max(CAST(l_partkey AS INT)) AS last_line FROM lineitem GROUP BY 1, 2")
+def q14_regexp_custom(spark, sf):
+    text = f"concat({LEVEL}, '|f', l_linenumber, '.txt|', l_partkey, '|', l_linestatus)"
+    return _with(table(spark, sf, "lineitem").select(F.expr(text).alias("content")), custom.regexp_format(CUSTOM)).groupBy("status", "message").agg(F.count(l(1)).alias("n"), F.max("ref_line").alias("last_line"))
+
+
+@query(f"SELECT event_type, status, sum(n)::BIGINT AS n FROM (SELECT 'lint_issue' AS event_type, {STATUS_SQL} AS status, 1 AS n FROM lineitem UNION ALL SELECT 'unknown', NULL, 1 FROM lineitem) GROUP BY 1, 2")
+def q15_regexp_include_unparsed(spark, sf):
+    text = f"concat({LEVEL}, '|f', l_linenumber, '.txt|', l_partkey, '|', l_linestatus, '\\nno such line')"
+    events = _with(table(spark, sf, "lineitem").select(F.expr(text).alias("content")), custom.regexp_format(CUSTOM, include_unparsed=True))
+    return events.groupBy("event_type", F.when(c("event_type") != "unknown", c("status")).alias("status")).agg(F.count(l(1)).alias("n"))
+
+
+CONFIG = '{"name": "ship", "tool_name": "shipper", "patterns": [{"regex": "^(?P<status>OK|BAD|MEH) (?P<test_name>\\\\S+)", "event_type": "test_result", "status_map": {"OK": "PASS", "BAD": "FAIL", "MEH": "SKIP"}}]}'
+
+
+@query("SELECT 'shipper' AS tool_name, CASE l_returnflag WHEN 'R' THEN 'FAIL' WHEN 'A' THEN 'SKIP' ELSE 'PASS' END AS status, count(*) AS n, count(DISTINCT l_partkey) AS tests FROM lineitem GROUP BY 1, 2")
+def q16_config_parser_status_map(spark, sf):
+    text = "concat(CASE l_returnflag WHEN 'R' THEN 'BAD' WHEN 'A' THEN 'MEH' ELSE 'OK' END, ' t', l_partkey)"
+    return _with(table(spark, sf, "lineitem").select(F.expr(text).alias("content")), custom.config_format(CONFIG)).groupBy("tool_name", "status").agg(F.count(l(1)).alias("n"), F.countDistinct("test_name").alias("tests"))
+
+
+def _with(docs: DataFrame, entry) -> DataFrame:
+    """Events of one entry that isn't registered."""
+    from .. import registry
+
+    name = "custom_once_" + str(abs(hash(entry.name)))
+    registry._custom[name] = entry.__class__(**{**entry.__dict__, "name": name})
+    try:
+        return parse_log(docs, "content", name)
+    finally:
+        registry._custom.pop(name)
+
+
+MIXED = {
+    0: ("gcc_text", "concat('a.c:', event_id, ':1: error: x')"), 1: ("syslog", "concat('Jan  2 03:04:05 h p[1]: ', event_id)"), 2: ("eslint_json", "concat('[{\"filePath\":\"a\",\"messages\":[]}]')"),
+    3: ("log4j", "concat('2024-01-01 00:00:00,123 ERROR [main] c.F - ', event_id)"), 4: ("unknown", "concat('plain text ', event_id)"),
+}
+
+
+@query("SELECT CASE event_id % 5 WHEN 0 THEN 'gcc_text' WHEN 1 THEN 'syslog' WHEN 2 THEN 'eslint_json' WHEN 3 THEN 'log4j' ELSE 'unknown' END AS format, count(*) AS n FROM events GROUP BY 1")
+def q17_detect_format_distribution(spark, sf):
+    text = "CASE event_id % 5 " + " ".join(f"WHEN {k} THEN {v}" for k, (_, v) in MIXED.items()) + " END"
+    return table(spark, sf, "events").select(F.expr(text).alias("content")).select(detect_format(c("content")).alias("format")).groupBy("format").agg(F.count(l(1)).alias("n"))
+
+
+@query("SELECT CASE event_id % 2 WHEN 0 THEN 'compiler' ELSE 'syslog' END AS tool_name, count(*) AS n FROM events GROUP BY 1")
+def q18_format_list_fallback(spark, sf):
+    text = f"CASE event_id % 2 WHEN 0 THEN {MIXED[0][1]} ELSE {MIXED[1][1]} END"
+    return parse_log(table(spark, sf, "events").select(F.expr(text).alias("content")), "content", "gcc_text, syslog").groupBy("tool_name").agg(F.count(l(1)).alias("n"))
+
+
+@query("""SELECT t.threshold, count(*) AS n FROM events e JOIN (VALUES ('debug', 0), ('info', 1), ('warning', 2), ('error', 3), ('critical', 4), ('nonsense', 2)) t(threshold, r)
+ON (CASE event_type WHEN 'error' THEN 3 WHEN 'signup' THEN 2 ELSE 1 END) >= t.r GROUP BY 1""")
+def q19_severity_threshold_ladder(spark, sf):
+    events = parse_log(table(spark, sf, "events").select(F.expr(JSONL).alias("content")), "content", "jsonl").select("severity")
+    out = None
+    for t in ("debug", "info", "warning", "error", "critical", "nonsense"):
+        part = post.at_least(events, t).groupBy(l(t).alias("threshold")).agg(F.count(l(1)).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 40 THEN substr(text, 1, 40) || '...' ELSE text END AS cut FROM documents")
+def q20_content_limit(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", post.content(c("text"), 40).alias("cut"))
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE cut) AS shortened FROM (SELECT length(text) > 200 AS cut FROM documents)")
+def q21_content_smart(spark, sf):
+    d = table(spark, sf, "documents").select("text", post.content(c("text"), "smart", l(1), l(1)).alias("s"))
+    return d.agg(F.count(l(1)).alias("n"), F.count_if((c("s") != c("text")) & (F.length("s") <= 203)).alias("shortened"))
+
+
+@query("""SELECT doc_id, i.ln AS line_number, i.ln = 2 AS is_event, ls[i.ln] AS content FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents) d, (VALUES (1), (2), (3)) i(ln) WHERE len(ls) >= i.ln AND len(ls) >= 1""")
+def q22_context_window(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.explode(post.context(c("text"), l(2), l(2), 1)).alias("x"))
+    return d.select("doc_id", "x.line_number", "x.is_event", "x.content")
+
+
+@query("SELECT 'error in line <num>: code <num> at <decimal>' AS pattern, count(*) AS n FROM events")
+def q23_normalise_message(spark, sf):
+    m = F.expr("concat('Error in line ', event_id, ': code ', user_id % 1000, ' at ', user_id % 10, '.5')")
+    return table(spark, sf, "events").select(patterns.normalise(m).alias("pattern")).groupBy("pattern").agg(F.count(l(1)).alias("n"))
+
+
+@query("""WITH e AS (SELECT l_orderkey AS k, l_linestatus AS s, min(l_linenumber * 1000000 + l_partkey) AS f, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT k AS l_orderkey, row_number() OVER (PARTITION BY k ORDER BY f) AS pattern_id, n FROM e""")
+def q24_pattern_ids(spark, sf):
+    text = f"concat('src/p', l_partkey, '.c:', l_linenumber, ':1: ', {LEVEL}, ': line ', l_linenumber, ' of part is ', l_linestatus)"
+    docs = table(spark, sf, "lineitem").select("l_orderkey", F.expr("l_linenumber * 1000000 + l_partkey").cast("bigint").alias("place"), F.expr(text).alias("content"))
+    events = parse_log(docs, "content", "gcc_text", keep=("l_orderkey", "place")).withColumn("event_id", c("place"))
+    return patterns.with_pattern_ids(events, "l_orderkey").groupBy("l_orderkey", "pattern_id").agg(F.count(l(1)).alias("n"))
+
+
+@query("SELECT n_nationkey, r_regionkey, (SELECT count(*) FROM range(1, CAST(least(length(n_name), length(r_name)) AS BIGINT) + 1) t(i) WHERE substr(n_name, CAST(i AS INT), 1) = substr(r_name, CAST(i AS INT), 1)) / greatest(length(n_name), length(r_name))::DOUBLE AS similarity FROM nation JOIN region ON n_regionkey = r_regionkey")
+def q25_similarity_pairs(spark, sf):
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_regionkey", patterns.similarity(c("n_name"), c("r_name")).alias("similarity"))
+
+
+CAUSES = "CASE event_id % 6 WHEN 0 THEN 'connection refused' WHEN 1 THEN 'permission denied' WHEN 2 THEN 'config is bad' WHEN 3 THEN 'out of memory' WHEN 4 THEN 'assert broke' ELSE 'odd' END"
+
+
+@query("SELECT CASE event_id % 6 WHEN 0 THEN 'network' WHEN 1 THEN 'permission' WHEN 2 THEN 'configuration' WHEN 3 THEN 'resource' WHEN 4 THEN 'test_logic' ELSE 'unknown' END AS root_cause, count(*) AS events, round(100.0 * count(*) / (SELECT count(*) FROM events), 4) AS share FROM events GROUP BY 1")
+def q26_root_cause_breakdown(spark, sf):
+    e = table(spark, sf, "events").select(patterns.root_cause(F.expr(CAUSES), l("debug_info")).alias("root_cause"))
+    return analytics.root_cause_breakdown(e)
+
+
+@query("SELECT CASE user_id % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'staging' ELSE 'prod' END AS env, CAST(user_id % 10 AS VARCHAR) AS build, count(*) AS n FROM events GROUP BY 1, 2")
+def q27_env_build_from_path(spark, sf):
+    path = F.expr("concat('/logs/', CASE user_id % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'staging' ELSE 'prod' END, '/build-', user_id % 10, '/out.log')")
+    return table(spark, sf, "events").select(patterns.environment(path).alias("env"), patterns.build_id(path).alias("build")).groupBy("env", "build").agg(F.count(l(1)).alias("n"))
+
+
+@query("""SELECT event_type, CASE event_type WHEN 'error' THEN '[FAIL]' ELSE '[ ?? ]' END AS badge, CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN '[FAIL]' WHEN count(*) FILTER (WHERE event_type = 'signup') > 0 THEN '[WARN]' ELSE '[ OK ]' END AS counted FROM events GROUP BY 1, 2""")
+def q28_status_badge(spark, sf):
+    e = table(spark, sf, "events").groupBy("event_type").agg(F.count_if(c("event_type") == "error").alias("a"), F.count_if(c("event_type") == "signup").alias("b"))
+    return e.select("event_type", status_badge(c("event_type")).alias("badge"), count_badge(c("a"), c("b")).alias("counted"))
+
+
+@query(f"SELECT 'svc' || (user_id % 5) AS category, count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) FILTER (WHERE event_type = 'signup') AS warnings, CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN 'FAIL' WHEN count(*) FILTER (WHERE event_type = 'signup') > 0 THEN 'WARN' ELSE 'PASS' END AS gate FROM events GROUP BY 1")
+def q29_quality_gate(spark, sf):
+    return analytics.quality_gate(parse_log(table(spark, sf, "events").select(F.expr(JSONL).alias("content")), "content", "jsonl"), "category")
+
+
+@query("SELECT e.event_id AS id, CASE WHEN event_type = 'error' THEN 1 END AS event_no FROM events e")
+def q30_lateral_left_join(spark, sf):
+    docs = table(spark, sf, "events").select(c("event_id").alias("id"), F.expr("CASE event_type WHEN 'error' THEN 'a.c:1:2: error: x' END").alias("content"))
+    events = parse_log(docs, "content", "gcc_text", keep=("id",)).select("id", c("event_id").cast("int").alias("event_no"))
+    return docs.select("id").join(events, "id", "left")
+
+
+@query("SELECT * FROM (VALUES ('gcc -c a.c', 'gcc_text', 80, 1::BIGINT), ('pytest', 'pytest_text', 80, 2::BIGINT), ('cargo clippy --message-format=json', 'clippy_json', 100, 2::BIGINT), ('cargo clippy --message-format=json', 'cargo_build', 80, 2::BIGINT)) t(command, format, priority, n)")
+def q31_command_match(spark, sf):
+    d = spark.createDataFrame([("gcc -c a.c",), ("pytest",), ("cargo clippy --message-format=json",)], "command string")
+    return catalog.match_commands(d).select("command", "format", "priority", F.size("matched_patterns").cast("bigint").alias("n"))
+
+
+@query("SELECT 'rust' AS \"group\", 3::BIGINT AS n UNION ALL SELECT 'gamedev', 1 UNION ALL SELECT 'mobile', 1")
+def q32_formats_by_group(spark, sf):
+    return catalog.formats(spark).select(F.explode("groups").alias("group")).where(c("group").isin("rust", "gamedev", "mobile")).groupBy("group").agg(F.count(l(1)).alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('gcc_text', true, 1::BIGINT), ('generic_lint', true, 1::BIGINT)) t(format, can_parse, events_produced)")
+def q33_diagnose_valid(spark, sf):
+    d = spark.createDataFrame([("src/a.c:1:2: error: x",)], "content string")
+    return catalog.diagnose(d, emit="valid", names=["gcc_text", "generic_lint", "eslint_json", "syslog"]).select("format", "can_parse", "events_produced")
+
+
+WORKFLOW = "concat('2024-01-01T00:00:00.0000000Z ##[group]Run gcc -c p', o_custkey, '.c\\n2024-01-01T00:00:00.0000000Z p', o_custkey, '.c:3:4: ', CASE o_orderstatus WHEN 'F' THEN 'error' ELSE 'warning' END, ': bad\\n2024-01-01T00:00:00.0000000Z ##[group]Post job\\nWARN something\\n')"
+
+
+@query("SELECT step, count(*) AS n FROM (SELECT 'Run gcc -c p' || o_custkey || '.c' AS step FROM orders UNION ALL SELECT 'Post job' FROM orders) GROUP BY 1")
+def q34_workflow_steps(spark, sf):
+    docs = table(spark, sf, "orders").select(F.expr(WORKFLOW).alias("content"))
+    return workflow.steps(docs, "content", "github_actions").groupBy("step").agg(F.count(l(1)).alias("n"))
+
+
+@query("""SELECT hierarchy_level, tool_name, status, count(*) AS n FROM (SELECT 4 AS hierarchy_level, 'compiler' AS tool_name, CASE o_orderstatus WHEN 'F' THEN 'ERROR' ELSE 'WARNING' END AS status FROM orders UNION ALL SELECT 3, 'workflow', 'WARNING' FROM orders) GROUP BY 1, 2, 3""")
+def q35_workflow_delegation(spark, sf):
+    docs = table(spark, sf, "orders").select(F.expr(WORKFLOW).alias("content"))
+    return workflow.parse_workflow(docs, "content", "github_actions").groupBy("hierarchy_level", "tool_name", "status").agg(F.count(l(1)).alias("n"))
+
+
+BASE_SQL = """WITH e AS (SELECT event_type || '_' || (user_id % 7) AS pattern, CASE event_id % 6 WHEN 0 THEN 'network' WHEN 1 THEN 'permission' WHEN 2 THEN 'configuration' WHEN 3 THEN 'resource' WHEN 4 THEN 'test_logic' ELSE 'unknown' END AS root_cause,
+ 'b' || (event_id // 50) AS build, CASE user_id % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'staging' ELSE 'prod' END AS env, event_id // 50 AS file_index, event_id, CASE event_type WHEN 'error' THEN 'ERROR' ELSE 'INFO' END AS status, 'm' || event_id AS message FROM events)
+"""
+
+
+def base_events(spark, sf) -> DataFrame:
+    """An event table as parsing leaves it, straight from the events table: 50 events a build."""
+    return table(spark, sf, "events").select(
+        F.expr("concat(event_type, '_', user_id % 7)").alias("pattern"), patterns.root_cause(F.expr(CAUSES), l("debug_info")).alias("root_cause"), F.expr("concat('b', event_id DIV 50)").alias("build"),
+        F.expr("CASE user_id % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'staging' ELSE 'prod' END").alias("env"), F.expr("event_id DIV 50").alias("file_index"), "event_id",
+        F.expr("CASE event_type WHEN 'error' THEN 'ERROR' ELSE 'INFO' END").alias("status"), F.expr("concat('m', event_id)").alias("message"), l("t").alias("tool_name"),
+    )
+
+
+@query(BASE_SQL + """, d AS (SELECT DISTINCT pattern, build, env FROM e)
+SELECT a.pattern AS pattern_a, b.pattern AS pattern_b, count(*) AS meetings, count(DISTINCT a.build) AS builds, count(DISTINCT a.env) AS envs, round(count(*) / (count(DISTINCT a.build) + count(DISTINCT a.env))::DOUBLE, 4) AS strength,
+CASE WHEN round(count(*) / (count(DISTINCT a.build) + count(DISTINCT a.env))::DOUBLE, 4) >= 0.8 THEN 'STRONG' WHEN round(count(*) / (count(DISTINCT a.build) + count(DISTINCT a.env))::DOUBLE, 4) >= 0.5 THEN 'MODERATE' ELSE 'WEAK' END AS class
+FROM d a JOIN d b ON a.build = b.build AND a.env = b.env AND a.pattern < b.pattern GROUP BY 1, 2 HAVING count(*) >= 2""")
+def q36_cooccurrence(spark, sf):
+    return analytics.co_occurrence(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, s AS (SELECT *, row_number() OVER (PARTITION BY build ORDER BY file_index, event_id) AS r FROM e)
+SELECT a.pattern AS first_pattern, b.pattern AS next_pattern, count(*) AS times, round(avg(b.r - a.r), 4) AS mean_gap FROM s a JOIN s b ON a.build = b.build AND b.r - a.r BETWEEN 1 AND 5 AND a.pattern <> b.pattern GROUP BY 1, 2 HAVING count(*) >= 2""")
+def q37_cascade(spark, sf):
+    return analytics.cascade(base_events(spark, sf))
+
+
+@query(BASE_SQL + """SELECT pattern, count(*) FILTER (WHERE env = 'dev') AS n_dev, count(*) FILTER (WHERE env = 'staging') AS n_staging, count(*) FILTER (WHERE env = 'prod') AS n_prod,
+min(file_index) FILTER (WHERE env = 'dev') AS first_dev, min(file_index) FILTER (WHERE env = 'staging') AS first_staging, min(file_index) FILTER (WHERE env = 'prod') AS first_prod,
+concat_ws('+', CASE WHEN count(*) FILTER (WHERE env = 'dev') > 0 THEN 'dev' END, CASE WHEN count(*) FILTER (WHERE env = 'staging') > 0 THEN 'staging' END, CASE WHEN count(*) FILTER (WHERE env = 'prod') > 0 THEN 'prod' END) AS spread,
+min(file_index) FILTER (WHERE env = 'prod') - min(file_index) FILTER (WHERE env = 'dev') AS delay FROM e GROUP BY 1""")
+def q38_env_propagation(spark, sf):
+    return analytics.propagation(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, d AS (SELECT DISTINCT root_cause, build FROM e), t AS (SELECT root_cause, count(*) AS total FROM d GROUP BY 1)
+SELECT a.root_cause AS cause_a, b.root_cause AS cause_b, count(*) AS n, round(2 * count(*) / (max(ta.total) + max(tb.total))::DOUBLE, 4) AS coefficient FROM d a JOIN d b ON a.build = b.build AND a.root_cause < b.root_cause JOIN t ta ON ta.root_cause = a.root_cause JOIN t tb ON tb.root_cause = b.root_cause GROUP BY 1, 2""")
+def q39_root_cause_matrix(spark, sf):
+    return analytics.root_cause_matrix(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, d AS (SELECT DISTINCT pattern, file_index FROM e), g AS (SELECT *, file_index - lag(file_index) OVER (PARTITION BY pattern ORDER BY file_index) AS gap FROM d)
+SELECT pattern, count(*) AS files, round(avg(gap), 4) AS mean_gap, median(gap) AS median_gap, max(file_index) AS last_file, round(max(file_index) + round(avg(gap), 4), 4) AS next_file FROM g GROUP BY 1 HAVING count(*) >= 3""")
+def q40_recurrence_prediction(spark, sf):
+    return analytics.recurrence(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, s AS (SELECT env, count(*) AS events, count(*) FILTER (WHERE status = 'ERROR') AS errors, count(DISTINCT pattern) AS patterns, count(DISTINCT root_cause) AS causes FROM e GROUP BY 1),
+z AS (SELECT *, round(100.0 * errors / events::DOUBLE + 0.1 * patterns::DOUBLE + causes, 4) AS score FROM s) SELECT *, CAST(rank() OVER (ORDER BY score DESC) AS INT) AS place FROM z""")
+def q41_env_risk_rank(spark, sf):
+    return analytics.environment_risk(base_events(spark, sf))
+
+
+@query("""WITH d AS (SELECT event_id // 100 AS day, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT day, n, n - lag(n, 1) OVER (ORDER BY day) AS change_1, n - lag(n, 7) OVER (ORDER BY day) AS change_7, round(avg(n) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS mean_7 FROM d""")
+def q44_frequency_trend(spark, sf):
+    daily = table(spark, sf, "events").where("event_type = 'error'").groupBy(F.expr("event_id DIV 100").alias("day")).agg(F.count(l(1)).alias("n"))
+    return analytics.frequency_trend(daily)
+
+
+@query(BASE_SQL + """, p AS (SELECT pattern, file_index, count(*) AS n FROM e GROUP BY 1, 2)
+SELECT pattern, CAST(sum(n) AS BIGINT) AS events, min(file_index) AS first_file, max(file_index) AS last_file, round(greatest(0.0::DOUBLE, 1 - coalesce(stddev_samp(n), 0) / avg(n)), 4) AS stability FROM p GROUP BY 1""")
+def q46_pattern_evolution(spark, sf):
+    return analytics.evolution(base_events(spark, sf))
+
+
+@query(BASE_SQL + """SELECT count(*) AS events, count(*) FILTER (WHERE status = 'ERROR') AS failures, round(100.0 * count(*) FILTER (WHERE status = 'ERROR') / count(*)::DOUBLE, 4) AS failure_rate, count(DISTINCT pattern) AS patterns, count(DISTINCT build) AS builds, count(DISTINCT env) AS envs FROM e""")
+def q48_dashboard_overview(spark, sf):
+    return analytics.overview(base_events(spark, sf))
+
+
+@query(BASE_SQL + "SELECT pattern, count(*) AS events, arg_min(message, file_index * 1000000000 + event_id) AS first_message FROM e GROUP BY 1 ORDER BY events DESC, pattern LIMIT 10")
+def q48b_top_patterns(spark, sf):
+    return analytics.top_patterns(base_events(spark, sf))
+
+
+@query("SELECT 'p' || l_partkey || '.js' AS ref_file, count(*) AS n FROM lineitem GROUP BY 1")
+def q49_json_preamble_extraction(spark, sf):
+    text = "concat('starting linter [v1]\\nnot json\\n[{\"filePath\":\"p', l_partkey, '.js\",\"messages\":[{\"line\":1,\"severity\":2,\"message\":\"m\"}]}]')"
+    return parse_log(table(spark, sf, "lineitem").select(F.expr(text).alias("content")), "content", "eslint_json").where("event_type = 'lint_issue'").groupBy("ref_file").agg(F.count(l(1)).alias("n"))
+
+
+@query("SELECT CASE o_orderstatus WHEN 'F' THEN 'FAIL' WHEN 'O' THEN 'PASS' ELSE 'SKIP' END AS status, CASE o_orderstatus WHEN 'F' THEN 'bad' WHEN 'O' THEN 'Test passed' ELSE 'later' END AS message, count(*) AS n FROM orders GROUP BY 1, 2")
+def q50_xml_junit(spark, sf):
+    inner = "CASE o_orderstatus WHEN 'F' THEN '<failure message=\"bad\" type=\"T\">x</failure>' WHEN 'O' THEN '' ELSE '<skipped message=\"later\"/>' END"
+    text = f"concat('log line\\n<?xml version=\"1.0\"?><testsuites><testsuite name=\"s\"><testcase name=\"t', o_orderkey, '\" classname=\"C\" time=\"0.5\">', {inner}, '</testcase></testsuite></testsuites>')"
+    return parse_log(table(spark, sf, "orders").select(F.expr(text).alias("content")), "content", "junit_xml").groupBy("status", "message").agg(F.count(l(1)).alias("n"))
+
+
+@query("SELECT user_id FROM (SELECT user_id FROM events WHERE event_type = 'error' EXCEPT SELECT user_id FROM events WHERE event_type = 'signup') UNION SELECT user_id FROM events WHERE user_id % 97 = 0")
+def q51_union_except_sets(spark, sf):
+    e = table(spark, sf, "events")
+    user = F.regexp_extract("message", r"user (\d+)", 1).cast("bigint").alias("user_id")
+    parsed = parse_log(e.select(F.expr(JSONL).alias("content")), "content", "jsonl").select(user, "status")
+    errors, signups = parsed.where("status = 'ERROR'").select("user_id"), parsed.where("status = 'WARNING'").select("user_id")
+    return errors.subtract(signups).union(parsed.select("user_id").where("user_id % 97 = 0")).distinct()
+
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(SQL)

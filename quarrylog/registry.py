@@ -93,7 +93,7 @@ def resolve(name: str) -> list[Entry]:
         if {"auto", "unknown"} & {n.lower() for n in names}:
             raise UnknownFormat("auto can't be part of a list of formats")
         out = [e for n in names for e in resolve(n)]
-        return list(dict.fromkeys(out))
+        return list({e.name: e for e in out}.values())
     low = name.strip().lower()
     if low in NO_PARSER:
         return []
