@@ -41,7 +41,7 @@ class Decoder:
             self.pieces[i] = piece
 
     def __call__(self, ids: np.ndarray) -> str:
-        return " ".join(p for p in self.pieces[ids].tolist() if p is not None)
+        return " ".join(self.pieces[ids].tolist())
 
 
 _decoders: dict[str, Decoder] = {}

@@ -79,17 +79,22 @@ class ByteLevelPieces(PieceTable):
 
 
 class LowerWordPieces(PieceTable):
-    """For BPE over lower-cased words whose splitting rule drops white space: cuts at white space.
+    """For BPE over lower-cased words whose splitting rule drops white space: cuts at white space, and in front
+    of a full stop or comma that stands alone at a word's end; words are lower-cased first.
 
     Unsure: characters whose normal form or lower case may depend on their neighbours, or whose class
     may differ between Unicode versions.
     """
 
     UNSURE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-įĲ-ɏ‐-‧]")
+    IN_RUNS = ByteLevelPieces.IN_RUNS
 
     def cut(self, text):
         if self.UNSURE.search(text) or (self.special and "<|" in text and self.special.search(text)):
             return None
+        text = text.lower()
+        if not self.IN_RUNS.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
         return text.split()
 
 
