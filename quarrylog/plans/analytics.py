@@ -113,3 +113,64 @@ def root_cause_breakdown(e: DataFrame) -> DataFrame:
 def quality_gate(e: DataFrame, *by: str) -> DataFrame:
     out = e.groupBy(*by).agg(F.count_if(F.col("status") == "ERROR").alias("errors"), F.count_if(F.col("status") == "WARNING").alias("warnings"))
     return out.withColumn("gate", F.when(F.col("errors") > 0, "FAIL").when(F.col("warnings") > 0, "WARN").otherwise("PASS"))
+
+
+def _cut_point(e: DataFrame, share: float) -> DataFrame:
+    """One row: the file index at `share` of the highest."""
+    return e.agg((F.max("file_index") * share).alias("_cut"))
+
+
+def deployment_readiness(e: DataFrame, recent: float = 0.3) -> DataFrame:
+    """Failure rates of the last `recent` of files against all before, by environment."""
+    late = F.col("file_index") > F.col("_cut")
+    bad = F.col("status").isin("ERROR", "FAIL")
+    rate = lambda test: F.round(100.0 * F.count_if(test & bad) / F.nullif(F.count_if(test), F.lit(0)), 4)
+    out = e.join(F.broadcast(_cut_point(e, 1 - recent))).groupBy("env").agg(rate(late).alias("recent_rate"), rate(~late).alias("past_rate"), F.countDistinct(F.when(late & bad, F.col("pattern"))).alias("recent_patterns"))
+    return out.withColumn("ready", F.when(F.col("recent_rate") <= F.coalesce("past_rate", F.lit(0.0)), "READY").when(F.col("recent_rate") <= 1.5 * F.col("past_rate"), "CAUTION").otherwise("NOT_READY"))
+
+
+def anomalies(e: DataFrame, baseline: float = 0.7) -> DataFrame:
+    """Events a file of each pattern in the first `baseline` of files, and behind."""
+    late = F.col("file_index") > F.col("_cut")
+    out = e.where("pattern is not null").join(F.broadcast(_cut_point(e, baseline))).groupBy("pattern").agg(
+        F.count_if(~late).alias("base_events"), F.countDistinct(F.when(~late, F.col("file_index"))).alias("base_files"), F.count_if(late).alias("late_events"), F.countDistinct(F.when(late, F.col("file_index"))).alias("late_files"),
+    )
+    base = F.col("base_events") / F.nullif(F.col("base_files"), F.lit(0))
+    now = F.col("late_events") / F.nullif(F.col("late_files"), F.lit(0))
+    ratio = F.round(now / base, 4)
+    kind = F.when(F.col("base_events") == 0, "NEW").when(F.col("late_events") == 0, "GONE").when(ratio >= 2, "SPIKE").when(ratio <= 0.5, "DROP").otherwise("NORMAL")
+    return out.select("pattern", "base_events", "late_events", ratio.alias("ratio"), kind.alias("class"))
+
+
+def cycles(e: DataFrame, at: str = "event_id", least: int = 3) -> DataFrame:
+    """Gaps between a pattern's events by `at` (hours), and the cycle they are near to."""
+    gaps = e.where("pattern is not null").withColumn("gap", F.col(at) - F.lag(at).over(Window.partitionBy("pattern").orderBy(at)))
+    out = gaps.groupBy("pattern").agg(F.count("gap").alias("gaps"), F.round(F.avg("gap"), 4).alias("mean_gap")).where(F.col("gaps") >= least)
+    m = F.col("mean_gap")
+    return out.withColumn("cycle", F.when(m.between(20, 28), "DAILY").when(m.between(144, 192), "WEEKLY").when(m.between(600, 840), "MONTHLY").otherwise("REGULAR"))
+
+
+def root_cause_trend(e: DataFrame, period: int = 10) -> DataFrame:
+    """Counts by cause and period of files, rolling mean of three periods, direction against the period before."""
+    counted = e.groupBy("root_cause", F.floor(F.col("file_index") / period).cast("bigint").alias("period")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("root_cause").orderBy("period")
+    before = F.lag("n").over(w)
+    return counted.select("root_cause", "period", "n", F.round(F.avg("n").over(w.rowsBetween(-2, 0)), 4).alias("mean_3"), F.when(before.isNull(), "NEW").when(F.col("n") > before, "UP").when(F.col("n") < before, "DOWN").otherwise("FLAT").alias("direction"))
+
+
+def environment_health(e: DataFrame) -> DataFrame:
+    bad = F.count_if(F.col("status").isin("ERROR", "FAIL"))
+    rate = F.round(100.0 * bad / F.count(F.lit(1)), 4)
+    out = e.groupBy("env").agg(F.count(F.lit(1)).alias("events"), bad.alias("failures"), rate.alias("failure_rate"))
+    return out.withColumn("health", F.when(F.col("failure_rate") < 5, "HEALTHY").when(F.col("failure_rate") < 20, "WARNING").otherwise("CRITICAL"))
+
+
+def action_items(e: DataFrame, n: int = 15) -> DataFrame:
+    """The failing patterns that occur twice or more, most frequent first."""
+    bad = e.where(F.col("status").isin("ERROR", "FAIL") & F.col("pattern").isNotNull())
+    return bad.groupBy("pattern").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("env").alias("envs"), F.min_by("message", F.struct("file_index", "event_id")).alias("first_message")).where("events >= 2").orderBy(F.col("events").desc(), "pattern").limit(n)
+
+
+def quality_by_tool(e: DataFrame, by: str = "tool_name", least: int = 3) -> DataFrame:
+    out = e.groupBy(by).agg(F.count(F.lit(1)).alias("events"), F.round(100.0 * F.count_if(~F.col("status").isin("ERROR", "FAIL")) / F.count(F.lit(1)), 4).alias("quality"))
+    return out.where(F.col("events") >= least)

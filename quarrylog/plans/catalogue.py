@@ -384,6 +384,49 @@ def q48b_top_patterns(spark, sf):
     return analytics.top_patterns(base_events(spark, sf))
 
 
+@query(BASE_SQL + """, c AS (SELECT *, file_index > (SELECT max(file_index) * (1 - 0.3::DOUBLE) FROM e) AS late FROM e), r AS (SELECT env,
+round(100.0::DOUBLE * count(*) FILTER (WHERE late AND status = 'ERROR') / nullif(count(*) FILTER (WHERE late), 0), 4) AS recent_rate, round(100.0::DOUBLE * count(*) FILTER (WHERE NOT late AND status = 'ERROR') / nullif(count(*) FILTER (WHERE NOT late), 0), 4) AS past_rate,
+count(DISTINCT CASE WHEN late AND status = 'ERROR' THEN pattern END) AS recent_patterns FROM c GROUP BY 1)
+SELECT *, CASE WHEN recent_rate <= coalesce(past_rate, 0) THEN 'READY' WHEN recent_rate <= 1.5 * past_rate THEN 'CAUTION' ELSE 'NOT_READY' END AS ready FROM r""")
+def q42_deployment_readiness(spark, sf):
+    return analytics.deployment_readiness(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, c AS (SELECT *, file_index > (SELECT max(file_index) * 0.7::DOUBLE FROM e) AS late FROM e), r AS (SELECT pattern, count(*) FILTER (WHERE NOT late) AS base_events, count(DISTINCT CASE WHEN NOT late THEN file_index END) AS bf, count(*) FILTER (WHERE late) AS late_events, count(DISTINCT CASE WHEN late THEN file_index END) AS lf FROM c GROUP BY 1),
+z AS (SELECT *, round((late_events::DOUBLE / nullif(lf, 0)) / (base_events::DOUBLE / nullif(bf, 0)), 4) AS ratio FROM r)
+SELECT pattern, base_events, late_events, ratio, CASE WHEN base_events = 0 THEN 'NEW' WHEN late_events = 0 THEN 'GONE' WHEN ratio >= 2 THEN 'SPIKE' WHEN ratio <= 0.5 THEN 'DROP' ELSE 'NORMAL' END AS class FROM z""")
+def q43_anomaly_baseline(spark, sf):
+    return analytics.anomalies(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, g AS (SELECT pattern, event_id - lag(event_id) OVER (PARTITION BY pattern ORDER BY event_id) AS gap FROM e), r AS (SELECT pattern, count(gap) AS gaps, round(avg(gap), 4) AS mean_gap FROM g GROUP BY 1 HAVING count(gap) >= 3)
+SELECT *, CASE WHEN mean_gap BETWEEN 20 AND 28 THEN 'DAILY' WHEN mean_gap BETWEEN 144 AND 192 THEN 'WEEKLY' WHEN mean_gap BETWEEN 600 AND 840 THEN 'MONTHLY' ELSE 'REGULAR' END AS cycle FROM r""")
+def q45_cyclical_patterns(spark, sf):
+    return analytics.cycles(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, k AS (SELECT root_cause, file_index // 10 AS period, count(*) AS n FROM e GROUP BY 1, 2)
+SELECT root_cause, period, n, round(avg(n) OVER (PARTITION BY root_cause ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS mean_3, CASE WHEN lag(n) OVER w IS NULL THEN 'NEW' WHEN n > lag(n) OVER w THEN 'UP' WHEN n < lag(n) OVER w THEN 'DOWN' ELSE 'FLAT' END AS direction FROM k WINDOW w AS (PARTITION BY root_cause ORDER BY period)""")
+def q47_root_cause_trend(spark, sf):
+    return analytics.root_cause_trend(base_events(spark, sf))
+
+
+@query(BASE_SQL + """, r AS (SELECT env, count(*) AS events, count(*) FILTER (WHERE status = 'ERROR') AS failures, round(100.0 * count(*) FILTER (WHERE status = 'ERROR') / count(*)::DOUBLE, 4) AS failure_rate FROM e GROUP BY 1)
+SELECT *, CASE WHEN failure_rate < 5 THEN 'HEALTHY' WHEN failure_rate < 20 THEN 'WARNING' ELSE 'CRITICAL' END AS health FROM r""")
+def q48c_environment_health(spark, sf):
+    return analytics.environment_health(base_events(spark, sf))
+
+
+@query(BASE_SQL + "SELECT pattern, count(*) AS events, count(DISTINCT env) AS envs, arg_min(message, file_index * 1000000000 + event_id) AS first_message FROM e WHERE status = 'ERROR' GROUP BY 1 HAVING count(*) >= 2 ORDER BY events DESC, pattern LIMIT 15")
+def q48d_action_items(spark, sf):
+    return analytics.action_items(base_events(spark, sf))
+
+
+@query(BASE_SQL + "SELECT root_cause, count(*) AS events, round(100.0 * count(*) FILTER (WHERE status <> 'ERROR') / count(*)::DOUBLE, 4) AS quality FROM e GROUP BY 1 HAVING count(*) >= 3")
+def q48e_quality_by_cause(spark, sf):
+    return analytics.quality_by_tool(base_events(spark, sf), "root_cause")
+
+
 @query("SELECT 'p' || l_partkey || '.js' AS ref_file, count(*) AS n FROM lineitem GROUP BY 1")
 def q49_json_preamble_extraction(spark, sf):
     text = "concat('starting linter [v1]\\nnot json\\n[{\"filePath\":\"p', l_partkey, '.js\",\"messages\":[{\"line\":1,\"severity\":2,\"message\":\"m\"}]}]')"
