@@ -149,7 +149,7 @@ class Block:
     """DivideSkip over the sets of one block (or of two parts of it)."""
 
     def __init__(self, sets: list[np.ndarray], threshold: int, tag: list[int]):
-        self.sets, self.threshold, self.tag = sets, threshold, tag
+        self.sets, self.threshold, self.tag = sets, threshold, np.array(tag)
         self.n = np.array([len(s) for s in sets])
         self.label = np.arange(len(sets))
         tokens = np.concatenate(sets)
@@ -181,20 +181,39 @@ class Block:
             found, count = np.unique(self.owner[where], return_counts=True)
             keep = (found > i) & (count >= need - (len(at) - short)) & (self.label[found] != self.label[i])
             keep &= (100 * np.minimum(self.n[found], n) >= t * np.maximum(self.n[found], n))
-            for j, c in zip(found[keep].tolist(), count[keep].tolist(), strict=True):
-                if self.label[j] == self.label[i] or two_parts and self.tag[i] == self.tag[j]:
-                    continue
-                m = int(self.n[j])
-                least = -(-t * (n + m) // (100 + t))
-                if c + len(at) - short < least:
-                    continue
-                for b, e in zip(begin[short:].tolist(), end[short:].tolist(), strict=True):
-                    p = b + int(np.searchsorted(self.owner[b:e], j))
-                    c += p < e and self.owner[p] == j
-                if c >= least:
+            found, count = found[keep], count[keep]
+            if two_parts:
+                other = self.tag[found] != self.tag[i]
+                found, count = found[other], count[other]
+            if not len(found):
+                continue
+            m = self.n[found]
+            least = -(-t * (n + m) // (100 + t))
+            # Probe the long lists for all candidates at once, or merge them too where that is less work.
+            lists = list(zip(begin[short:].tolist(), end[short:].tolist(), strict=True))
+            if sum(e - b for b, e in lists) < 3000 * len(lists):
+                count = count + self._merged(lists)[found]
+            else:
+                for left, (b, e) in zip(range(len(lists), 0, -1), lists, strict=True):
+                    able = count + left >= least
+                    if not able.all():
+                        found, count, least = found[able], count[able], least[able]
+                    if not len(found):
+                        break
+                    own = self.owner[b:e]
+                    p = np.minimum(np.searchsorted(own, found), e - b - 1)
+                    count = count + (own[p] == found)
+            for j in found[count >= least].tolist():
+                if self.label[j] != self.label[i]:
                     self.label[self.label == self.label[j]] = self.label[i]
                     yield i, j
 
+    def _merged(self, lists: list[tuple[int, int]]) -> np.ndarray:
+        """How many of the lists hold each set."""
+        if not lists:
+            return np.zeros(len(self.sets), np.int64)
+        return np.bincount(np.concatenate([self.owner[b:e] for b, e in lists]), minlength=len(self.sets))
+
 
 def _block_links(cells: DataFrame, threshold: int) -> DataFrame:
     """cells: block, cell, two, part, rid, hashes, sorted by (block, cell). Returns a, b."""
@@ -328,6 +347,6 @@ def op8_ngram_join(spark, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """One document of each group of near copies: that of the smallest doc_id, then the first row."""
     found = ngram_components(docs, size, threshold)
-    keep = written(found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("x")).select("x.rid")
+    keep = written(found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "rid")).alias("x")).select("x.rid")
                    .union(found.where("n_shingles = 0 or component_id is null").select("rid")), "ngram-kept")
     return docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_rid")).join(keep.withColumnRenamed("rid", "_rid"), "_rid", "left_semi").select("_row.*")
