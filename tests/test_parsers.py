@@ -11,7 +11,7 @@ from quarrylog.schema import EVENT_FIELDS
 SAMPLES = [
     ("gcc_text", "src/a.c: In function 'main':\nsrc/a.c:3:5: error: bad thing [-Wall]\n", dict(ref_file="src/a.c", ref_line=3, ref_column=5, status="ERROR", error_code="-Wall", function_name="main", message="bad thing", log_line_start=2)),
     ("eslint_json", 'start\n[{"filePath":"a.js","messages":[{"line":1,"column":2,"message":"m","ruleId":"no-x","severity":2}]}]', dict(ref_file="a.js", status="ERROR", category="lint_error", error_code="no-x")),
-    ("jsonl", '{"timestamp":"t","level":"error","message":"boom","service":"s"}\nnot json', dict(status="ERROR", message="boom", category="s", function_name="t")),
+    ("jsonl", '{"timestamp":"t","level":"ERROR","message":"boom","service":"s"}\nnot json', dict(status="ERROR", message="boom", category="s", function_name="t")),
     ("logfmt", 'ts=1 level=warn msg="hello w" service=api', dict(status="WARNING", message="hello w", category="api")),
     ("syslog", "<11>1 2024-01-01T00:00:00Z h app 1 ID - msg", dict(status="ERROR", origin="h", started_at="2024-01-01T00:00:00Z", message="msg")),
     ("apache_access", '1.2.3.4 - bob [10/Oct/2000:13:55:36 -0700] "GET /a HTTP/1.0" 404 12', dict(status="WARNING", ref_file="/a", error_code="404", origin="1.2.3.4")),
