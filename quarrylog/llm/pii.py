@@ -111,8 +111,11 @@ def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, m
             .where(F.col("score") >= min_score)
             .groupBy("token").agg(F.max(F.struct("score", "kind"))["kind"].alias("kind"))
         )
-        found = written(scored.join(known.select("token").distinct(), "token", "left_anti"), f"pii-found-{i}")
-        known = known.unionByName(found) if i + 1 < rounds else known
+        fresh = written(scored.join(known.select("token").distinct(), "token", "left_anti"), f"pii-found-{i}")
+        known = known.unionByName(fresh)
+        found = fresh if found is None else found.unionByName(fresh)
+    if found is None:
+        return kept.drop("seen").withColumn("extra", F.lit(None).cast("array<struct<kind:string,s:int,e:int>>"))
     # An instance counts everywhere it occurs behind any token, except where a fixed pattern has it already.
     extra = (
         graph.where("hit is null").join(found, "token")
