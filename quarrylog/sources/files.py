@@ -63,10 +63,7 @@ def read_docs(spark: SparkSession, path: str, size_limit: int = SIZE_LIMIT, skip
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """log_file, line_no, line without loading files whole: for line formats over very large files.
-
-    line_no is the line's place in its file, from Spark's row numbering by file block order.
-    """
+    """log_file, line_no, line of each file; a file is read whole by one task, so that its lines can be numbered."""
     checked(path)
     docs = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("log_file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
     return docs.select("log_file", (F.col("at") + 1).alias("line_no"), "line")

@@ -1,22 +1,20 @@
-"""SQL surface: scalar functions as SQL UDFs and a data source for log folders."""
+"""read_log: files to events, with threshold, content mode and lines around."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.parse import parse_log
+from ..operators.patterns import with_pattern_ids
+from ..operators.post import at_least
+from ..operators.post import content as cut
+from ..operators.post import context as around
 from .files import read_docs
 
 
 def read_log(spark: SparkSession, path: str, format: str = "auto", severity_threshold: str = "all", content: str | int = "full", context: int = 0) -> DataFrame:
     """Events of files, a glob or a folder. A missing file gives no rows."""
-    from ..operators.patterns import with_pattern_ids
-    from ..operators.post import at_least
-    from ..operators.post import content as cut
-    from ..operators.post import context as around
-
-    from pyspark.sql import functions as F
-
     docs = read_docs(spark, path)
     events = with_pattern_ids(parse_log(docs, "content", format, log_file="log_file", keep=("content",) if context else ()), "log_file")
     if context:

@@ -5,7 +5,7 @@ import pytest
 import zstandard
 
 from quarrylog.sources import files
-from quarrylog.sources.udtf import read_log
+from quarrylog.sources.read import read_log
 from quarrylog.streaming.tail import tail_logs
 
 LINE = "a.c:3:4: error: bad\n"
