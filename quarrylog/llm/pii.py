@@ -3,8 +3,8 @@
 Seeds (what the fixed patterns find) induce lexical patterns: the token in front of an identifier.
 Patterns and identifiers form a bipartite graph, scored in turn a few times:
 
-* confidence(pattern, kind) = distinct known instances of the kind behind it / all occurrences of it,
-  and at least `min_support` distinct known instances;
+* confidence(pattern, kind) = distinct known instances of the kind behind it / distinct tokens of any sort
+  behind it, and at least `min_support` distinct known instances; so copies of texts change nothing;
 * score(instance) = 1 - product over its patterns of (1 - confidence).
 
 Instances above `min_score` join the known ones for the next round, so that a pattern learnt from
@@ -57,6 +57,11 @@ def _placed(kind: str, spans):
     return F.transform(spans, lambda x: F.named_struct(F.lit("kind"), F.lit(kind), F.lit("s"), x["s"], F.lit("e"), x["e"]))
 
 
+def _trimmed(m):
+    """The token's identifier: no quotes, brackets or sentence marks around it."""
+    return F.regexp_replace(F.regexp_replace(m, r"^[^A-Za-z0-9+]+", ""), r"[^A-Za-z0-9]+$", "")
+
+
 def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, min_confidence: float = 0.5, min_score: float = 0.8) -> DataFrame:
     """doc_id, key, one array of spans (s, e, m) a kind, and `extra`: discovered spans (kind, s, e)."""
     d = docs.select("doc_id", text_or_empty().alias("text"))
@@ -73,11 +78,10 @@ def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, m
     )
     kept = written(base.select("doc_id", "key", *KINDS, seen.alias("seen")), "pii-spans")
     known_spans = F.concat(*[_placed(k, F.col(k)) for k in KINDS])
-    # Trim the token to its identifier: no quotes, brackets or sentence marks around it.
     rows = (
         kept.select("key", known_spans.alias("known"), F.explode("seen").alias("x"))
         .select("key", "known", "x.s", "x.m", "x.left", F.regexp_extract("x.m", r"^[^A-Za-z0-9+]*", 0).alias("pre"))
-        .withColumn("token", F.regexp_replace(F.expr("substring(m, length(pre) + 1)"), r"[^A-Za-z0-9]+$", ""))
+        .withColumn("token", _trimmed(F.col("m")))
         .withColumn("s", (F.col("s") + F.length("pre")).cast("int"))
         .withColumn("e", (F.col("s") + F.length("token")).cast("int"))
         .withColumn("hit", F.get(F.filter("known", lambda k: (k["s"] < F.col("e")) & (k["e"] > F.col("s"))), F.lit(0))["kind"])
@@ -86,12 +90,14 @@ def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, m
         .distinct()
     )
     graph = written(rows, "pii-graph")
-    # Every occurrence of a context counts against it, whatever follows; only contexts of seeds are counted.
+    # Every distinct token behind a context counts against it, copies of a text once; only contexts of seeds are counted.
     lefts = graph.groupBy("left").agg(F.countDistinct(F.when(F.col("hit").isNotNull(), F.col("token"))).alias("n")).where(F.col("n") >= min_support).select("left")
+    words = F.split("text", r"\s+")
     uses = (
-        d.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("left"))
-        .groupBy("left").agg(F.count(F.lit(1)).alias("uses"))
-        .join(lefts, "left", "left_semi")
+        d.select(F.explode(F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.size(words)).alias("b"))).alias("x"))
+        .select(F.lower("x.a").alias("left"), F.col("x.b").alias("m")).where(F.length("m") > 0)
+        .join(written(lefts, "pii-lefts"), "left", "left_semi")
+        .groupBy("left").agg(F.countDistinct(F.coalesce(F.nullif(_trimmed(F.col("m")), F.lit("")), F.col("m"))).alias("uses"))
     )
     uses = written(uses, "pii-uses")
     known = graph.where("hit is not null").select("token", F.col("hit").alias("kind")).distinct()

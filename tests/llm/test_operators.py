@@ -62,6 +62,13 @@ def test_pii_contexts_discover_identifiers(spark, tmp_path):
     assert got.spans[98] == ""
 
 
+def test_pii_copies_change_no_spans(spark, tmp_path):
+    rows = [(i, f"lorem ipsum contact-mail: user{i}@example.com and so on") for i in range(30)] + [(99, "please see contact-mail: user77(at)example-com today")]
+    rows += [(i + 1000 * k, t) for i, t in rows for k in (1, 2)] + [(5000 + i, rows[0][1]) for i in range(100)]
+    got = run(spark, tmp_path, pii.op1_personal_data, rows).set_index("doc_id")
+    assert got.spans[99] == got.spans[1099] == got.spans[2099] == "email:25:46"
+
+
 # --- 2: Simple-8b
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
