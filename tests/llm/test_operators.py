@@ -197,6 +197,19 @@ def test_random_strings_and_redaction(spark):
     assert [r.text for r in got.orderBy("doc_id").collect()] == ["my key is <SECRET> ok", rows[1][1], None, "", 'é <SECRET>" end']
 
 
+def test_random_parts_of_longer_runs(spark):
+    table = secret_scan.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    a, b = "aB3dE5fG7hI9jK1lM3nO", "Zq8XvT2kWp6RjY4mLc0H"
+    texts = [f"GET /v1/customers/settings/{a} ok", f"convert_timestamp_to_default_settings_{a}", f"{a}/customers/settings/default/production/{b}", "x wQzXvKjHqPzWkXbV x", "qZxWvKjYbGfXqHzPkVwJmXcRtQzLdNsB", "see MAX_RETRIES_BEFORE_TIMEOUT_EXCEPTION", "org/apache/spark/sql/catalyst/expressions", "l" * 100_000]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in secret_scan.redact(d, table=table).orderBy("doc_id").collect()]
+    assert got[0] == "GET /v1/customers/settings/<SECRET> ok"
+    assert got[1] == "convert_timestamp_to_default_settings_<SECRET>"
+    assert got[2].startswith("<SECRET>/") and "/settings/default/" in got[2] and got[2].endswith("/<SECRET>")
+    assert got[3:5] == ["x <SECRET> x", "<SECRET>"]
+    assert got[5:] == texts[5:]
+
+
 # --- 8: n-gram join
 def brute_components(rows, size=4, threshold=85):
     sets = []
