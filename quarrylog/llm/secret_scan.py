@@ -165,7 +165,7 @@ def random_spans(text: Column, table: list[float], least: float = 25.0, least_pe
 
 
 def find_secrets(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
-    """_row (all of docs' columns), one array of spans for each kind as _kind, and _random: spans of the models that no pattern overlaps."""
+    """_row (all of docs' columns), one array of spans for each kind as _kind, and _random: spans of the models that no pattern's span holds whole."""
     table = fit(docs) if table is None else table
     own = base_spans(F.col("_text"))
     base = docs.select(F.struct("*").alias("_row"), text_or_empty().alias("_text"))
@@ -173,7 +173,7 @@ def find_secrets(docs: DataFrame, table: list[float] | None = None) -> DataFrame
         base = base.withColumn(f"_{k}", own[k])
     base = base.withColumn("_random", random_spans(F.col("_text"), table))
     taken = F.concat(*[F.col(f"_{k}") for k in KINDS])
-    return base.withColumn("_random", F.when(F.size("_random") > 0, F.filter("_random", lambda x: ~F.exists(taken, lambda y: (y["s"] < x["e"]) & (y["e"] > x["s"])))).otherwise(F.col("_random")))
+    return base.withColumn("_random", F.when(F.size("_random") > 0, F.filter("_random", lambda x: ~F.exists(taken, lambda y: (y["s"] <= x["s"]) & (y["e"] >= x["e"])))).otherwise(F.col("_random")))
 
 
 def all_spans() -> Column:

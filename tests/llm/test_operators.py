@@ -210,6 +210,15 @@ def test_random_parts_of_longer_runs(spark):
     assert got[5:] == texts[5:]
 
 
+def test_model_spans_beyond_base_spans(spark):
+    table = secret_scan.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    key = "3f9a1c5b7d2e8046af13c95b7e20d864"
+    d = spark.createDataFrame([(1, f"key {key}-1a2b3c4d-5e6f7a8b end"), (2, f"key {key} end")], "doc_id long, text string")
+    assert [r.text for r in secret_scan.redact(d, table=table).orderBy("doc_id").collect()] == ["key <SECRET> end"] * 2
+    found = {r[0]: r[1] for r in secret_scan.find_secrets(d, table).selectExpr("_row.doc_id", "transform(_random, x -> array(x.s, x.e))").collect()}
+    assert found == {1: [[4, 54]], 2: []}
+
+
 # --- 8: n-gram join
 def brute_components(rows, size=4, threshold=85):
     sets = []
