@@ -3,7 +3,8 @@
 Texts and benchmark items become tokens; numbers, names (capitalised inside a sentence) and units after a
 number become typed slots, everything else is lower-cased. Windows of `width` tokens are hashed; windows of
 documents meet those of items by a hash join. Along one alignment (place in the text less place in the
-item) the slot fillers have to be a consistent substitution: one filler of the item, one of the text.
+item) the slot fillers have to be a consistent substitution: one filler of the item, one of the text;
+where they aren't, only the windows without a slot count, which are the item's words as they stand.
 A document is reported for an item when its consistent windows cover `least_share` of the item's
 windows, or `least_windows` of them.
 
@@ -92,8 +93,11 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, least_share:
     pairs = F.transform("slots", lambda x: F.struct(F.lower(x["item_raw"]).alias("a"), F.lower(x["doc_raw"]).alias("b")))
     aligned = (
         found.groupBy("rid", "doc_id", "item_id", "n_windows", "shift")
-        .agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-        .where(F.size("pairs") == F.size(F.array_distinct(F.col("pairs.a"))))
+        .agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.size("slots") == 0, F.col("place"))).alias("free"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+        .withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.col("pairs.a"))))
+        .withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("free")))
+        .withColumn("pairs", F.when(F.col("consistent"), F.col("pairs")).otherwise(F.slice("pairs", 1, 0)))
+        .where(F.size("places") > 0)
     )
     return (
         aligned.groupBy("rid", "doc_id", "item_id", "n_windows")

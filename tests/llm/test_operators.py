@@ -123,6 +123,14 @@ def test_reparameterised_questions(spark):
     assert decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items.limit(0)).count() == 0
 
 
+def test_windows_without_slots_count_beside_a_changed_name(spark):
+    q = "so Alice walked home and " + "then she told the whole long story of the river and the stone bridge to all the people of the quiet town again and again " + "until Alice slept"
+    rows = [(1, q.replace("until Alice", "until Alicia")), (2, q), (3, "so Alice walked home and nobody knew until Alicia slept")]
+    items = spark.createDataFrame([(9, q)], "item_id long, text string")
+    got = sorted((r.doc_id, r.slots_changed) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect())
+    assert got == [(1, False), (2, False)]
+
+
 # --- 5: urls
 def brute_url(url):
     if url is None or "://" not in url:
