@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); a temporary one only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share (spark.checkpoint.dir); in local mode a temporary one where none is set."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quarrylog-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -28,7 +30,43 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` as a table in the shared folder and reads it again: lineage ends there, executors may go."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `written` made and that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20):
+    """Within it, Python workers get batches of so many rows and bytes at most, whatever the length of texts."""
+    held = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def portions(texts: list[str], most_rows: int = 500, most_chars: int = 1 << 20):
+    """(begin, end) of runs of texts of bounded number and length; one longer text is a run of its own."""
+    begin, chars = 0, 0
+    for i, t in enumerate(texts):
+        if i > begin and (i - begin >= most_rows or chars + len(t) > most_chars):
+            yield begin, i
+            begin, chars = i, 0
+        chars += len(t)
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def text_or_empty(name: str = "text") -> Column:

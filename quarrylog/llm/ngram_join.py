@@ -1,157 +1,230 @@
 """Jaccard join of word-shingle sets by T-occurrence search (DivideSkip).
 
-1. Each text becomes a set of 64-bit shingle hashes. Long sets look only at hashes under a fixed
-   bound (a consistent sample, SAMPLE of all), short ones at all of theirs; the two kinds overlap in size, so
-   that any two sets that can link meet in one of them.
-2. Inverted lists of these hashes are made by bucket, which gives each hash its exact number of documents.
-3. In a set ordered by that number, rarest first, two sets that link must share one of their first
-   n - ceil(t n) + 1 hashes. Hashes of one document fill that prefix without costing anything, so texts
-   that only share passages drop out here. What is left in a list is tied to the list's smallest
-   set, as long as sizes allow a link; the components of these ties are blocks.
-4. Inside a block, DivideSkip: for each set, short inverted lists are merged by counting, its longest lists are
-   probed by binary search, and sets that reach the required overlap link. Pairs within a component
-   that is already known are skipped, so a group of copies costs a forest, not all its pairs. Blocks beyond
-   PART_HASHES hashes are cut into parts by size, and every pair of parts that can hold a link is a task
-   of its own: memory stays bounded and no pair is lost.
-
-Equal sets met in one task are collapsed before anything is shuffled. Two sets n, m with overlap o link
-when 100 o >= threshold (n + m - o). Hash collisions (64 bits) and a set of over SHORT shingles with less
-than a quarter of its due share under the bound (chance below 1e-9) are the only ways to differ from exact.
+1. Each text becomes its set of 64-bit shingle hashes. A 32-bit part of every hash goes to a bucket, which
+   sends back, for each document, how many of its hashes no other document has. Two sets n >= m that link share at
+   least ceil(t n) hashes, so a document with more than n - ceil(t n) of its own can't link and drops out
+   here: most of a corpus does. Clashes of these parts only keep a document that could have gone.
+2. The other documents' sets, one of each content, are written once. Their hashes are counted exactly. In a set
+   ordered by that number, rarest first, two sets that link must share one of the first n - ceil(t n) + 1; hashes
+   of one document fill that prefix without costing anything. Sets of compatible size that share a hash of
+   their prefixes are tied; the components of these ties are blocks.
+3. Inside a block, DivideSkip: for each set, short inverted lists are merged by counting, its longest lists are
+   probed by binary search, and sets that reach the required overlap link. Pairs within a component that is
+   already known are skipped, so a group of copies costs a forest, not all its pairs.
+4. A block of more than PART_HASHES hashes is dealt into parts by size class and hash. Each part is solved
+   together with one pivot of its class and of the class below; only sets that are then outside the block's largest
+   component meet all parts. So a large group of near copies costs what its size is, and no link is lost.
+
+Two sets n, m with overlap o link when 100 o >= threshold (n + m - o). Hash collisions (64 bits) are the
+only way to differ from exact.
 
 Defined results: texts without words, and null texts, have an empty set and link with nothing; with fewer
 words than the shingle's size the whole sequence is one shingle; repeated rows stay, and link; rows with null
-doc_id link by their text and don't count for the smallest id (a group of only such has null); other
-columns are ignored; an empty table gives an empty result. `docs` is read twice and must give the same rows
-in the same partitions each time, as a table scan does.
+doc_id link by their text and don't count for the smallest id (a group of only such has null); very long
+texts are hashed in steps of bounded size; other columns are ignored or, in `keep_one`, kept, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import discard, portions, small_batches, text_or_empty, written
 from .components import components
 from .shingles import shingle_sets
 
-SHORT, SAMPLE = 160, 0.3
-PART_HASHES = 1_000_000
-#: Bits of the filter that spares texts outside all blocks the second pass; a fixed size.
-FILTER_BITS = 1 << 22
-FLUSH_HASHES = 2_000_000
-SEEN_LIMIT = 200_000
+#: Hashes that a chunk of documents posts at once, buckets for each shuffle partition, hashes of a block's part.
+CHUNK_HASHES, FINE, PART_HASHES = 1_000_000, 8, 500_000
+#: Up to so many keys go to every executor; more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
+POSTED = "bucket int, chunk long, doc_id array<long>, k1 array<long>, k2 array<long>, n array<long>, rep array<long>, digest binary, owners binary, data binary"
+NAMES = [x.split()[0] for x in POSTED.split(", ")]
+LONGS = pa.list_(pa.int64())
+TYPES = [pa.int32(), pa.int64(), LONGS, LONGS, LONGS, LONGS, LONGS, pa.binary(), pa.binary(), pa.binary()]
 
 
-def prefix_length(n: int, threshold: int) -> int:
+def prefix_length(n, threshold: int):
     return n - -(-threshold * n // 100) + 1
 
 
+def _keys() -> list:
+    """A row's key: rows of equal doc_id and text share it."""
+    return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("k"), "doc_id", "text").alias("k2")]
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+    d = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+    return d.select("doc_id", *_keys(), "text")
 
 
-def _sets(docs: DataFrame, size: int, threshold: int, buckets: int) -> DataFrame:
-    """Rows of two kinds: documents (arrays rid, doc_id, n, looked, rep) and postings of a bucket (hashes, owners)."""
-    bound = np.uint64(int(SAMPLE * 2**64))
-    # Sets of up to SHORT shingles show all hashes; those that can link with one of them show all, too.
-    overlap_up = SHORT * 100 // threshold + 1
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
-    def run(batches):
-        seen: dict[bytes, int] = {}
-        hashes, owners, held = [], [], 0
 
-        def flush():
-            nonlocal held
-            h, o = np.concatenate(hashes), np.concatenate(owners)
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
+def _posted(texts: DataFrame, size: int, buckets: int) -> DataFrame:
+    """For each chunk of documents a row of these (bucket under 0), and one for each bucket: 32 bits of the
+    hashes (`data`) and which of the chunk's documents has them (`owners`)."""
+
+    def run(batches):
+        part, number = TaskContext.get().partitionId(), 0
+        rows, sets, seen, held = [], [], {}, 0
+
+        def closed():
+            nonlocal number, held, rows, sets, seen
+            chunk = part << 32 | number
+            doc_id, k1, k2, n, rep, digest = zip(*rows, strict=True)
+            yield _row([-1 - number % buckets], [chunk], [doc_id], [k1], [k2], [n], [rep], [b"".join(digest)], [None], [None])
+            owner = np.array([i for i, _ in sets], np.uint32)
+            h = np.concatenate([s for _, s in sets]) if sets else np.array([], np.uint64)
+            owner = np.repeat(owner, [len(s) for _, s in sets])
+            bucket = ((h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 65536 else np.uint32)
             order = np.argsort(bucket, kind="stable")
-            h, o, bucket = h[order], o[order], bucket[order]
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
+            data, owner, cut = (h[order] >> np.uint64(32)).astype("<u4"), owner[order], np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
             full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
-            hashes.clear(), owners.clear()
-            held = 0
-            none = pa.nulls(len(full), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), none, none, none, none, none, pa.array([h[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()), pa.array([o[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary())], names=NAMES)
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                b = batch.slice(at, 500)
-                rids = b.column(0).to_pylist()
-                ns, looked, reps = [], [], []
-                for rid, s in zip(rids, shingle_sets(b.column(2).to_pylist(), size), strict=True):
-                    n = len(s)
-                    key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    rep = seen.get(key, rid) if n else rid
-                    ns.append(n)
-                    reps.append(rep)
-                    if rep != rid or not n:
-                        looked.append(0)
-                        continue
-                    if len(seen) >= SEEN_LIMIT:
-                        seen.clear()
-                    seen[key] = rid
-                    # A set in both kinds shows its hashes in the two of them; a kind is the hash's lowest bit.
-                    shown = []
-                    if n <= overlap_up:
-                        shown.append(s | np.uint64(1))
-                    if n > SHORT:
-                        shown.append(s[: np.searchsorted(s, bound)] & ~np.uint64(1))
-                    looked.append(len(shown[-1]) if n > overlap_up else n)
-                    for x in shown:
-                        x = np.unique(x)
-                        hashes.append(x)
-                        owners.append(np.full(len(x), rid, np.int64))
-                        held += len(x)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([-1], pa.int32()), *[pa.array([v], pa.list_(pa.int64())) for v in (rids, b.column(1).to_pylist(), ns, looked, reps)], pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], names=NAMES
-                )
-                if held >= FLUSH_HASHES:
-                    yield flush()
-        if held:
-            yield flush()
-
-    return _texts(docs).mapInArrow(run, "bucket int, rid array<long>, doc_id array<long>, n array<long>, looked array<long>, rep array<long>, hashes binary, owners binary")
-
-
-NAMES = ["bucket", "rid", "doc_id", "n", "looked", "rep", "hashes", "owners"]
-
-
-def _counted(postings: DataFrame, buckets: int) -> DataFrame:
-    """rid, hash, df for the hashes of two documents and more."""
+            small = owner.astype("<u2") if len(rows) <= 65536 else owner
+            none = [None] * len(full)
+            for at in range(0, len(full), 512):
+                f = full[at : at + 512]
+                yield _row(f, [chunk] * len(f), *[none[: len(f)]] * 6, [small[cut[b] : cut[b + 1]].tobytes() for b in f], [data[cut[b] : cut[b + 1]].tobytes() for b in f])
+            number, held, rows, sets, seen = number + 1, 0, [], [], {}
 
-    def run(batches):
-        h, o = [], []
         for b in batches:
-            h += [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
-            o += [np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()]
-        if not h:
-            return
-        h, o = np.concatenate(h), np.concatenate(o)
+            ids, k1, k2, texts_ = (c.to_pylist() for c in b.columns)
+            for begin, end in portions(texts_):
+                for i, s in zip(range(begin, end), shingle_sets(texts_[begin:end], size), strict=True):
+                    digest = _digest(s)
+                    rep = seen.setdefault(digest, len(rows))
+                    if rep == len(rows) and len(s):
+                        sets.append((rep, s))
+                        held += len(s)
+                    rows.append((ids[i], k1[i], k2[i], len(s), rep, digest))
+                if held >= CHUNK_HASHES or len(rows) >= 60_000:
+                    yield from closed()
+        if rows:
+            yield from closed()
+
+    return texts.mapInArrow(run, POSTED)
+
+
+def _row(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, TYPES, strict=True)], names=NAMES)
+
+
+def _singles(posted: DataFrame) -> DataFrame:
+    """Instead of the hashes of (bucket, chunk): how many of each document's no other document has (`owners`, `data`)."""
+
+    def solved(pieces):
+        h = np.concatenate([p[2] for p in pieces])
         order = np.argsort(h, kind="stable")
-        h, o = h[order], o[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        df = np.diff(np.append(first, len(h)))
-        df = np.repeat(df, df)
-        keep = df > 1
-        h, o, df = h[keep], o[keep], df[keep]
-        for at in range(0, len(h), 100_000):
-            p = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(o[p], pa.int64()), pa.array(h[p].view(np.int64), pa.int64()), pa.array(df[p], pa.int64())], names=["rid", "hash", "df"])
+        sorted_h = h[order]
+        edge = np.concatenate(([True], sorted_h[1:] != sorted_h[:-1], [True]))
+        single = np.zeros(len(h), bool)
+        single[order] = edge[:-1] & edge[1:]
+        at, out = 0, []
+        for chunk, owners, data in pieces:
+            own, n = np.unique(owners[single[at : at + len(data)]], return_counts=True)
+            at += len(data)
+            if len(own):
+                out.append((chunk, own.astype("<u4").tobytes(), n.astype("<u4").tobytes()))
+        none = [None] * len(out)
+        return _row([0] * len(out), [x[0] for x in out], *[none] * 6, [x[1] for x in out], [x[2] for x in out])
+
+    def run(batches):
+        now, pieces = None, []
+        for b in batches:
+            bucket = b.column(0).to_numpy()
+            documents = b.filter(pa.array(bucket < 0))
+            if documents.num_rows:
+                yield documents
+            b = b.filter(pa.array(bucket >= 0))
+            for k, chunk, owners, data in zip(*(b.column(c).to_pylist() for c in ("bucket", "chunk", "owners", "data")), strict=True):
+                if k != now and pieces:
+                    yield solved(pieces)
+                    pieces = []
+                now = k
+                data = np.frombuffer(data, "<u4")
+                pieces.append((chunk, np.frombuffer(owners, "<u2" if len(owners) < 4 * len(data) else "<u4"), data))
+        if pieces:
+            yield solved(pieces)
+
+    return posted.mapInArrow(run, POSTED)
+
+
+def _known(counted: DataFrame, threshold: int) -> DataFrame:
+    """One row a document; `able` if it doesn't have too many hashes of its own. Sorted by (chunk, bucket)."""
+    names = ["doc_id", "k1", "k2", "n", "digest", "able"]
+
+    def run(batches):
+        documents, singles = None, None
+
+        def closed():
+            ids, k1, k2, n, rep, digest = documents
+            able = (n > 0) & (prefix_length(n, threshold) > singles[rep])
+            return pa.RecordBatch.from_arrays([ids, k1, k2, pa.array(n), pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(n), [None, pa.py_buffer(digest)]).cast(pa.binary()), pa.array(able)], names=names)
+
+        for b in batches:
+            for i in range(b.num_rows):
+                if b.column("digest")[i].is_valid:
+                    if documents is not None:
+                        yield closed()
+                    ids, k1, k2, n, rep = (b.column(c)[i].values for c in NAMES[2:7])
+                    documents = ids, k1, k2, n.to_numpy(), rep.to_numpy(), b.column("digest")[i].as_py()
+                    singles = np.zeros(len(n), np.int64)
+                else:
+                    owners = np.frombuffer(b.column("owners")[i].as_py(), "<u4")
+                    singles[owners] += np.frombuffer(b.column("data")[i].as_py(), "<u4")
+        if documents is not None:
+            yield closed()
+
+    return counted.mapInArrow(run, "doc_id long, k1 long, k2 long, n long, digest binary, able boolean")
+
+
+def _by_keys(docs: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Semi or anti join with a table of keys, broadcast only after a look at its size."""
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return docs.join(keys, on, how)
+
 
-    return postings.select("bucket", "hashes", "owners").repartition(buckets, "bucket").mapInArrow(run, "rid long, hash long, df long")
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """digest, n, hashes of each text; a content that a task has met lately only once."""
+
+    def run(batches):
+        seen: dict[bytes, None] = {}
+        for b in batches:
+            texts_ = b.column(0).to_pylist()
+            for begin, end in portions(texts_):
+                out = []
+                for s in shingle_sets(texts_[begin:end], size):
+                    digest = _digest(s)
+                    if len(s) and digest not in seen:
+                        if len(seen) >= 100_000:
+                            seen.clear()
+                        seen[digest] = None
+                        out.append((digest, s))
+                offsets = np.cumsum([0] + [len(s) for _, s in out]).astype(np.int32)
+                flat = np.concatenate([s for _, s in out]).view(np.int64) if out else np.array([], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.binary()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["digest", "n", "hashes"])
+
+    return texts.select("text").mapInArrow(run, "digest binary, n long, hashes array<long>")
 
 
 class Block:
-    """DivideSkip over the sets of one block (or of two parts of it)."""
+    """DivideSkip over sets in ascending order of size; `sides` are bits, and only pairs that have both are looked at."""
 
-    def __init__(self, sets: list[np.ndarray], threshold: int, tag: list[int]):
-        self.sets, self.threshold, self.tag = sets, threshold, np.array(tag)
+    def __init__(self, sets: list[np.ndarray], threshold: int, sides: list[int]):
+        self.sets, self.threshold, self.sides = sets, threshold, np.array(sides)
         self.n = np.array([len(s) for s in sets])
         self.label = np.arange(len(sets))
+        self.members = [[i] for i in range(len(sets))]
         tokens = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), self.n)
         order = np.argsort(tokens, kind="stable")
@@ -160,13 +233,19 @@ class Block:
         self.keys = tokens[self.first]
         self.end = np.append(self.first[1:], len(tokens))
 
-    def links(self, two_parts: bool):
+    def join(self, i: int, j: int) -> None:
+        a, b = self.label[i], self.label[j]
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        self.label[self.members[b]] = a
+        self.members[a] += self.members[b]
+        self.members[b] = []
+
+    def links(self):
         """A forest of links: (i, j) whose sets link and that were not connected before."""
         t = self.threshold
         for i in range(len(self.sets)):
             n = int(self.n[i])
-            if not n:
-                continue
             at = np.searchsorted(self.keys, self.sets[i])
             begin, end = self.first[at], self.end[at]
             order = np.argsort(end - begin, kind="stable")
@@ -179,12 +258,9 @@ class Block:
             size = end[:short] - begin[:short]
             where = np.repeat(begin[:short] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
             found, count = np.unique(self.owner[where], return_counts=True)
-            keep = (found > i) & (count >= need - (len(at) - short)) & (self.label[found] != self.label[i])
-            keep &= (100 * np.minimum(self.n[found], n) >= t * np.maximum(self.n[found], n))
+            keep = (found > i) & (count >= need - (len(at) - short)) & (self.label[found] != self.label[i]) & ((self.sides[found] | self.sides[i]) == 3)
+            keep &= 100 * np.minimum(self.n[found], n) >= t * np.maximum(self.n[found], n)
             found, count = found[keep], count[keep]
-            if two_parts:
-                other = self.tag[found] != self.tag[i]
-                found, count = found[other], count[other]
             if not len(found):
                 continue
             m = self.n[found]
@@ -205,7 +281,7 @@ class Block:
                     count = count + (own[p] == found)
             for j in found[count >= least].tolist():
                 if self.label[j] != self.label[i]:
-                    self.label[self.label == self.label[j]] = self.label[i]
+                    self.join(i, j)
                     yield i, j
 
     def _merged(self, lists: list[tuple[int, int]]) -> np.ndarray:
@@ -215,128 +291,115 @@ class Block:
         return np.bincount(np.concatenate([self.owner[b:e] for b, e in lists]), minlength=len(self.sets))
 
 
-def _block_links(cells: DataFrame, threshold: int) -> DataFrame:
-    """cells: block, cell, two, part, rid, hashes, sorted by (block, cell). Returns a, b."""
+def _links(cells: DataFrame, threshold: int) -> DataFrame:
+    """cells: block, cell, side, id, hashes. Returns links a, b: a forest for each cell."""
+    laid = cells.repartition("block", "cell").sortWithinPartitions("block", "cell", F.size("hashes"), "id").select(F.concat_ws("/", "block", "cell").alias("cell"), "side", "id", "hashes")
 
-    def run(batches):
-        key, rows = None, []
-
-        def solved():
-            # Equal sets link at once; one of them stands for all.
-            groups: dict[bytes, int] = {}
-            sets, rids, tags, out = [], [], [], []
-            for part, rid, data in rows:
-                if data in groups:
-                    out.append((rids[groups[data]], rid))
-                    continue
-                groups[data] = len(sets)
-                sets.append(np.frombuffer(data, np.uint64))
-                rids.append(rid)
-                tags.append(part)
-            if len(sets) > 1:
-                out += [(rids[i], rids[j]) for i, j in Block(sets, threshold, tags).links(key[2])]
-            return out
+    def rows(batches):
+        for b in batches:
+            hashes = b.column(3)
+            yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), (hashes[i].values.to_numpy().view(np.uint64) for i in range(len(hashes))), strict=True)
 
+    def run(batches):
         found = []
-        for batch in batches:
-            for block, cell, two, part, rid, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (block, cell, two) != key:
-                    if rows:
-                        found += solved()
-                    key, rows = (block, cell, two), []
-                rows.append((part, rid, data))
+        for _, group in groupby(rows(batches), key=lambda r: r[0]):
+            sides: dict[int, int] = {}
+            sets = []
+            for _, side, i, s in group:
+                if i not in sides:
+                    sets.append(s)
+                sides[i] = sides.get(i, 0) | side
+            ids = list(sides)
+            if len(sets) > 1:
+                found += [(ids[i], ids[j]) for i, j in Block(sets, threshold, list(sides.values())).links()]
             if len(found) > 10_000:
                 yield _pairs(found)
                 found = []
-        if rows:
-            found += solved()
         yield _pairs(found)
 
-    return cells.mapInArrow(run, "a long, b long")
+    return laid.mapInArrow(run, "a long, b long")
 
 
 def _pairs(found):
     return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
 
 
-def _wanted_filter(ids: DataFrame) -> np.ndarray:
-    """FILTER_BITS bits, set at the hash of each wanted id: 64 ids a word, OR-ed before they move."""
-    h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    words = ids.select((h / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {FILTER_BITS}) % 32 as int))").alias("bit")).groupBy("w").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 32, np.int64)
-    out[words.w.to_numpy()] = words.bits.to_numpy()
-    return out
-
-
-def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """rid, hashes of the texts whose rid may be wanted."""
-    shared = docs.sparkSession.sparkContext.broadcast(_wanted_filter(ids))
-
-    def run(batches):
-        bits = shared.value
-        for batch in batches:
-            h = batch.column(2).to_numpy()
-            keep = (bits[h // 32] >> (h % 32)) & 1 == 1
-            batch = batch.filter(pa.array(keep))
-            for at in range(0, batch.num_rows, 500):
-                b = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), size)], pa.binary())], names=["rid", "hashes"])
-
-    return _texts(docs).select("rid", "text", F.pmod(F.xxhash64("rid"), F.lit(FILTER_BITS)).alias("h")).mapInArrow(run, "rid long, hashes binary")
+def _ties(sets: DataFrame, threshold: int) -> DataFrame:
+    """a, b: sets that share a rare hash, so that any two that can link are connected."""
+    postings = sets.select("id", "n", F.explode("hashes").alias("hash"))
+    shared = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
+    rare = postings.join(shared, "hash").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("hashes")).withColumn("left", (prefix - (F.col("n") - F.size("hashes"))).cast("int"))
+    # Sets that can link are of one size class or of neighbouring ones.
+    lists = rare.where("left > 0").select("id", F.floor(F.log("n") / math.log(100 / threshold) + 1e-9).alias("class") if threshold < 100 else F.col("n").alias("class"), F.explode(F.slice("hashes.hash", 1, F.col("left"))).alias("hash"))
+    first = lists.groupBy("hash", "class").agg(F.min("id").alias("a"))
+    within = lists.join(first, ["hash", "class"]).select("a", F.col("id").alias("b"))
+    across = first.join(first.select("hash", (F.col("class") - 1).alias("class"), F.col("a").alias("b")), ["hash", "class"]).select("a", "b")
+    return within.union(across).where("a <> b")
+
+
+def _roots(sets: DataFrame, threshold: int) -> DataFrame:
+    """id, root for sets that link with others; root is the smallest id of the component."""
+    blocks = written(components(_ties(sets, threshold), "ngram-ties").withColumnRenamed("root", "block"), "ngram-blocks")
+    classed = blocks.join(sets.select("id", "n"), "id").withColumn("class", F.floor(F.log("n") / math.log(100 / threshold) + 1e-9) if threshold < 100 else F.col("n"))
+    by_class = classed.groupBy("block", "class").agg(F.sum("n").alias("hashes"), F.min("id").alias("pivot"))
+    large = by_class.groupBy("block").agg(F.sum("hashes").alias("total")).where(F.col("total") > PART_HASHES).select("block")
+    by_class = written(by_class.join(large, "block"), "ngram-large")
+    shown = sets.select("id", "hashes")
+    in_large = by_class.select("block").distinct()
+    small = blocks.join(in_large, "block", "left_anti").select("block", F.lit("").alias("cell"), F.lit(3).alias("side"), "id").join(shown, "id")
+    links = written(_links(small, threshold), "ngram-links")
+    if by_class.isEmpty():
+        return components(links, "ngram-roots")
+    dealt = lambda d, n, most: d.withColumn("parts", F.ceil(F.col(n) / most).cast("int")).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    parts = written(dealt(classed.join(by_class.select("block", "class", "hashes"), ["block", "class"]), "hashes", PART_HASHES).select("block", "class", "part", "parts", "id", "n"), "ngram-parts")
+    own = parts.select("block", F.concat_ws(":", "class", "part").alias("cell"), "id")
+    pivots = by_class.select("block", "pivot", F.explode(F.array("class", F.col("class") + 1)).alias("class")).join(parts.select("block", "class", "part").distinct(), ["block", "class"])
+    first = own.union(pivots.select("block", F.concat_ws(":", "class", "part").alias("cell"), F.col("pivot").alias("id"))).distinct()
+    inside = written(_links(first.withColumn("side", F.lit(3)).join(shown, "id"), threshold), "ngram-inside")
+    joined = written(components(inside, "ngram-inside-roots"), "ngram-inside-roots")
+    placed = parts.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    main = placed.groupBy("block", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("block").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
+    rest = placed.join(main, "block").where("root <> main").select("block", "class", "id", "n")
+    totals = rest.groupBy("block", "class").agg(F.sum("n").alias("rest"))
+    rest = written(dealt(rest.join(totals, ["block", "class"]), "rest", PART_HASHES).select("block", "class", "part", "parts", "id"), "ngram-rest")
+    kinds = lambda d: d.select("block", "class", "part").distinct()
+    meets = (
+        kinds(rest).select("block", F.col("class").alias("c"), F.col("part").alias("p"), F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1)).alias("class"))
+        .join(kinds(parts).withColumnRenamed("part", "q"), ["block", "class"]).withColumn("cell", F.concat_ws(":", "c", "p", "class", "q"))
+    )
+    one = rest.join(meets.select("block", F.col("c").alias("class"), F.col("p").alias("part"), "cell"), ["block", "class", "part"]).select("block", "cell", F.lit(1).alias("side"), "id")
+    two = parts.join(meets.select("block", "class", F.col("q").alias("part"), "cell"), ["block", "class", "part"]).select("block", "cell", F.lit(2).alias("side"), "id")
+    across = written(_links(one.union(two).join(shown, "id"), threshold), "ngram-across")
+    return components(links.union(inside).union(across), "ngram-roots")
 
 
 def ngram_components(docs: DataFrame, size: int = 4, threshold: int = 85) -> DataFrame:
-    """rid, doc_id, n_shingles, component_id for every row of docs."""
+    """doc_id, k1, k2 (key of doc_id and text), n_shingles, component_id and group for every row of docs.
+
+    `group` is the smallest content digest of the component, null for texts without words.
+    """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = written(_sets(docs, size, threshold, buckets), "ngram-sets")
-    known = (
-        rows.where("bucket = -1").select(F.explode(F.arrays_zip("rid", "doc_id", "n", "looked", "rep")).alias("x")).select("x.*")
-    )
-    counted = written(_counted(rows.where("bucket >= 0"), buckets), "ngram-counts")
-    # What is left of each prefix once its hashes of one document are taken off, for both kinds of hashes.
-    overlap_up = SHORT * 100 // threshold + 1
-    per_set = (
-        counted.groupBy("rid", (F.col("hash") % 2 != 0).alias("full")).agg(F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("hashes"))
-        .join(known.where("n > 0 and rep = rid").select("rid", "n", "looked"), "rid")
-    )
-    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
-    singles = F.when(F.col("full"), F.col("n")).when(F.col("n") <= overlap_up, F.lit(0)).otherwise(F.col("looked")) - F.size("hashes")
-    left = (prefix - F.greatest(singles, F.lit(0))).cast("int")
-    lists = per_set.withColumn("left", left).where("left > 0").select("rid", "n", F.explode(F.slice("hashes", 1, F.col("left"))).alias("x")).select("rid", "n", "x.hash")
-    # Within a list, by size: a run ends where the next set is too large to link with any before it.
-    by_size = Window.partitionBy("hash").orderBy("n", "rid")
-    ties = (
-        lists.withColumn("before", F.lag("n").over(by_size))
-        .withColumn("run", F.sum(F.when(F.col("before") * 100 < F.col("n") * threshold, 1).otherwise(0)).over(by_size))
-        .withColumn("a", F.first("rid").over(Window.partitionBy("hash", "run").orderBy("n", "rid")))
-        .where("a <> rid").select("a", F.col("rid").alias("b")).distinct()
-    )
-    blocks = written(components(ties, "ngram-ties"), "ngram-blocks")
-    sized = blocks.join(known.select(F.col("rid").alias("id"), "n"), "id")
-    in_block = Window.partitionBy("root").orderBy("n", "id")
-    sized = sized.withColumn("part", F.floor((F.sum("n").over(in_block) - F.col("n")) / PART_HASHES).cast("int"))
-    parts = sized.groupBy("root", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    cells = (
-        parts.alias("p").join(parts.alias("q"), (F.col("p.root") == F.col("q.root")) & (F.col("p.part") <= F.col("q.part")) & (F.col("p.high") * 100 >= F.col("q.low") * threshold))
-        .select("p.root", F.col("p.part").alias("p"), F.col("q.part").alias("q"))
-        .withColumn("cell", F.concat_ws(":", "p", "q"))
-    )
-    cells = cells.select("root", "cell", (F.col("p") != F.col("q")).alias("two"), F.explode(F.array_distinct(F.array("p", "q"))).alias("part"))
-    members = sized.select("root", "part", F.col("id").alias("rid")).join(cells, ["root", "part"])
-    full = _full_sets(docs, blocks.select("id"), size)
-    laid = (
-        members.join(full, "rid")
-        .select(F.col("root").alias("block"), "cell", "two", "part", "rid", "hashes")
-        .repartition("block", "cell").sortWithinPartitions("block", "cell", F.length("hashes"), "rid")
-    )
-    links = written(_block_links(laid, threshold), "ngram-links")
-    # Links between representatives, and copies to theirs; the root's name is the smallest doc_id of all.
-    roots = written(components(links, "ngram-roots"), "ngram-root").withColumnRenamed("id", "rep")
-    placed = known.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    named = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return placed.join(named, "root", "left").select(
-        "rid", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = _texts(docs)
+    with small_batches(spark):
+        posted = _posted(texts, size, FINE * partitions).repartition(partitions, "bucket").sortWithinPartitions("bucket", "chunk")
+        counted = _singles(posted).repartition(partitions, "chunk").sortWithinPartitions("chunk", F.isnull("digest"))
+        known = written(_known(counted, threshold), "ngram-known")
+        able = _by_keys(texts, known.where("able").select("k1").distinct(), ["k1"], "left_semi")
+        sets = _sets(able, size).groupBy("digest").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
+        # Numbered as they are written, so that a set has one number ever after.
+        sets = written(sets.withColumn("id", F.monotonically_increasing_id()), "ngram-sets")
+        roots = written(_roots(sets, threshold), "ngram-roots")
+    # Contents get their component's names: the smallest doc_id of all its rows, the smallest digest.
+    contents = known.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    linked = contents.join(roots.join(sets.select("id", "digest"), "id").select("digest", "root"), "digest")
+    names = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.min("digest").alias("group")), "root").select("digest", "component_id", "group")
+    named = contents.join(names, "digest", "left").select("digest", F.when(F.col("group").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("group", "digest").alias("group"))
+    named = written(named, "ngram-named")
+    discard(sets)
+    return known.join(named, "digest", "left").select(
+        "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "group"
     )
 
 
@@ -345,8 +408,13 @@ def op8_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
-    """One document of each group of near copies: that of the smallest doc_id, then the first row."""
-    found = ngram_components(docs, size, threshold)
-    keep = written(found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "rid")).alias("x")).select("x.rid")
-                   .union(found.where("n_shingles = 0 or component_id is null").select("rid")), "ngram-kept")
-    return docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_rid")).join(keep.withColumnRenamed("rid", "_rid"), "_rid", "left_semi").select("_row.*")
+    """One document of each group of near copies: that of the smallest doc_id (null last); of rows that share it, any one."""
+    found = written(ngram_components(docs, size, threshold).where("group is not null").select("group", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "k1", "k2"), "ngram-found")
+    best = found.groupBy("group").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("best"))
+    gone = written(found.join(best, "group").where(F.struct("doc_id", "k1", "k2") != F.col("best")).select("k1", "k2").distinct(), "ngram-gone")
+    again = written(found.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2").join(gone, ["k1", "k2"], "left_anti"), "ngram-again")
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long"), text_or_empty().alias("text")).select("_row", *_keys())
+    kept = _by_keys(rows, gone.union(again), ["k1", "k2"], "left_anti")
+    if not again.isEmpty():  # rows of equal doc_id and text
+        kept = kept.unionByName(_by_keys(rows, again, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]))
+    return kept.select("_row.*")

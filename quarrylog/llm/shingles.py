@@ -34,8 +34,28 @@ def _power(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+#: Bytes hashed at once; the arrays of one step take some 40 times as much.
+STEP = 1 << 20
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of each word (run of non-blank bytes, A-Z lower-cased)."""
+    hashes, starts, at = [np.array([], np.uint64)], [np.array([], np.int64)], 0
+    while at < len(data):
+        end = at + STEP
+        if end < len(data):  # cut at the next blank
+            size = STEP
+            while end < len(data) and not BLANK[data[end]]:
+                blank = np.flatnonzero(BLANK[data[end : end + size]])
+                end = end + int(blank[0]) if len(blank) else min(end + size, len(data))
+        h, s = _hashes_of(data[at:end])
+        hashes.append(h)
+        starts.append(s + at)
+        at = end
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _hashes_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     solid = ~BLANK[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], solid, [False])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
