@@ -332,6 +332,7 @@ def _ties(sets: DataFrame, threshold: int) -> DataFrame:
     rare = postings.join(shared, "hash").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("hashes")).withColumn("left", (prefix - (F.col("n") - F.size("hashes"))).cast("int"))
     # Sets that can link are of one size class or of neighbouring ones.
     lists = rare.where("left > 0").select("id", F.floor(F.log("n") / math.log(100 / threshold) + 1e-9).alias("class") if threshold < 100 else F.col("n").alias("class"), F.explode(F.slice("hashes.hash", 1, F.col("left"))).alias("hash"))
+    lists = written(lists, "ngram-lists")
     first = lists.groupBy("hash", "class").agg(F.min("id").alias("a"))
     within = lists.join(first, ["hash", "class"]).select("a", F.col("id").alias("b"))
     across = first.join(first.select("hash", (F.col("class") - 1).alias("class"), F.col("a").alias("b")), ["hash", "class"]).select("a", "b")
