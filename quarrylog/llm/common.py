@@ -78,43 +78,88 @@ def row_key(*names: str) -> Column:
     return F.concat_ws(":", F.hex(F.xxhash64(*names)), F.hex(F.xxhash64(F.lit("k"), *names)))
 
 
+def row_keys() -> list[Column]:
+    """k1, k2: a key that rows of equal doc_id and text share. It is made of what rows hold, so every scan gives the same."""
+    return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("k"), "doc_id", "text").alias("k2")]
+
+
+#: Up to so many rows of keys go to every executor; more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def by_keys(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join with a table of keys, broadcast only after a look at its size."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, on, how)
+
+
 SPANS = "array<struct<s:int,e:int,m:string>>"
+#: Matches that one running sum takes; an array grows by copying, so long ones are summed in two levels.
+SUMMED = 256
+
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-def regex_spans(text: Column, pattern: str, keep=None, needs: str | None = None) -> Column:
+
+def regex_spans(text: Column, pattern: str, keep=None, needs: str | None = None, around: bool = False) -> Column:
     """Leftmost non-overlapping matches of `pattern` as structs (s, e, m): code points, end exclusive.
 
     The texts between matches come from split, the matches from regexp_extract_all; a running sum of
     lengths gives the offsets. `keep(m)` drops matches that fail, without another try inside them.
-    `needs` is a literal that every match holds: texts without it skip the regex.
+    `needs` is a literal that every match holds: texts without it skip the regex. With `around`, gap is
+    the text behind the match before, and `before` is that match. The cost is linear in the text.
     """
-    none = F.expr(f"cast(array() as {SPANS})")
-    pairs = F.arrays_zip(
-        F.split(text, pattern, -1).alias("p"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
-    )
+    none = F.expr("cast(array() as " + (SPANS.replace("m:string", "m:string,gap:string,before:string") if around else SPANS) + ")")
+
+    def pairs(matches):
+        columns = [F.split(text, pattern, -1).alias("p"), matches.alias("m")]
+        return F.arrays_zip(*columns, F.concat(F.array(F.lit(None).cast("string")), matches).alias("b")) if around else F.arrays_zip(*columns)
+
+    size = lambda x: F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["p"])
-        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
+        end = acc["at"] + size(x)
         valid = x["m"].isNotNull()
         if keep is not None:
             valid = valid & keep(x["m"])
-        item = F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"))
+        item = F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"), *([x["p"].alias("gap"), x["b"].alias("before")] if around else []))
         return F.struct(end.alias("at"), F.when(valid, F.array_append(acc["out"], item)).otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        step,
-        lambda acc: acc["out"],
-    )
+    def summed(part, at):
+        return F.aggregate(part, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    def in_parts(p):
+        parts = F.transform(F.sequence(F.lit(1), F.size(p), F.lit(SUMMED)), lambda i: F.slice(p, i, F.lit(SUMMED)))
+
+        def placed(parts):
+            sizes = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda acc, x: acc + size(x)))
+            starts = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
+            return F.flatten(F.transform(F.arrays_zip(parts.alias("part"), starts.alias("at")), lambda x: F.when(x["part"].isNull(), none).otherwise(summed(x["part"], x["at"]))))
+
+        return let(parts, placed)
+
+    found = let(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pairs), lambda p: F.when(F.size(p) <= SUMMED, summed(p, F.lit(0))).otherwise(in_parts(p)))
     has = text.rlike(pattern)
     if needs is not None:
         has = F.contains(text, F.lit(needs)) & has
     return F.when(has, found).otherwise(none)
 
 
+def indexed(spans: Column) -> Column:
+    """Spans by place in parts of SUMMED, each with where it begins and ends: an index for `overlapping`."""
+    part = lambda i: F.slice(spans, i, F.lit(SUMMED))
+    one = lambda i: F.struct(F.element_at(part(i), 1)["s"].alias("s"), F.array_max(F.transform(part(i), lambda x: x["e"])).alias("e"), part(i).alias("spans"))
+    return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size(spans), F.lit(1)), F.lit(SUMMED)), lambda i: F.size(spans) > 0), one)
+
+
+def overlapping(index: Column, s: Column, e: Column) -> Column:
+    """The spans of an index that overlap s to e, by place; only parts that do are passed."""
+    meets = lambda k: (k["s"] < e) & (k["e"] > s)
+    return F.flatten(F.transform(F.filter(index, meets), lambda p: F.filter(p["spans"], meets)))
+
+
 def labels_of(kind: Column | str, spans: Column) -> Column:
     """kind:start:end of each span."""
     kind = F.lit(kind) if isinstance(kind, str) else kind

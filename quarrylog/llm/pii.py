@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labels_of, regex_spans, row_key, text_or_empty, written
+from .common import indexed, labels_of, let, overlapping, regex_spans, row_key, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 # Possessive forms of the contract's patterns: the same matches, without backtracking or recursion.
@@ -54,39 +54,47 @@ def base_spans(text):
 
 
 def _placed(kind: str, spans):
-    return F.transform(spans, lambda x: F.named_struct(F.lit("kind"), F.lit(kind), F.lit("s"), x["s"], F.lit("e"), x["e"]))
+    return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind")))
+
+
+def _with_hits(index):
+    """left, token, s, e of the tokens seen, and the kind of the first fixed span that each overlaps."""
+
+    def trimmed(x):
+        s = x["s"] + F.length(F.regexp_extract(x["m"], r"^[^A-Za-z0-9+]*+", 0))
+        return F.struct(x["left"].alias("left"), _trimmed(x["m"]).alias("token"), s.alias("s"))
+
+    def hit(x):
+        e = x["s"] + F.length(x["token"])
+        return F.struct(x["left"].alias("left"), x["token"].alias("token"), x["s"].cast("int").alias("s"), e.cast("int").alias("e"), F.get(overlapping(index, x["s"], e), F.lit(0))["kind"].alias("hit"))
+
+    return F.transform(F.transform("seen", trimmed), hit)
 
 
 def _trimmed(m):
     """The token's identifier: no quotes, brackets or sentence marks around it."""
-    return F.regexp_replace(F.regexp_replace(m, r"^[^A-Za-z0-9+]+", ""), r"[^A-Za-z0-9]+$", "")
+    return F.regexp_replace(F.regexp_replace(m, r"^[^A-Za-z0-9+]++", ""), r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
 
 
 def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, min_confidence: float = 0.5, min_score: float = 0.8) -> DataFrame:
     """doc_id, key, one array of spans (s, e, m) a kind, and `extra`: discovered spans (kind, s, e)."""
     d = docs.select("doc_id", text_or_empty().alias("text"))
     base = d.select("doc_id", row_key("doc_id", "text").alias("key"), "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    tokens = regex_spans(F.col("text"), CANDIDATE)
-    # One pass over the texts leaves the spans and, for the few tokens with a digit or @, their contexts.
+    tokens = regex_spans(F.col("text"), CANDIDATE, around=True)
+    # One pass over the texts leaves the spans and, for the few tokens with a digit or @, their contexts: the
+    # token before, which ends the text between or is a token of the same sort.
     seen = F.transform(
         tokens,
         lambda x: F.struct(
             x["s"].alias("s"),
             x["m"].alias("m"),
-            F.lower(F.regexp_extract(F.substring(F.col("text"), F.greatest(x["s"] - 47, F.lit(1)), F.least(x["s"], F.lit(48))), r"(\S+)\s+$", 1)).alias("left"),
+            F.lower(F.when(x["gap"].rlike(r"^\s++$"), F.coalesce(x["before"], F.lit(""))).otherwise(F.regexp_extract(x["gap"], r"(?<!\S)(\S++)\s++$", 1))).alias("left"),
         ),
     )
     kept = written(base.select("doc_id", "key", *KINDS, seen.alias("seen")), "pii-spans")
-    known_spans = F.concat(*[_placed(k, F.col(k)) for k in KINDS])
     rows = (
-        kept.select("key", known_spans.alias("known"), F.explode("seen").alias("x"))
-        .select("key", "known", "x.s", "x.m", "x.left", F.regexp_extract("x.m", r"^[^A-Za-z0-9+]*", 0).alias("pre"))
-        .withColumn("token", _trimmed(F.col("m")))
-        .withColumn("s", (F.col("s") + F.length("pre")).cast("int"))
-        .withColumn("e", (F.col("s") + F.length("token")).cast("int"))
-        .withColumn("hit", F.get(F.filter("known", lambda k: (k["s"] < F.col("e")) & (k["e"] > F.col("s"))), F.lit(0))["kind"])
+        kept.select("key", F.explode(let(indexed(F.array_sort(F.concat(*[_placed(k, F.col(k)) for k in KINDS]))), _with_hits)).alias("x")).select("key", "x.*")
         .where((F.length("left") > 0) & (F.length("token") >= 6))
-        .select("key", "left", "token", "s", "e", "hit")
         .distinct()
     )
     graph = written(rows, "pii-graph")

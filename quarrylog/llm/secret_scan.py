@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import regex_spans, text_or_empty
+from .common import indexed, let, overlapping, regex_spans, text_or_empty
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?+\x20*+[:=]\x20*+[\"']?+[A-Za-z0-9+/_.=-]++"
@@ -112,7 +112,7 @@ def random_parts(m: Column, table: list[float], least: float, least_per_pair: fl
 
     The pair ratios, less half of `least_per_pair` each, are summed from where they begin to rise; a part
     closes where the sum falls to 0 or by DROP from its best, and ends at its best. It counts if its ratios reach
-    `least` and `least_per_pair`, and is then widened to the separators around it. A run that does so as a
+    `least` and `least_per_pair`, and then stands for the words between separators that it touches. A run that does so as a
     whole is one part.
     """
     drift = least_per_pair / 2
@@ -139,14 +139,13 @@ def random_parts(m: Column, table: list[float], least: float, least_per_pair: fl
 
     def finish(acc):
         whole = (acc["total"] >= least) & (acc["total"] >= least_per_pair * (F.length(m) - 1))
-        widened = F.transform(
-            acc["out"],
-            lambda x: F.struct(
-                (x["s"] - F.length(F.regexp_extract(F.substring(m, F.lit(1), x["s"]), "(?<![A-Za-z0-9+])[A-Za-z0-9+]++$", 0))).cast("int").alias("s"),
-                (x["e"] + F.length(F.regexp_extract(F.substring(m, x["e"] + 1, F.length(m)), "^[A-Za-z0-9+]*+", 0))).cast("int").alias("e"),
-            ),
-        )
-        return F.when(whole, F.array(F.struct(F.lit(0).alias("s"), F.length(m).alias("e")))).otherwise(F.array_distinct(widened))
+        # A part stands for all of the words, between separators, that it touches.
+        def widened(index):
+            found = lambda x: overlapping(index, x["s"], x["e"])
+            return F.transform(acc["out"], lambda x: let(found(x), lambda w: F.struct(
+                F.coalesce(F.get(w, F.lit(0))["s"], x["s"]).cast("int").alias("s"), F.coalesce(F.get(w, F.size(w) - 1)["e"], x["e"]).cast("int").alias("e"))))
+
+        return F.when(whole, F.array(F.struct(F.lit(0).alias("s"), F.length(m).alias("e")))).when(F.size(acc["out"]) > 0, F.array_distinct(let(indexed(regex_spans(m, "[A-Za-z0-9+]++")), widened))).otherwise(none)
 
     return F.aggregate(ratios(m, table), start, step, finish)
 
