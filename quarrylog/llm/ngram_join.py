@@ -37,14 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, portions, small_batches, text_or_empty, written
+from .common import by_keys, discard, portions, row_keys, small_batches, text_or_empty, written
 from .components import components
 from .shingles import shingle_sets
 
 #: Hashes that a chunk of documents posts at once, buckets for each shuffle partition, hashes of a block's part.
 CHUNK_HASHES, FINE, PART_HASHES = 1_000_000, 8, 500_000
-#: Up to so many keys go to every executor; more are joined by shuffle.
-BROADCAST_KEYS = 1_000_000
 POSTED = "bucket int, chunk long, doc_id array<long>, k1 array<long>, k2 array<long>, n array<long>, rep array<long>, digest binary, owners binary, data binary"
 NAMES = [x.split()[0] for x in POSTED.split(", ")]
 LONGS = pa.list_(pa.int64())
@@ -55,14 +53,9 @@ def prefix_length(n, threshold: int):
     return n - -(-threshold * n // 100) + 1
 
 
-def _keys() -> list:
-    """A row's key: rows of equal doc_id and text share it."""
-    return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("k"), "doc_id", "text").alias("k2")]
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    return d.select("doc_id", *_keys(), "text")
+    return d.select("doc_id", *row_keys(), "text")
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -187,13 +180,6 @@ def _known(counted: DataFrame, threshold: int) -> DataFrame:
     return counted.mapInArrow(run, "doc_id long, k1 long, k2 long, n long, digest binary, able boolean")
 
 
-def _by_keys(docs: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Semi or anti join with a table of keys, broadcast only after a look at its size."""
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return docs.join(keys, on, how)
-
-
 def _sets(texts: DataFrame, size: int) -> DataFrame:
     """digest, n, hashes of each text; a content that a task has met lately only once."""
 
@@ -387,7 +373,7 @@ def ngram_components(docs: DataFrame, size: int = 4, threshold: int = 85) -> Dat
         posted = _posted(texts, size, FINE * partitions).repartition(partitions, "bucket").sortWithinPartitions("bucket", "chunk")
         counted = _singles(posted).repartition(partitions, "chunk").sortWithinPartitions("chunk", F.isnull("digest"))
         known = written(_known(counted, threshold), "ngram-known")
-        able = _by_keys(texts, known.where("able").select("k1").distinct(), ["k1"], "left_semi")
+        able = by_keys(texts, known.where("able").select("k1").distinct(), ["k1"], "left_semi")
         sets = _sets(able, size).groupBy("digest").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
         # Numbered as they are written, so that a set has one number ever after.
         sets = written(sets.withColumn("id", F.monotonically_increasing_id()), "ngram-sets")
@@ -414,8 +400,8 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     best = found.groupBy("group").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("best"))
     gone = written(found.join(best, "group").where(F.struct("doc_id", "k1", "k2") != F.col("best")).select("k1", "k2").distinct(), "ngram-gone")
     again = written(found.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2").join(gone, ["k1", "k2"], "left_anti"), "ngram-again")
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long"), text_or_empty().alias("text")).select("_row", *_keys())
-    kept = _by_keys(rows, gone.union(again), ["k1", "k2"], "left_anti")
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long"), text_or_empty().alias("text")).select("_row", *row_keys())
+    kept = by_keys(rows, gone.union(again), ["k1", "k2"], "left_anti")
     if not again.isEmpty():  # rows of equal doc_id and text
-        kept = kept.unionByName(_by_keys(rows, again, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]))
+        kept = kept.unionByName(by_keys(rows, again, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]))
     return kept.select("_row.*")
