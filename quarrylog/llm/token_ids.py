@@ -3,14 +3,15 @@
 A 64-bit word holds a selector in its top four bits and, below, as many ids of one width as the
 selector says. Ids of 60 bits and more are escapes: their word holds an index into the block's list of
 raw values. A block covers whole documents; `marks` has the number of ids before every
-MARK-th word, so that a reader can start inside a block and decode all words of a selector at once.
+MARK-th word, so that the reader starts inside a block, decodes some documents at a time, and all words of a
+selector at once.
 
 Blocks are rows of a Parquet table, sorted by (shard, block); shards are ranges of doc_id. The writer is
 Spark's, so that files appear only when a task commits, on any store that Spark can reach.
 
 Defined results: null text counts as empty (then only the end id is written); a null doc_id sorts first;
-rows with equal doc_id are in the order of their texts; other columns are ignored; an empty table gives
-an empty result.
+rows with equal doc_id are in the order of their texts; other columns are ignored, whatever their names;
+an empty table gives an empty result. Texts of any length stay whole: a long one is a block of its own size.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_path, text_or_empty
+from .common import portions, scratch_path, text_or_empty
 from .words import ByteLevelPieces, table
 
 #: selector -> (ids in the word, bits of each); 0 is an escape, 1 a run of zeros.
@@ -31,6 +32,8 @@ SELECTORS = ((1, 60), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10
 COUNTS = np.array([n for n, _ in SELECTORS])
 MARK = 256
 BLOCK_IDS = 1 << 17
+#: Ids that the reader decodes at once, in whole documents.
+READ_IDS = 1 << 15
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,6 +96,16 @@ def unpack(words: np.ndarray, raw: np.ndarray, dtype=np.uint32) -> np.ndarray:
     return out
 
 
+def unpack_range(words: np.ndarray, marks: np.ndarray, raw: np.ndarray, begin: int, end: int, dtype=np.uint32) -> np.ndarray:
+    """The ids begin to end of a block: only the words between the marks around them are decoded."""
+    if begin >= end:
+        return np.array([], dtype)
+    first = int(np.searchsorted(marks, begin, "right")) - 1
+    last = int(np.searchsorted(marks, end, "left"))
+    part = unpack(words[first * MARK : last * MARK], raw, dtype)
+    return part[begin - int(marks[first]) : end - int(marks[first])]
+
+
 BLOCK_SCHEMA = "shard int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>, words binary, marks binary, raw binary"
 
 
@@ -117,8 +130,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         total = 0
         for b in batches:
             texts = b.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                for name, data in zip(b.column(0)[at : at + 256].to_pylist(), pieces.encode(texts[at : at + 256]), strict=True):
+            for at, to in portions(texts, 256):
+                for name, data in zip(b.column(0)[at:to].to_pylist(), pieces.encode(texts[at:to]), strict=True):
                     held += (data, end)
                     sizes.append(len(data) // 4 + 1)
                     names.append(name)
@@ -154,17 +167,22 @@ def read_ids(spark, path: str, digest_only: bool = False) -> DataFrame:
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                ids = unpack(np.frombuffer(r["words"], np.uint64), np.frombuffer(r["raw"], np.uint64))
+                packed = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["marks"], np.uint32), np.frombuffer(r["raw"], np.uint64)
                 ends = np.cumsum(r["lengths"])
                 starts = ends - r["lengths"]
-                cut = [ids[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-                data = [zlib.crc32(x.astype("<u4", copy=False)) for x in cut] if digest_only else [x.tolist() for x in cut]
+                data, at = [], 0
+                while at < len(ends):  # some documents at a time, found by the marks
+                    to = max(at + 1, int(np.searchsorted(ends, starts[at] + READ_IDS, "right")))
+                    ids = unpack_range(*packed, int(starts[at]), int(ends[to - 1]))
+                    cut = [ids[s:e] for s, e in zip((starts[at:to] - starts[at]).tolist(), (ends[at:to] - starts[at]).tolist(), strict=True)]
+                    data += [zlib.crc32(x.astype("<u4", copy=False)) for x in cut] if digest_only else [x.tolist() for x in cut]
+                    at = to
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r["doc_ids"], pa.int64()), pa.array(starts + before[r["shard"]] + r["first"], pa.int64()), pa.array(r["lengths"], pa.int64()), pa.array(data, last[2])],
                     names=["doc_id", "start", "n_tokens", last[0]],
                 )
 
-    return blocks.select("shard", "first", "doc_ids", "lengths", "words", "raw").mapInArrow(run, f"doc_id long, start long, n_tokens long, {last[0]} {last[1]}")
+    return blocks.select("shard", "first", "doc_ids", "lengths", "words", "marks", "raw").mapInArrow(run, f"doc_id long, start long, n_tokens long, {last[0]} {last[1]}")
 
 
 def default_tokenizer() -> str:

@@ -14,6 +14,8 @@ import re
 import sys
 from array import array
 
+import numpy as np
+
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit words, which this machine doesn't have")
 
@@ -40,18 +42,26 @@ class PieceTable(dict):
             out += [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)]
         return out
 
+    def new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that aren't in the table."""
+        return self.whole(pieces)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the library gives them with add_special_tokens=False. `texts` is one bounded batch."""
         cuts = [self.cut(t) for t in texts]
-        need = {p for c in cuts if c for p in c if p not in self}
+        met = set().union(*filter(None, cuts))
+        need = list(met.difference(self))
         if len(self) + len(need) > TABLE_LIMIT:
             self.clear()
-            need = set().union(*[c for c in cuts if c])
-        self.update(zip(need, self.whole(list(need)), strict=True))
+            need = list(met)
+        self.update(zip(need, self.new(need), strict=True))
         unsure = [t for t, c in zip(texts, cuts, strict=True) if c is None]
         whole = iter(self.whole(unsure))
         return [next(whole) if c is None else b"".join(map(self.__getitem__, c)) for c in cuts]
 
+    def is_special(self, text: str) -> bool:
+        return self.special is not None and "<|" in text and self.special.search(text) is not None
+
     def cut(self, text: str) -> list[str] | None:
         """Pieces that encode alone as in the text; None if that isn't sure."""
         raise NotImplementedError
@@ -68,15 +78,50 @@ class ByteLevelPieces(PieceTable):
     UNSURE = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ‐-‧]|[ \n][ \n]")
     #: Stops that belong to a longer run of signs.
     IN_RUNS = re.compile(r"[^\w\s][.,][ \n]|_[.,][ \n]|[ \n][.,][ \n]")
+    #: The same two tests for texts of Latin-1 characters: by bytes, and by classes of bytes.
+    SURE = bytes([10, *range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
+    CLASSES = bytes(ord(" " if chr(c) in " \n" else "." if chr(c) in ".," else "a" if chr(c).isalnum() else "!") for c in range(256))
 
     def cut(self, text):
-        if self.UNSURE.search(text) or (self.special and "<|" in text and self.special.search(text)):
+        if self.is_special(text):
             return None
-        if not self.IN_RUNS.search(text):
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            if self.UNSURE.search(text):
+                return None
+            in_runs = self.IN_RUNS.search(text) is not None
+        else:
+            if raw.translate(None, self.SURE):
+                return None
+            raw = raw.translate(self.CLASSES)
+            if b"  " in raw:
+                return None
+            in_runs = b"!. " in raw or b".. " in raw or b" . " in raw
+        if not in_runs:
             text = text.replace(", ", "\0, ").replace(". ", "\0. ").replace(".\n", "\0.\n")
         pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return pieces if "" not in pieces else [p for p in pieces if p]
 
+    def new(self, pieces):
+        # Many at once, one a line: a line break is a cut and its token stands for nothing else.
+        if self._line is None:
+            self._line = np.frombuffer(self.whole(["\n"])[0], "<u4")
+        if len(self._line) != 1:
+            return self.whole(pieces)
+        out = []
+        for at in range(0, len(pieces), 5000):
+            part = pieces[at : at + 5000]
+            lines = ["\n".join([p for p in part[i : i + 500] if p != "\n"] + [""]) for i in range(0, len(part), 500)]
+            for i, e in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                ends = np.flatnonzero(ids == self._line[0]).tolist()
+                found = iter([ids[a + 1 : b].tobytes() for a, b in zip([-1, *ends[:-1]], ends, strict=True)] if ends else [])
+                out += [self._line.tobytes() if p == "\n" else next(found) for p in part[500 * i : 500 * i + 500]]
+        return out
+
+    _line = None
+
 
 class LowerWordPieces(PieceTable):
     """For BPE over lower-cased words whose splitting rule drops white space: cuts at white space, and in front
@@ -90,7 +135,7 @@ class LowerWordPieces(PieceTable):
     IN_RUNS = ByteLevelPieces.IN_RUNS
 
     def cut(self, text):
-        if self.UNSURE.search(text) or (self.special and "<|" in text and self.special.search(text)):
+        if self.UNSURE.search(text) or self.is_special(text):
             return None
         text = text.lower()
         if not self.IN_RUNS.search(text):
