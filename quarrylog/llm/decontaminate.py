@@ -3,43 +3,54 @@
 Texts and benchmark items become tokens; numbers, names (capitalised inside a sentence) and units after a
 number become typed slots, everything else is lower-cased. Windows of `width` tokens are hashed; windows of
 documents meet those of items by a hash join. Along one alignment (place in the text less place in the
-item) the slot fillers have to be a consistent substitution: one filler of the item, one of the text;
-where they aren't, only the windows without a slot count, which are the item's words as they stand.
+item) the slot fillers have to be a consistent substitution, both ways: one filler of the item, one of the text;
+where they aren't, only the windows without a slot count, which are the item's words as they stand. Windows with
+fewer than LITERALS other tokens fit too much and count only as they stand, with the item's own fillers.
 A document is reported for an item when its consistent windows cover `least_share` of the item's
 windows, or `least_windows` of them.
 
-The item windows are joined in blocks of at most BLOCK_WINDOWS, each of them broadcast: a stated bound, and
-documents are never shuffled by window. Counts move pre-aggregated by row and item.
+Only the hashes of item windows, distinct, are broadcast, in blocks of at most BLOCK_HASHES; documents are never
+shuffled by window. The few windows that meet one are written, and joined with the items' tokens, which are
+compared. Counts move pre-aggregated by row and item.
 
 Defined results: null and empty texts have no windows and match nothing; items of fewer tokens than `width` are
 one window of their own length; items with equal text are all reported; repeated rows are each reported;
-a null doc_id is kept; other columns are ignored or, in `drop_contaminated`, kept; empty tables give an
-empty result.
+a null doc_id is kept; very long texts are whole; a first word of a sentence is no name; the control
+characters U+0001 and U+0002 count as blanks; other columns are ignored or, in `drop_contaminated`, kept, whatever
+their names; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import by_keys, row_keys, text_or_empty, written
 
-BLOCK_WINDOWS = 1_000_000
+BLOCK_HASHES = 1_000_000
+LITERALS = 3
 NAME, NUMBER, UNIT = "\u0001", "0", "\u0002"
 #: Units that become a slot after a number.
 UNITS = "km|m|cm|mm|kg|g|mg|l|ml|s|ms|h|min|hours?|minutes?|seconds?|days?|years?|miles?|feet|inches|pounds?|dollars?|euros?|meters?|metres?|litres?|liters?|percent"
-MOST_SLOTS = 3
+
+
+def plain(text: Column) -> Column:
+    """Without the marks, and without the one letter whose lower case is two characters: so that `tokens_of` and
+    `canonical` cut a text into the same tokens."""
+    return F.translate(text, NAME + UNIT + "\u0130", "  I")
 
 
 def tokens_of(text: Column) -> Column:
     """Tokens as they stand; a name has its mark in front."""
-    marked = F.regexp_replace(text, r"(?<=[\p{Ll},;][ ])(?=\p{Lu}\p{Ll})", NAME)
+    marked = F.regexp_replace(plain(text), r"(?<=[\p{Ll},;][ ])(?=\p{Lu}\p{Ll})", NAME)
     return F.regexp_extract_all(marked, F.lit(NAME + r"?\p{L}++|[0-9]++(?:[.,][0-9]++)*+"), F.lit(0))
 
 
 def canonical(text: Column) -> Column:
     """The same tokens with slots instead of names, numbers and units."""
-    slotted = F.regexp_replace(F.regexp_replace(text, r"(?<=[\p{Ll},;][ ])\p{Lu}(?=\p{Ll})\p{L}++", NAME), r"[0-9]++(?:[.,][0-9]++)*+", NUMBER)
+    slotted = F.regexp_replace(F.regexp_replace(plain(text), r"(?<=[\p{Ll},;][ ])\p{Lu}(?=\p{Ll})\p{L}++", NAME), r"[0-9]++(?:[.,][0-9]++)*+", NUMBER)
     slotted = F.regexp_replace(F.lower(slotted), rf"(?<=0[ ]?)(?<!\p{{L}})(?:{UNITS})(?!\p{{L}})", UNIT)
     return F.regexp_extract_all(slotted, F.lit(rf"[{NAME}{UNIT}]|\p{{L}}++|0"), F.lit(0))
 
@@ -57,62 +68,71 @@ def _windows(tokens: str, width: int) -> Column:
 
 
 def item_windows(items: DataFrame, width: int) -> DataFrame:
-    """item_id, n_windows, place, width, hash, and the window's tokens as they stand and canonical."""
+    """item_id, n_windows, place, width, hash, the window's tokens as they stand and canonical, and whether it is bare:
+    short of LITERALS tokens that are no slots."""
     own = items.select("item_id", text_or_empty().alias("text")).select("item_id", tokens_of(F.col("text")).alias("raw"), canonical(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
-    own = own.withColumn("width", F.least(F.lit(width), F.size("tokens")))
-    spread = own.withColumn("place", F.explode(F.sequence(F.lit(1), F.size("tokens") - F.col("width") + 1)))
-    spread = spread.select("item_id", "place", "width", F.expr("slice(raw, place, width)").alias("item_raw"), F.expr("slice(tokens, place, width)").alias("item_tokens"))
-    slots = F.size(F.filter("item_tokens", _is_slot))
-    few = spread.groupBy("item_id").agg(F.max(slots <= MOST_SLOTS).alias("any_fine"))
-    fine = spread.join(few, "item_id").where((slots <= MOST_SLOTS) | ~F.col("any_fine")).drop("any_fine")
-    counts = fine.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    return fine.join(counts, "item_id").withColumn("hash", F.xxhash64("item_tokens"))
+    own = own.withColumn("width", F.least(F.lit(width), F.size("tokens"))).withColumn("n_windows", (F.size("tokens") - F.col("width") + 1).cast("long"))
+    spread = own.withColumn("place", F.explode(F.sequence(F.lit(1), F.col("n_windows").cast("int"))))
+    spread = spread.select("item_id", "n_windows", "place", "width", F.expr("slice(raw, place, width)").alias("item_raw"), F.expr("slice(tokens, place, width)").alias("item_tokens"))
+    bare = F.size(F.filter("item_tokens", lambda x: ~_is_slot(x))) < F.least(F.lit(LITERALS), F.col("width"))
+    return spread.withColumn("bare", bare).withColumn("hash", F.xxhash64("item_tokens"))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, least_share: float = 0.25, least_windows: int = 6) -> DataFrame:
-    """rid, doc_id, item_id, matched, n_windows, slots_changed for each row and item that match."""
+def contaminated_keys(docs: DataFrame, items: DataFrame, width: int = 8, least_share: float = 0.25, least_windows: int = 6) -> DataFrame:
+    """k1, k2 (key of doc_id and text), item_id, matched, n_windows, slots_changed for each key and item that match."""
     windows = written(item_windows(items, width), "item-windows")
-    by_width = dict(windows.groupBy("width").agg(F.max("width"), F.count(F.lit(1)).alias("n")).select("width", "n").collect())
-    base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    base = base.select("rid", "doc_id", tokens_of(F.col("text")).alias("raw"), canonical(F.col("text")).alias("tokens"))
-    found = None
+    hashes = written(windows.select("width", "hash").distinct(), "item-hashes")
+    by_width = {r["width"]: r["n"] for r in hashes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()}
+    base = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+    base = base.select(*row_keys(), tokens_of(F.col("text")).alias("raw"), canonical(F.col("text")).alias("tokens"))
+    parts = []
     for w, n in sorted(by_width.items()):
-        blocks = -(-n // BLOCK_WINDOWS)
+        blocks = -(-n // BLOCK_HASHES)
         for block in range(blocks):
-            part = windows.where(f"width = {w}").where(F.pmod(F.xxhash64("item_id", "place"), F.lit(blocks)) == block)
-            met = (
-                base.select("rid", "doc_id", "raw", F.posexplode(_windows("tokens", w)).alias("at", "hash"))
-                .join(F.broadcast(part), "hash")
-                .select("rid", "doc_id", "item_id", "place", "n_windows", (F.col("at") + 1 - F.col("place")).alias("shift"), "item_tokens", "item_raw", F.slice("raw", F.col("at") + 1, F.lit(w)).alias("doc_raw"))
-                .select("rid", "doc_id", "item_id", "place", "n_windows", "shift",
-                        F.filter(F.arrays_zip("item_tokens", "item_raw", "doc_raw"), lambda x: _is_slot(x["item_tokens"])).alias("slots"))
-            )
-            found = met if found is None else found.unionByName(met)
-    if found is None:
-        return docs.sparkSession.createDataFrame([], "rid long, doc_id long, item_id long, matched long, n_windows long, slots_changed boolean")
+            part = hashes.where((F.col("width") == w) & (F.pmod(F.col("hash"), F.lit(blocks)) == block)).select("hash")
+            spread = base.select("k1", "k2", "raw", "tokens", F.posexplode(_windows("tokens", w)).alias("at", "hash"))
+            met = spread.join(F.broadcast(part), "hash", "left_semi")
+            parts.append(met.select("k1", "k2", F.lit(w).alias("width"), "hash", "at", F.slice("raw", F.col("at") + 1, F.lit(w)).alias("doc_raw"), F.slice("tokens", F.col("at") + 1, F.lit(w)).alias("doc_tokens")))
+    if not parts:
+        return docs.sparkSession.createDataFrame([], "k1 long, k2 long, item_id long, matched long, n_windows long, slots_changed boolean")
+    met = written(reduce(DataFrame.unionByName, parts), "item-met").distinct()
+    same = F.forall(F.arrays_zip("item_raw", "doc_raw"), lambda x: F.lower(x["item_raw"]) == F.lower(x["doc_raw"]))
+    found = (
+        met.join(windows, ["width", "hash"]).where((F.col("item_tokens") == F.col("doc_tokens")) & (~F.col("bare") | same))
+        .select("k1", "k2", "item_id", "place", "n_windows", (F.col("at") + 1 - F.col("place")).alias("shift"),
+                F.filter(F.arrays_zip("item_tokens", "item_raw", "doc_raw"), lambda x: _is_slot(x["item_tokens"])).alias("slots"))
+    )
     pairs = F.transform("slots", lambda x: F.struct(F.lower(x["item_raw"]).alias("a"), F.lower(x["doc_raw"]).alias("b")))
+    one = lambda side: F.size("pairs") == F.size(F.array_distinct(F.col(f"pairs.{side}")))
     aligned = (
-        found.groupBy("rid", "doc_id", "item_id", "n_windows", "shift")
+        found.groupBy("k1", "k2", "item_id", "n_windows", "shift")
         .agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.size("slots") == 0, F.col("place"))).alias("free"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-        .withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.col("pairs.a"))))
+        .withColumn("consistent", one("a") & one("b"))
         .withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("free")))
         .withColumn("pairs", F.when(F.col("consistent"), F.col("pairs")).otherwise(F.slice("pairs", 1, 0)))
         .where(F.size("places") > 0)
     )
     return (
-        aligned.groupBy("rid", "doc_id", "item_id", "n_windows")
+        aligned.groupBy("k1", "k2", "item_id", "n_windows")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("matched"), F.max(F.exists("pairs", lambda x: x["a"] != x["b"])).alias("slots_changed"))
         .where((F.col("matched") >= F.ceil(F.lit(least_share) * F.col("n_windows"))) | (F.col("matched") >= least_windows))
-        .select("rid", "doc_id", "item_id", "matched", "n_windows", "slots_changed")
+        .select("k1", "k2", "item_id", "matched", "n_windows", "slots_changed")
     )
 
 
+def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, least_share: float = 0.25, least_windows: int = 6) -> DataFrame:
+    """doc_id, item_id, matched, n_windows, slots_changed for each row of docs and item that match."""
+    found = written(contaminated_keys(docs, items, width, least_share, least_windows), "contaminated")
+    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).select("doc_id", *row_keys())
+    return by_keys(rows, found, ["k1", "k2"], "inner").select("doc_id", "item_id", "matched", "n_windows", "slots_changed")
+
+
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:
-    found = contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.drop("rid")
+    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that match no item; `docs` must give the same rows in the same partitions each time."""
-    bad = written(contaminated(docs, items).select(F.col("rid").alias("_rid")).distinct(), "contaminated")
-    return docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_rid")).join(bad, "_rid", "left_anti").select("_row.*")
+    """The documents that match no item."""
+    bad = written(contaminated_keys(docs, items).select("k1", "k2").distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long"), text_or_empty().alias("text")).select("_row", *row_keys())
+    return by_keys(rows, bad, ["k1", "k2"], "left_anti").select("_row.*")
