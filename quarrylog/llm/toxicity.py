@@ -9,7 +9,7 @@ words relative to the landmark's own (values under FLOOR count as none), mapped
 landmarks' kernel matrix (Nyström). A linear SVM on them, squared hinge, is fitted by Newton steps; a logistic
 curve through its margins gives scores from 0 to 1.
 
-Fit: on the driver, from at most `max_labelled` labelled rows, taken by the order of a hash of doc_id; the telling
+Fit: in one task, from at most `max_labelled` labelled rows, taken by the order of a hash of doc_id; the telling
 words of toxic rows are given as examples of their own too, plain and with separators or letters put in.
 Scoring: one pass over all texts; a worker keeps a bounded table of the words it has met.
 
@@ -21,6 +21,7 @@ kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 import zlib
@@ -160,8 +161,7 @@ class Pooler:
 
     def clear(self):
         self.table: dict[str, int] = {}
-        self.values = [np.zeros((1, self.model.landmarks.shape[1]), np.float32)]
-        self.stacked, self.n = self.values[0], 1
+        self.stacked, self.n = np.zeros((1024, self.model.landmarks.shape[1]), np.float32), 1
 
     def pool(self, texts: list[str | None]) -> np.ndarray:
         sets = [words_of(t) for t in texts]
@@ -175,9 +175,11 @@ class Pooler:
             hit = k.any(axis=1)
             ids = np.zeros(len(new), np.int64)
             ids[hit] = np.arange(self.n, self.n + hit.sum())
-            self.n += int(hit.sum())
+            before, self.n = self.n, self.n + int(hit.sum())
             self.table.update(zip(new, ids.tolist(), strict=True))
-            self.stacked = np.vstack([self.stacked, k[hit]])
+            if self.n > len(self.stacked):
+                self.stacked = np.vstack([self.stacked[:before], np.zeros((self.n, self.stacked.shape[1]), np.float32)])
+            self.stacked[before : self.n] = k[hit]
         out = np.zeros((len(texts), self.stacked.shape[1]), np.float32)
         for i, words in enumerate(sets):
             rows = set(map(self.table.__getitem__, words))
@@ -336,14 +338,26 @@ def held_out():
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 5000) -> Model | None:
-    """Fits on labelled rows that are not held out; at most `max_labelled` ids and texts come to the driver."""
+    """Fits on labelled rows that are not held out, at most `max_labelled` ids and twice as many rows of them.
+
+    The fit is one task, whose input these bounds hold; only the model comes to the driver.
+    """
     chosen = (
         labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     )
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").toPandas()
-    rows = rows.sort_values(["doc_id", "text"]).iloc[: 2 * max_labelled]
-    return fit(rows.text.tolist(), rows.toxic.astype(int).tolist()) if len(rows) else None
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    rows = rows.orderBy("doc_id", "text", "toxic").limit(2 * max_labelled).select("text", "toxic")
+
+    def run(batches):
+        texts, found = [], []
+        for b in batches:
+            texts += b.column(0).to_pylist()
+            found += b.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, found) if texts else None)], pa.binary())], names=["model"])
+
+    models = [pickle.loads(r[0]) for r in rows.mapInArrow(run, "model binary").collect()]  # one row a partition, and the limit leaves one
+    return next((m for m in models if m is not None), None)
 
 
 _poolers: dict[int, Pooler] = {}
