@@ -44,15 +44,6 @@ class Decoder:
         return " ".join(self.pieces[ids].tolist())
 
 
-_decoders: dict[str, Decoder] = {}
-
-
-def _decoder(path: str) -> Decoder:
-    if path not in _decoders:
-        _decoders[path] = Decoder(table(LowerWordPieces, path).tokenizer)
-    return _decoders[path]
-
-
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with an array column `ids` (it replaces one of that name)."""
     path = path or default_tokenizer()
@@ -76,7 +67,8 @@ def op10_bpe(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or default_tokenizer()
 
     def run(batches):
-        words, decode = table(LowerWordPieces, path), _decoder(path)
+        words = table(LowerWordPieces, path)
+        decode = Decoder(words.tokenizer)
         for b in batches:
             out = [[], [], []]
             for data in (x for at in range(0, b.num_rows, 256) for x in words.encode(b.column(1).slice(at, 256).to_pylist())):

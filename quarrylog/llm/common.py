@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,27 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20):
             spark.conf.set(k, v)
 
 
+_kept: dict = {}
+
+
+def kept(key, make):
+    """What a worker process keeps over its tasks: one thing at a time, so that operators' tables don't add up."""
+    if key not in _kept:
+        tidy()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def tidy() -> None:
+    """Gives a worker's memory back that earlier tasks of other operators hold."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def portions(texts: list[str], most_rows: int = 500, most_chars: int = 1 << 20):
     """(begin, end) of runs of texts of bounded number and length; one longer text is a run of its own."""
     begin, chars = 0, 0
@@ -149,9 +173,9 @@ def regex_spans(text: Column, pattern: str, keep=None, needs: str | None = None,
 
 def indexed(spans: Column) -> Column:
     """Spans by place in parts of SUMMED, each with where it begins and ends: an index for `overlapping`."""
-    part = lambda i: F.slice(spans, i, F.lit(SUMMED))
-    one = lambda i: F.struct(F.element_at(part(i), 1)["s"].alias("s"), F.array_max(F.transform(part(i), lambda x: x["e"])).alias("e"), part(i).alias("spans"))
-    return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size(spans), F.lit(1)), F.lit(SUMMED)), lambda i: F.size(spans) > 0), one)
+    one = lambda part: F.struct(F.element_at(part, 1)["s"].alias("s"), F.array_max(F.transform(part, lambda x: x["e"])).alias("e"), part.alias("spans"))
+    starts = lambda all_: F.filter(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(SUMMED)), lambda i: F.size(all_) > 0)
+    return let(spans, lambda all_: F.transform(starts(all_), lambda i: let(F.slice(all_, i, F.lit(SUMMED)), one)))
 
 
 def overlapping(index: Column, s: Column, e: Column) -> Column:
@@ -160,6 +184,22 @@ def overlapping(index: Column, s: Column, e: Column) -> Column:
     return F.flatten(F.transform(F.filter(index, meets), lambda p: F.filter(p["spans"], meets)))
 
 
+#: Characters of a block of a text.
+BLOCK = 4096
+
+
+def blocks(text: Column) -> Column:
+    """The text in blocks of equal length, for `piece`."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def piece(of: Column, s: Column, e: Column) -> Column:
+    """Characters s to e of a text given in blocks; the cost doesn't depend on where they stand."""
+    first = (s / BLOCK).cast("int")
+    some = F.array_join(F.slice(of, first + 1, F.greatest((e / BLOCK).cast("int") - first + 1, F.lit(0))), "")
+    return F.substring(some, s - first * BLOCK + 1, e - s)
+
+
 def labels_of(kind: Column | str, spans: Column) -> Column:
     """kind:start:end of each span."""
     kind = F.lit(kind) if isinstance(kind, str) else kind

@@ -37,12 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_keys, discard, portions, row_keys, small_batches, text_or_empty, written
+from .common import by_keys, discard, portions, row_keys, small_batches, text_or_empty, tidy, written
 from .components import components
 from .shingles import shingle_sets
 
 #: Hashes that a chunk of documents posts at once, buckets for each shuffle partition, hashes of a block's part.
-CHUNK_HASHES, FINE, PART_HASHES = 1_000_000, 8, 500_000
+CHUNK_HASHES, FINE, PART_HASHES = 500_000, 8, 500_000
 POSTED = "bucket int, chunk long, doc_id array<long>, k1 array<long>, k2 array<long>, n array<long>, rep array<long>, digest binary, owners binary, data binary"
 NAMES = [x.split()[0] for x in POSTED.split(", ")]
 LONGS = pa.list_(pa.int64())
@@ -67,6 +67,7 @@ def _posted(texts: DataFrame, size: int, buckets: int) -> DataFrame:
     hashes (`data`) and which of the chunk's documents has them (`owners`)."""
 
     def run(batches):
+        tidy()
         part, number = TaskContext.get().partitionId(), 0
         rows, sets, seen, held = [], [], {}, 0
 
@@ -184,6 +185,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     """digest, n, hashes of each text; a content that a task has met lately only once."""
 
     def run(batches):
+        tidy()
         seen: dict[bytes, None] = {}
         for b in batches:
             texts_ = b.column(0).to_pylist()
@@ -287,6 +289,7 @@ def _links(cells: DataFrame, threshold: int) -> DataFrame:
             yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), (hashes[i].values.to_numpy().view(np.uint64) for i in range(len(hashes))), strict=True)
 
     def run(batches):
+        tidy()
         found = []
         for _, group in groupby(rows(batches), key=lambda r: r[0]):
             sides: dict[int, int] = {}

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import kept, text_or_empty
 
 DECAY, SPAN, FLOOR = 0.7, 5, 0.5
 OFFSETS = [(i, j) for i in range(1, SPAN - 1) for j in range(1, SPAN - i)]
@@ -65,7 +65,7 @@ def _codes() -> np.ndarray:
 
 
 CODES = _codes()
-WORD_TABLE = 500_000
+WORD_TABLE = 200_000
 TRIPLES = BASE**3
 
 
@@ -360,9 +360,6 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 5000) -> Model
     return next((m for m in models if m is not None), None)
 
 
-_poolers: dict[int, Pooler] = {}
-
-
 def with_score(docs: DataFrame, model: Model | None, text: str = "text", score: str = "score") -> DataFrame:
     """`docs` with a column `score` (it replaces one of that name)."""
     kept = [c for c in docs.columns if c != score]
@@ -385,11 +382,7 @@ def with_score(docs: DataFrame, model: Model | None, text: str = "text", score:
 
 def _pooler_of(shared) -> Pooler:
     model = shared.value
-    key = hash(model.weights.tobytes())
-    if key not in _poolers:
-        _poolers.clear()
-        _poolers[key] = Pooler(model)
-    return _poolers[key]
+    return kept(("toxicity", hash(model.weights.tobytes())), lambda: Pooler(model))
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:

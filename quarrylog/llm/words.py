@@ -16,16 +16,23 @@ from array import array
 
 import numpy as np
 
+from .common import kept
+
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit words, which this machine doesn't have")
 
-#: Pieces a worker keeps; beyond, the table starts anew. It bounds memory, not results.
-TABLE_LIMIT = 1_000_000
+
+
+#: The sign for a space in byte-level vocabularies.
+SPACE = "Ġ"
 
 
 class PieceTable(dict):
     """piece -> its ids as little-endian unsigned 32-bit bytes."""
 
+    #: Pieces a worker keeps; beyond, the table starts anew. It bounds memory, not results.
+    LIMIT = 300_000
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
@@ -51,7 +58,7 @@ class PieceTable(dict):
         cuts = [self.cut(t) for t in texts]
         met = set().union(*filter(None, cuts))
         need = list(met.difference(self))
-        if len(self) + len(need) > TABLE_LIMIT:
+        if len(self) + len(need) > self.LIMIT:
             self.clear()
             need = list(met)
         self.update(zip(need, self.new(need), strict=True))
@@ -72,9 +79,11 @@ class ByteLevelPieces(PieceTable):
 
     Cuts: in front of each single space, around each single line break, and in front of a full stop or
     comma that stands alone at a word's end. A token never spans them as long as no two white-space
-    characters meet and the characters are of the plain sets below.
+    characters meet and the characters are of the plain sets below. A piece stands for itself and a space in front;
+    one that begins with U+0000, which no such text holds, and the line break have no space.
     """
 
+    LIMIT = 1_500_000
     UNSURE = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ‐-‧]|[ \n][ \n]")
     #: Stops that belong to a longer run of signs.
     IN_RUNS = re.compile(r"[^\w\s][.,][ \n]|_[.,][ \n]|[ \n][.,][ \n]")
@@ -99,28 +108,32 @@ class ByteLevelPieces(PieceTable):
                 return None
             in_runs = b"!. " in raw or b".. " in raw or b" . " in raw
         if not in_runs:
-            text = text.replace(", ", "\0, ").replace(". ", "\0. ").replace(".\n", "\0.\n")
-        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return pieces if "" not in pieces else [p for p in pieces if p]
+            text = text.replace(", ", " \0, ").replace(". ", " \0. ").replace(".\n", " \0.\n")
+        return ("\0" + text.replace("\n", " \n \0")).split(" ")
 
     def new(self, pieces):
-        # Many at once, one a line: a line break is a cut and its token stands for nothing else.
-        if self._line is None:
-            self._line = np.frombuffer(self.whole(["\n"])[0], "<u4")
-        if len(self._line) != 1:
-            return self.whole(pieces)
-        out = []
-        for at in range(0, len(pieces), 5000):
-            part = pieces[at : at + 5000]
-            lines = ["\n".join([p for p in part[i : i + 500] if p != "\n"] + [""]) for i in range(0, len(part), 500)]
-            for i, e in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+        # Plain words go to the model itself, if it is known to take them as the whole tokenizer does.
+        plain = [p for p in pieces if p.isascii() and p.isalpha()] if self.direct else []
+        found = dict(zip(plain, (array("I", [t.id for t in self.tokenizer.model.tokenize(SPACE + p)]).tobytes() for p in plain), strict=True))
+        found["\0"], found["\n"] = b"", self.line.tobytes()
+        rest = [p for p in pieces if p not in found]
+        # The others many at once, one a line: a line break is a cut and its token stands for nothing else.
+        for at in range(0, len(rest), 5000):
+            parts = [rest[i : i + 500] for i in range(at, min(at + 5000, len(rest)), 500)]
+            lines = ["".join([f"{p[1:]}\n" if p[:1] == "\0" else f" {p}\n" for p in part]) for part in parts]
+            for part, e in zip(parts, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, "<u4")
-                ends = np.flatnonzero(ids == self._line[0]).tolist()
-                found = iter([ids[a + 1 : b].tobytes() for a, b in zip([-1, *ends[:-1]], ends, strict=True)] if ends else [])
-                out += [self._line.tobytes() if p == "\n" else next(found) for p in part[500 * i : 500 * i + 500]]
-        return out
+                ends = np.flatnonzero(ids == self.line[0]).tolist()
+                found.update((p, ids[a + 1 : b].tobytes()) for p, a, b in zip(part, [-1, *ends[:-1]], ends, strict=True))
+        return [found[p] for p in pieces]
 
-    _line = None
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.line = np.frombuffer(self.whole(["\n"])[0], "<u4")
+        if len(self.line) != 1:
+            raise ValueError("the line break has to be a token of its own")
+        tried = ["a", "the", "Quarry", "zzyzx", "ANTIDISESTABLISHMENT", "antidisestablishment"]
+        self.direct = [array("I", [t.id for t in self.tokenizer.model.tokenize(SPACE + w)]).tobytes() for w in tried] == self.whole([" " + w for w in tried])
 
 
 class LowerWordPieces(PieceTable):
@@ -143,11 +156,6 @@ class LowerWordPieces(PieceTable):
         return text.split()
 
 
-_tables: dict[tuple[type, str], PieceTable] = {}
-
-
 def table(kind: type, path: str) -> PieceTable:
     """One table a worker process, shared by its tasks."""
-    if (kind, path) not in _tables:
-        _tables[kind, path] = kind(path)
-    return _tables[kind, path]
+    return kept((kind.__name__, path), lambda: kind(path))
