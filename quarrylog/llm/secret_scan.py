@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import indexed, let, overlapping, regex_spans, text_or_empty
+from .common import blocks, indexed, let, overlapping, piece, regex_spans, text_or_empty
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?+\x20*+[:=]\x20*+[\"']?+[A-Za-z0-9+/_.=-]++"
@@ -145,7 +145,7 @@ def random_parts(m: Column, table: list[float], least: float, least_per_pair: fl
             return F.transform(acc["out"], lambda x: let(found(x), lambda w: F.struct(
                 F.coalesce(F.get(w, F.lit(0))["s"], x["s"]).cast("int").alias("s"), F.coalesce(F.get(w, F.size(w) - 1)["e"], x["e"]).cast("int").alias("e"))))
 
-        return F.when(whole, F.array(F.struct(F.lit(0).alias("s"), F.length(m).alias("e")))).when(F.size(acc["out"]) > 0, F.array_distinct(let(indexed(regex_spans(m, "[A-Za-z0-9+]++")), widened))).otherwise(none)
+        return F.when(whole, F.array(F.struct(F.lit(0).alias("s"), F.length(m).alias("e")))).when(F.size(acc["out"]) > 0, let(let(indexed(regex_spans(m, "[A-Za-z0-9+]++")), widened), lambda w: F.filter(w, lambda x, i: (i == 0) | (x != F.get(w, i - 1))))).otherwise(none)
 
     return F.aggregate(ratios(m, table), start, step, finish)
 
@@ -158,7 +158,7 @@ def random_spans(text: Column, table: list[float], least: float = 25.0, least_pe
     found = regex_spans(text, rf"(?<!{RUN}){RUN}{{{shortest},}}+", keep=lambda m: m.rlike("[A-Za-z]") & could(m))
     parts = lambda x: F.transform(
         random_parts(x["m"], table, least, least_per_pair),
-        lambda y: F.struct((x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), F.substring(x["m"], y["s"] + 1, y["e"] - y["s"]).alias("m")),
+        lambda y: F.struct((x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e")),
     )
     return F.flatten(F.transform(found, parts))
 
@@ -171,8 +171,9 @@ def find_secrets(docs: DataFrame, table: list[float] | None = None) -> DataFrame
     for k in KINDS:
         base = base.withColumn(f"_{k}", own[k])
     base = base.withColumn("_random", random_spans(F.col("_text"), table))
-    taken = F.concat(*[F.col(f"_{k}") for k in KINDS])
-    return base.withColumn("_random", F.when(F.size("_random") > 0, F.filter("_random", lambda x: ~F.exists(taken, lambda y: (y["s"] <= x["s"]) & (y["e"] >= x["e"])))).otherwise(F.col("_random")))
+    taken = F.array_sort(F.concat(*[F.transform(F.col(f"_{k}"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
+    free = let(indexed(taken), lambda index: F.filter("_random", lambda x: ~F.exists(overlapping(index, x["s"], x["e"]), lambda y: (y["s"] <= x["s"]) & (y["e"] >= x["e"]))))
+    return base.withColumn("_random", F.when((F.size("_random") > 0) & (F.size("_assign") + F.size("_access") + F.size("_hex") > 0), free).otherwise(F.col("_random")))
 
 
 def all_spans() -> Column:
@@ -189,21 +190,21 @@ def redact(docs: DataFrame, mark: str = "<SECRET>", table: list[float] | None =
     found = find_secrets(docs, table)
     spans = all_spans()
 
-    def step(acc, x):
+    def step(acc, x, cut):
         # Text from the last end to this start, then the mark unless this span only continues the last.
         fresh = x["s"] >= acc["at"]
-        gap = F.substring(F.col("_text"), acc["at"] + 1, x["s"] - acc["at"])
+        gap = piece(cut, acc["at"], x["s"])
         return F.struct(
             F.greatest(acc["at"], x["e"]).alias("at"),
             F.when(fresh, F.array_append(acc["out"], F.concat(gap, F.lit(mark)))).otherwise(acc["out"]).alias("out"),
         )
 
-    rest = F.aggregate(
+    rest = let(blocks(F.col("_text")), lambda cut: F.aggregate(
         spans,
         F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out")),
-        step,
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))),
-    )
+        lambda acc, x: step(acc, x, cut),
+        lambda acc: F.concat(F.array_join(acc["out"], ""), piece(cut, acc["at"], F.length("_text"))),
+    ))
     any_span = F.size("_assign") + F.size("_access") + F.size("_hex") + F.size("_random") > 0
     return found.select(*[F.when(any_span, rest).otherwise(F.col("_row.text")).alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
