@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .. import registry
 from .detect import command_regex, test_of
-from .parse import _events_of
 
 FORMATS_DDL = "format string, description string, category string, priority int, requires_extension string, supports_workflow boolean, command_patterns array<struct<pattern: string, pattern_type: string>>, `groups` array<string>"
 
@@ -51,10 +50,10 @@ def diagnose(docs: DataFrame, text: str = "content", emit: str = "all", names: l
     """docs' columns, format, priority, can_parse, events_produced, is_selected for every format (or `names`)."""
     chosen = [e for e in registry.entries() if e.specs and (names is None or e.name in names)]
     base = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    for i, e in enumerate(chosen):
-        base = base.withColumn(f"_can{i}", test_of(e, F.col("_text")))
-    for i, e in enumerate(chosen):
-        base = _events_of(base, e).withColumn(f"_n{i}", F.when(F.col(f"_can{i}"), F.size("_events")).otherwise(0).cast("bigint")).drop("_events")
+    # All tests and counts in one step: a parser is only run where its format's markers are.
+    base = base.select("*", *[test_of(e, F.col("_text")).alias(f"_can{i}") for i, e in enumerate(chosen)])
+    number = lambda e: reduce(lambda rest, x: F.when(F.size(x.hits(F.col("_text"))) > 0, F.size(x.hits(F.col("_text")))).otherwise(rest), reversed(e.specs), F.lit(0))
+    base = base.select("*", *[F.when(F.col(f"_can{i}"), number(e)).otherwise(0).cast("bigint").alias(f"_n{i}") for i, e in enumerate(chosen)])
     rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(e.name).alias("format"), F.lit(e.priority).alias("priority"), F.col(f"_can{i}").alias("can_parse"), F.col(f"_n{i}").alias("events_produced")) for i, e in enumerate(chosen)])
     out = base.withColumn("_all", rows).withColumn("_first", F.get(F.filter("_all", lambda x: x["can_parse"]), F.lit(0))["i"])
     out = out.select("_row", "_first", F.explode("_all").alias("_x")).select("_row.*", "_x.format", "_x.priority", "_x.can_parse", "_x.events_produced", (F.col("_x.i") == F.coalesce("_first", F.lit(-1))).alias("is_selected"))

@@ -14,32 +14,77 @@ from pyspark.sql import functions as F
 from .. import registry
 from ..schema import EVENT_FIELDS
 from .detect import detect_format, test_of
+from .post import at_least
+
+
+LATER = ("event_id", "log_file", "fingerprint", "similarity_score", "pattern_id")
+
+
+def _columns_of(spec) -> str:
+    return ", ".join(f"{spec.event(n)} AS `{n}`" for n in EVENT_FIELDS if n not in LATER)
 
 
 def _events_of(docs: DataFrame, entry: registry.Entry) -> DataFrame:
-    """_row, _text, _events: array of events without the columns that later steps fill. Parsers are tried in turn."""
+    """docs with _events: array of events without the columns that later steps fill."""
+    if len(entry.specs) == 1:
+        spec = entry.specs[0]
+        return spec.with_hits(docs).withColumn("_events", F.expr(f"transform(coalesce({spec.after_sql('_hits')}, array()), x -> struct({_columns_of(spec)}))")).drop("_hits")
+    if entry.name in registry.MERGED:
+        own = [f"transform(coalesce({x.after_sql(f'_h{i}')}, array()), x -> struct({_columns_of(x)}))" for i, x in enumerate(entry.specs)]
+        hits = [x.hits(F.col("_text")).alias(f"_h{i}") for i, x in enumerate(entry.specs)]
+        merged = f"array_sort(concat({', '.join(own)}), (a, b) -> a.log_line_start - b.log_line_start)"
+        return docs.select("*", *hits).withColumn("_events", F.expr(merged)).drop(*[f"_h{i}" for i in range(len(own))])
+    return first_events(docs, [(F.lit(True), x) for x in entry.specs])
+
+
+def first_events(docs: DataFrame, tried: list) -> DataFrame:
+    """docs with _events: those of the first of (condition, parser) that yields any for the text in `_text`, else none.
+
+    One expression whose size is the sum of its parsers': each is bound once, and the next only looked at
+    where it is empty.
+    """
+    hits = [F.when(usable, spec.hits(F.col("_text"))).alias(f"_h{i}") for i, (usable, spec) in enumerate(tried)]
     out = None
-    for spec in reversed(entry.specs):
-        columns = ", ".join(f"{spec.event(n)} AS `{n}`" for n in EVENT_FIELDS if n not in ("event_id", "log_file", "fingerprint", "similarity_score", "pattern_id"))
-        made = f"transform(coalesce(_hits, array()), x -> struct({columns}))"
-        base = docs if out is None else out
-        base = spec.with_hits(base).withColumn("_own", F.expr(made))
-        if out is None:
-            out = base.withColumn("_events", F.col("_own")).drop("_own", "_hits", "j")
-        else:
-            out = base.withColumn("_events", F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_events"))).drop("_own", "_hits", "j")
-    return out
+    for i, (_, spec) in reversed(list(enumerate(tried))):
+        own = f"transform(coalesce({spec.after_sql(f'_h{i}')}, array()), x -> struct({_columns_of(spec)}))"
+        out = own if out is None else f"get(transform(array({own}), o{i} -> CASE WHEN size(o{i}) > 0 THEN o{i} ELSE {out} END), 0)"
+    return docs.select("*", *hits).withColumn("_events", F.expr(out)).drop(*[f"_h{i}" for i in range(len(tried))])
+
+
+def entries_of(format) -> list[registry.Entry] | None:
+    """The parsers of a format argument, first choice first; None where texts decide themselves."""
+    if isinstance(format, registry.Entry):
+        return [format]
+    if format.strip().lower() in ("auto", "unknown", ""):
+        return None
+    if format.startswith("regexp:"):
+        from .custom import regexp_format
+
+        return [regexp_format(format[len("regexp:") :])]
+    return registry.resolve(format)
 
 
-def parse_log(docs: DataFrame, text: str = "content", format: str = "auto", log_file: str | None = None, keep: tuple = ()) -> DataFrame:
+def parse_log(
+    docs: DataFrame, text: str = "content", format: str | registry.Entry = "auto", log_file: str | None = None, keep: tuple = (), severity_threshold: str = "all", ignore_errors: bool = False, format_column: str | None = None
+) -> DataFrame:
     """`keep` columns and an event's columns for each event of each text.
 
-    format: auto, a name, an alias, a group, or a list of names of which the first that yields events counts.
-    Null and empty texts have no events. Repeated rows each have theirs.
+    format: auto, a name, an alias, a group, an entry, `regexp:` and a pattern, or a list of names of which the
+    first that yields events counts. With `format_column`, each row names its own, and null means auto.
+    Null and empty texts have no events. Repeated rows each have theirs. `severity_threshold` keeps events of
+    this severity and above. An unknown format raises, with `ignore_errors` it gives no events.
     """
+    if format_column is not None:
+        return _by_own_format(docs, text, format_column, log_file, keep, severity_threshold, ignore_errors)
     name = F.col(log_file) if log_file else F.lit(None).cast("string")
     base = docs.select(F.struct(*keep).alias("_row") if keep else F.struct(F.lit(0).alias("_none")).alias("_row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"), name.alias("_file"))
-    if format.lower() in ("auto", "unknown", ""):
+    try:
+        candidates = entries_of(format)
+    except ValueError:
+        if not ignore_errors:
+            raise
+        candidates = []
+    if candidates is None:
         chosen = [e for e in registry.entries() if e.specs]
         base = base.withColumn("_format", detect_format(F.col("_text")))
         if not docs.isStreaming:
@@ -49,22 +94,28 @@ def parse_log(docs: DataFrame, text: str = "content", format: str = "auto", log_
         parts = [_events_of(base.where(F.col("_format") == e.name), e) for e in chosen]
         found = reduce(lambda a, b: a.unionByName(b), parts)
     else:
-        chosen = [e for e in registry.resolve(format) if e.specs]
-        if not chosen:
-            base, chosen = base.where(F.lit(False)), [registry.BUILT_IN["generic_lint"]]
-        is_group = len(chosen) > 1 and "," not in format
-        found = base
-        for i, e in enumerate(chosen):
-            usable = test_of(e, F.col("_text")) if is_group else F.lit(True)
-            found = _events_of(found.withColumnRenamed("_events", "_before") if i else found, e)
-            if i:
-                found = found.withColumn("_events", F.when(F.size("_before") > 0, F.col("_before")).when(usable, F.col("_events")).otherwise(F.expr("slice(_events, 1, 0)"))).drop("_before")
-            elif is_group:
-                found = found.withColumn("_events", F.when(usable, F.col("_events")).otherwise(F.expr("slice(_events, 1, 0)")))
+        chosen = [e for e in candidates if e.specs] or [registry.BUILT_IN["generic_lint"]]
+        if not any(e.specs for e in candidates):
+            base = base.where(F.lit(False))
+        is_group = isinstance(format, str) and len(chosen) > 1 and "," not in format
+        if len(chosen) == 1:
+            found = _events_of(base, chosen[0])
+        else:
+            # Members of a group also need the format's markers.
+            found = first_events(base, [(test_of(e, F.col("_text")) if is_group else F.lit(True), x) for e in chosen for x in e.specs])
     rows = found.select("_row", "_file", F.posexplode("_events").alias("_at", "_e"))
     from .patterns import with_patterns_in_rows
 
     values = {"event_id": (F.col("_at") + 1).cast("bigint"), "log_file": F.nullif(F.col("_file"), F.lit("")) if log_file else F.lit(None).cast("string")}
     patterns = with_patterns_in_rows(F.col("_e"))
     columns = [(values.get(n) if n in values else patterns.get(n) if n in patterns else F.col("_e")[n]).cast(t).alias(n) for n, t in EVENT_FIELDS.items()]
-    return rows.select(*[F.col("_row")[c].alias(c) for c in keep], *columns)
+    events = rows.select(*[F.col("_row")[c].alias(c) for c in keep], *columns)
+    return events if severity_threshold.lower() == "all" else at_least(events, severity_threshold)
+
+
+def _by_own_format(docs: DataFrame, text: str, column: str, log_file: str | None, keep: tuple, severity_threshold: str, ignore_errors: bool) -> DataFrame:
+    """One branch for each format name that occurs; names come from the caller's table, as a rule few."""
+    named = docs.withColumn("_named", F.coalesce(F.col(column), F.lit("auto")))
+    names = sorted(r[0] for r in named.select("_named").distinct().collect()) or ["auto"]
+    parts = [parse_log(named.where(F.col("_named") == n), text, n, log_file, keep, severity_threshold, ignore_errors) for n in names]
+    return reduce(lambda a, b: a.unionByName(b), parts)

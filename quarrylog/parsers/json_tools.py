@@ -201,7 +201,7 @@ TESTS = {
         detect=('"Action"', '"Package"'),
     ),
     "cargo_test_json": Json(
-        "cargo_test", "test_result", "test", schema="struct<type: string, event: string, name: string, exec_time: double, stdout: string>", per_line=True, keep="x.j.type = 'test' AND x.j.event IN ('ok', 'failed', 'ignored')",
+        "cargo_test", "test_result", "test", after="filter(_hits, x -> x.j.event <> 'started' AND exists(_hits, y -> y.j.event = 'started' AND y.j.name = x.j.name AND y.line_no < x.line_no))", schema="struct<type: string, event: string, name: string, exec_time: double, stdout: string>", per_line=True, keep="x.j.type = 'test' AND x.j.event IN ('started', 'ok', 'failed', 'ignored')",
         columns={"test_name": "x.j.name", "function_name": "x.j.name", "execution_time": "coalesce(x.j.exec_time, 0.0D)", "status": CARGO, "severity": TEST_SEVERITY.format(s=CARGO), "message": "CASE x.j.event WHEN 'ok' THEN 'Test passed' WHEN 'failed' THEN coalesce(nullif(x.j.stdout, ''), 'Test failed') ELSE 'Test ignored' END", "structured_data": "=cargo_test_json"},
         detect=('"type"', '"event"', '"test"'),
     ),
@@ -235,6 +235,14 @@ TESTS["gotest_json"].columns = {
 }
 TESTS["gotest_json"].after = f"filter(_hits, x -> x.j.Action <> 'run' AND size({_RUN}) > 0)"
 
+def _plain(value: str) -> str:
+    """A text, or the `value` of an object that stands in its place."""
+    return f"coalesce(get_json_object({value}, '$.value'), {value})"
+
+
+#: Names of calls that change something.
+CHANGES = "x.j.eventName RLIKE 'Delete|Terminate|Modify|Update|Put'"
+AZURE_BAD = f"(x.j.level IN ('Critical', 'Error') OR coalesce(x.j.level, '') <> 'Warning' AND {_plain('x.j.status')} IN ('Failed', 'Failure'))"
 LEVEL_NUMBER = "CASE WHEN {n} >= 50 THEN 'error' WHEN {n} >= 40 THEN 'warning' ELSE 'info' END"
 LEVEL_STATUS = "CASE WHEN {n} >= 50 THEN 'ERROR' WHEN {n} >= 40 THEN 'WARNING' ELSE 'INFO' END"
 
@@ -249,23 +257,33 @@ LOGS = {
         detect=("re:(?m)^\\s*\\{.*\"(level|severity|message|msg|timestamp|time|ts)\"\\s*:",),
     ),
     "aws_cloudtrail": Json(
-        "aws_cloudtrail", "debug_info", "", schema="struct<Records: array<{R}>>".replace("{R}", "struct<eventTime: string, eventName: string, eventSource: string, awsRegion: string, sourceIPAddress: string, userAgent: string, errorCode: string, errorMessage: string, eventID: string, userIdentity: struct<type: string, userName: string, arn: string, principalId: string>>"), rows=each("j.Records"),
-        columns={"started_at": "x.m.eventTime", "function_name": "x.m.eventName", "category": "x.m.eventSource", "error_code": "x.m.errorCode", "principal": "coalesce(x.m.userIdentity.userName, x.m.userIdentity.arn, x.m.userIdentity.principalId)", "origin": "x.m.sourceIPAddress", "actor_type": "x.m.userIdentity.type", "external_id": "x.m.eventID", "message": "coalesce(x.m.errorMessage, concat(x.m.eventSource, ':', x.m.eventName))",
-                 "status": "CASE WHEN x.m.errorCode IS NOT NULL THEN 'ERROR' ELSE 'INFO' END", "severity": "CASE WHEN x.m.errorCode IS NOT NULL THEN 'error' ELSE 'info' END", "structured_data": "to_json(x.m)"},
-        detect=('"eventName"', '"eventSource"', '"awsRegion"'),
+        "aws_cloudtrail", "debug_info", "", per_line=True, wrappers=("Records",), keep="x.j.eventName <> ''",
+        schema="struct<eventTime: string, eventName: string, eventSource: string, awsRegion: string, sourceIPAddress: string, userAgent: string, errorCode: string, errorMessage: string, eventID: string, userIdentity: struct<type: string, userName: string, arn: string, accountId: string, principalId: string>>",
+        columns={"started_at": "x.j.eventTime", "function_name": "x.j.eventName", "category": "x.j.eventSource", "error_code": "x.j.errorCode", "principal": "x.j.userIdentity.arn", "origin": "x.j.sourceIPAddress", "message": "x.j.eventName",
+                 "status": f"CASE WHEN x.j.errorCode <> '' THEN 'ERROR' WHEN {CHANGES} THEN 'WARNING' ELSE 'INFO' END", "severity": f"CASE WHEN x.j.errorCode <> '' THEN 'error' WHEN {CHANGES} THEN 'warning' ELSE 'info' END",
+                 "structured_data": "to_json(named_struct('aws_region', coalesce(x.j.awsRegion, ''), 'source_ip', x.j.sourceIPAddress, 'account_id', x.j.userIdentity.accountId, 'user_name', x.j.userIdentity.userName, 'user_type', x.j.userIdentity.type, 'principal_id', x.j.userIdentity.principalId, 'event_id', x.j.eventID, 'user_agent', x.j.userAgent, 'error_message', x.j.errorMessage))"},
+        detect=('"eventName"', '"eventSource"||"awsRegion"||"userIdentity"'),
     ),
     "gcp_cloud_logging": Json(
-        "gcp_cloud_logging", "debug_info", "", per_line=True, schema="struct<timestamp: string, severity: string, logName: string, insertId: string, textPayload: string, jsonPayload: struct<message: string>, protoPayload: struct<methodName: string, authenticationInfo: struct<principalEmail: string>, requestMetadata: struct<callerIp: string>, status: struct<code: int, message: string>>, resource: struct<type: string>>", keep="x.j.logName IS NOT NULL OR x.j.insertId IS NOT NULL",
-        columns={"started_at": "x.j.timestamp", "function_name": "x.j.protoPayload.methodName", "category": "coalesce(x.j.resource.type, 'gcp')", "principal": "x.j.protoPayload.authenticationInfo.principalEmail", "origin": "x.j.protoPayload.requestMetadata.callerIp", "error_code": "cast(x.j.protoPayload.status.code AS string)", "external_id": "x.j.insertId", "message": "coalesce(x.j.textPayload, x.j.jsonPayload.message, x.j.protoPayload.status.message, x.j.protoPayload.methodName)", "level": "coalesce(x.j.severity, 'info')", "structured_data": "x.line"},
+        "gcp_cloud_logging", "debug_info", "", per_line=True, wrappers=("entries",), keep="coalesce(x.j.logName, x.j.severity, x.j.timestamp, '') <> ''",
+        schema="struct<timestamp: string, severity: string, logName: string, insertId: string, textPayload: string, protoPayload: struct<methodName: string, serviceName: string, authenticationInfo: struct<principalEmail: string>, status: struct<code: string>>, resource: struct<type: string, labels: struct<project_id: string, zone: string>>>",
+        columns={"started_at": "x.j.timestamp", "function_name": "x.j.protoPayload.methodName", "category": "coalesce(nullif(x.j.protoPayload.serviceName, ''), nullif(x.j.resource.type, ''), 'gcp')", "principal": "x.j.protoPayload.authenticationInfo.principalEmail", "error_code": "x.j.protoPayload.status.code",
+                 "message": "coalesce(nullif(x.j.protoPayload.methodName, ''), nullif(x.j.textPayload, ''), x.j.logName)", "status": "CASE WHEN x.j.severity IN ('ERROR', 'CRITICAL', 'ALERT', 'EMERGENCY') THEN 'ERROR' WHEN x.j.severity IN ('WARNING', 'NOTICE') THEN 'WARNING' ELSE 'INFO' END",
+                 "severity": "CASE WHEN x.j.severity IN ('ERROR', 'CRITICAL', 'ALERT', 'EMERGENCY') THEN 'error' WHEN x.j.severity IN ('WARNING', 'NOTICE') THEN 'warning' ELSE 'info' END",
+                 "structured_data": "to_json(named_struct('log_name', x.j.logName, 'insert_id', x.j.insertId, 'resource_type', x.j.resource.type, 'project_id', x.j.resource.labels.project_id, 'zone', x.j.resource.labels.zone, 'severity', x.j.severity, 'principal_email', x.j.protoPayload.authenticationInfo.principalEmail, 'service_name', x.j.protoPayload.serviceName))"},
         detect=('"logName"', '"resource"'),
     ),
     "azure_activity": Json(
-        "azure_activity", "debug_info", "", per_line=True, schema="struct<time: string, eventTimestamp: string, operationName: string, status: string, caller: string, callerIpAddress: string, category: string, level: string, resourceId: string, correlationId: string, subscriptionId: string, resultType: string, description: string>", keep="x.j.operationName IS NOT NULL",
-        columns={"started_at": "coalesce(x.j.time, x.j.eventTimestamp)", "function_name": "x.j.operationName", "category": "coalesce(x.j.category, 'azure')", "principal": "x.j.caller", "origin": "x.j.callerIpAddress", "target": "x.j.resourceId", "error_code": "CASE WHEN lower(x.j.resultType) IN ('failure', 'failed') THEN x.j.resultType END", "external_id": "x.j.correlationId", "message": "coalesce(x.j.description, x.j.operationName)", "level": "coalesce(x.j.level, 'info')", "structured_data": "x.line"},
-        detect=('"operationName"', '"resourceId"'),
+        "azure_activity", "debug_info", "", per_line=True, wrappers=("records", "value"), keep="coalesce(x.j.operationName, x.j.resourceId, '') <> ''",
+        schema="struct<time: string, eventTimestamp: string, operationName: string, status: string, caller: string, callerIpAddress: string, category: string, level: string, resourceId: string, correlationId: string, subscriptionId: string, resourceGroupName: string, resourceProviderName: string, resultType: string, description: string>",
+        columns={"started_at": "coalesce(nullif(x.j.time, ''), x.j.eventTimestamp)", "function_name": _plain("x.j.operationName"), "category": f"coalesce(nullif({_plain('x.j.category')}, ''), nullif({_plain('x.j.resourceProviderName')}, ''), 'azure')", "principal": "x.j.caller", "origin": "x.j.callerIpAddress",
+                 "error_code": f"coalesce(nullif({_plain('x.j.status')}, ''), x.j.resultType)", "message": _plain("x.j.operationName"),
+                 "status": f"CASE WHEN {AZURE_BAD} THEN 'ERROR' WHEN x.j.level = 'Warning' THEN 'WARNING' ELSE 'INFO' END", "severity": f"CASE WHEN {AZURE_BAD} THEN 'error' WHEN x.j.level = 'Warning' THEN 'warning' ELSE 'info' END",
+                 "structured_data": f"to_json(named_struct('resource_id', x.j.resourceId, 'subscription_id', x.j.subscriptionId, 'resource_group', x.j.resourceGroupName, 'resource_provider', {_plain('x.j.resourceProviderName')}, 'caller_ip', x.j.callerIpAddress, 'correlation_id', x.j.correlationId, 'level', x.j.level, 'description', x.j.description))"},
+        detect=('"operationName"', '"resourceId"||"caller"||"subscriptionId"||"correlationId"'),
     ),
     "winston": Json(
-        "winston", "debug_info", "", per_line=True, schema="struct<level: string, message: string, timestamp: string, service: string>", keep="x.j.level IS NOT NULL AND x.j.message IS NOT NULL",
+        "winston", "debug_info", "", per_line=True, schema="struct<level: string, message: string, timestamp: string, service: string>", keep="x.j.level IS NOT NULL OR x.j.message IS NOT NULL",
         columns={"started_at": "x.j.timestamp", "message": "x.j.message", "category": "x.j.service", "level": "x.j.level", "structured_data": "x.line"},
         detect=('re:"level"\\s*:\\s*"(error|warn|info|http|verbose|debug|silly)"', '"message"'),
     ),

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ..schema import EVENT_FIELDS, KEPT_EMPTY
 
 SEP = "\u0001"
-#: Lines beyond this length are cut before any rule sees them.
-LINE_LIMIT = 2000
+#: Formats with `capped` cut lines beyond this length and mark them, before any rule sees them; the others don't.
+LINE_LIMIT, CUT_MARK = 2000, "..."
 ERRORS = ("error", "err", "fatal", "critical", "crit", "severe", "panic", "alert", "emerg", "emergency", "failure", "e", "f", "ftl", "fail", "failed", "fatal error", "exception")
 WARNINGS = ("warning", "warn", "w", "wrn", "caution")
 
@@ -81,6 +81,11 @@ class Rule:
         return text.replace("{line}", "x.line").replace("{carry}", "x.carry")
 
 
+def hit_with(*values: str) -> str:
+    """SQL for the hit `x` with further values behind its groups."""
+    return f"named_struct('rule', x.rule, 'line_no', x.line_no, 'line_end', x.line_end, 'line', x.line, 'g', concat(x.g, array({', '.join(values)})), 'carry', x.carry, 'carry_no', x.carry_no)"
+
+
 @dataclass
 class Format:
     """What all kinds share. tool, type and category hold where a rule says nothing."""
@@ -91,6 +96,10 @@ class Format:
     columns: dict = field(default_factory=dict)
     detect: object = None
 
+    def after_sql(self, hits: str) -> str:
+        """`hits`, SQL for an array of hits, with what depends on other hits."""
+        return hits
+
     def default(self, name: str) -> str | None:
         fixed = {"tool_name": quoted(self.tool), "event_type": quoted(self.type), "category": quoted(self.category)}
         return fixed.get(name)
@@ -107,18 +116,37 @@ class Format:
 @dataclass
 class Lines(Format):
     rules: tuple = ()
-    #: A line with this pattern sets `carry`, group 1, for the lines behind it.
+    #: A line with this pattern sets `carry`, group 1, and its number `carry_no` for the lines behind it.
     carry: str | None = None
+    #: SQL over all hits of a document (`_hits`), where one hit depends on others; see `hit_with`.
+    after: str | None = None
+    #: What a text without any hit gives.
+    otherwise: Rule | None = None
+    #: What every text gives in the end, whose groups are the numbers of hits, of those for which `bad` holds and `poor` does.
+    closing: Rule | None = None
+    bad: str = "false"
+    poor: str = "false"
+    capped: bool = False
+
+    def __post_init__(self):
+        more = self.otherwise or self.closing
+        self.tried = self.rules
+        if self.closing:
+            number = lambda test: f"cast(size(filter(_hits, x -> {test})) AS string)"
+            self.after = f"CASE WHEN _text = '' THEN _hits ELSE concat(_hits, array(named_struct('rule', {len(self.rules)}, 'line_no', cast(NULL AS int), 'line_end', cast(NULL AS int), 'line', '', 'g', array(cast(size(_hits) AS string), {number(self.bad)}, {number(self.poor)}), 'carry', '', 'carry_no', cast(NULL AS int)))) END"
+        if more:
+            self.rules = (*self.rules, more)
 
     def with_hits(self, df: DataFrame) -> DataFrame:
         return df.withColumn("_hits", self.hits(F.col("_text")))
 
     def hits(self, text: Column) -> Column:
-        lines = F.transform(F.split(text, "\r?\n"), lambda x: F.substring(x, 1, LINE_LIMIT))
-
+        lines = F.split(text, "\r?\n")
+        if self.capped:
+            lines = F.transform(lines, lambda x: F.when(F.length(x) > LINE_LIMIT, F.concat(F.substring(x, 1, LINE_LIMIT - len(CUT_MARK)), F.lit(CUT_MARK))).otherwise(x))
         def hit(line, i, all_lines):
             out = None
-            for number, rule in enumerate(self.rules):
+            for number, rule in enumerate(self.tried):
                 source = line if rule.span == 1 else F.array_join(F.slice(all_lines, i + 1, rule.span), "\n")
                 groups = re.compile(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", rule.pattern.replace("++", "+").replace("*+", "*"))).groups
                 found = F.split(F.regexp_replace(source, f"(?s)^.*?(?:{rule.pattern}).*$", SEP.join(f"${k + 1}" for k in range(groups)) or SEP), SEP, -1)
@@ -129,29 +157,43 @@ class Lines(Format):
                 out = F.when(tested, made) if out is None else out.when(tested, made)
             return out
 
-        # One evaluation of the lines array: it is bound as a lambda's variable.
-        bound = F.transform(F.array(lines), lambda a: F.filter(F.transform(a, lambda line, i: hit(line, i, a)), lambda x: x.isNotNull()))
-        found = F.get(bound, F.lit(0))
-        if not self.carry:
-            return F.transform(found, lambda x: F.struct(x["rule"].alias("rule"), x["line_no"].alias("line_no"), x["line_end"].alias("line_end"), x["line"].alias("line"), x["g"].alias("g"), F.lit("").alias("carry")))
-        heads = F.get(F.transform(F.array(lines), lambda a: F.filter(F.transform(a, lambda line, i: F.when(line.rlike(self.carry), F.struct((i + 1).alias("n"), F.regexp_extract(line, self.carry, 1).alias("v")))), lambda x: x.isNotNull())), F.lit(0))
-        return F.get(F.transform(F.array(heads), lambda h: F.transform(found, lambda x: F.struct(
-            x["rule"].alias("rule"), x["line_no"].alias("line_no"), x["line_end"].alias("line_end"), x["line"].alias("line"), x["g"].alias("g"),
-            F.coalesce(F.get(F.reverse(F.filter(h, lambda y: y["n"] <= x["line_no"])), F.lit(0))["v"], F.lit("")).alias("carry"),
-        ))), F.lit(0))
+        def carried(found, heads=None):
+            def one(x):
+                head = F.get(F.reverse(F.filter(heads, lambda y: y["n"] <= x["line_no"])), F.lit(0)) if heads is not None else None
+                return F.struct(
+                    x["rule"].alias("rule"), x["line_no"].alias("line_no"), x["line_end"].alias("line_end"), x["line"].alias("line"), x["g"].alias("g"),
+                    (F.coalesce(head["v"], F.lit("")) if heads is not None else F.lit("")).alias("carry"), (head["n"] if heads is not None else F.lit(None).cast("int")).alias("carry_no"),
+                )
+
+            return F.transform(found, one)
+
+        # One evaluation of each array: it is bound as a lambda's variable.
+        bind = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+        found = bind(lines, lambda a: F.filter(F.transform(a, lambda line, i: hit(line, i, a)), lambda x: x.isNotNull()))
+        if self.carry:
+            heads = bind(lines, lambda a: F.filter(F.transform(a, lambda line, i: F.when(line.rlike(self.carry), F.struct((i + 1).alias("n"), F.regexp_extract(line, self.carry, 1).alias("v")))), lambda x: x.isNotNull()))
+            found = bind(heads, lambda h: carried(found, h))
+        else:
+            found = carried(found)
+        if self.otherwise:
+            none = F.array(F.struct(F.lit(len(self.tried)).alias("rule"), F.lit(1).alias("line_no"), F.lit(1).alias("line_end"), F.lit("").alias("line"), F.array(F.lit("")).alias("g"), F.lit("").alias("carry"), F.lit(None).cast("int").alias("carry_no")))
+            found = bind(found, lambda f: F.when((F.size(f) > 0) | (text == ""), f).otherwise(none))
+        return found
+
+    def after_sql(self, hits: str) -> str:
+        return f"get(transform(array({hits}), _hits -> {self.after}), 0)" if self.after else hits
 
     def event(self, name: str) -> str:
-        if name == "log_content":
-            return "nullif(x.line, '')"
-        if name in ("log_line_start", "log_line_end"):
-            return "x.line_no" if name == "log_line_start" else "x.line_end"
+        own = {"log_content": "nullif(x.line, '')", "log_line_start": "x.line_no", "log_line_end": "x.line_end"}.get(name)
+        if own and not any(name in r.columns for r in self.rules):
+            return own
         whens = []
         for i, rule in enumerate(self.rules):
             sql = rule.sql(name)
             if sql is None and name in self.columns:
                 sql = Rule("", self.columns, rule.level).sql(name)
             if sql is None:
-                sql = self.default(name)
+                sql = own or self.default(name)
             if sql is not None:
                 whens.append((i, sql))
         if not whens:
@@ -171,15 +213,26 @@ class Json(Format):
     keep: str = "true"
     #: SQL over all hits of a document, where one hit depends on others.
     after: str | None = None
+    #: With per_line: keys whose array holds the records where the text is one document.
+    wrappers: tuple = ()
+
+    #: The document inside the text: what is in front of the first line that begins like JSON is left out.
+    body = r"""CASE WHEN _text RLIKE r'^\s*[\[{]' THEN _text ELSE regexp_extract(_text, r'(?s)(?:^|[\r\n])([\[{](?=["{\[\]} \t\n\r0-9]|$).*)', 1) END"""
+    reader = "from_json"
 
     def with_hits(self, df: DataFrame) -> DataFrame:
-        text = F.col("_text")
+        return df.withColumn("_hits", self.hits(F.col("_text")))
+
+    def hits(self, text: Column) -> Column:
+        """`text` is the column _text, whose name the expressions hold."""
         if self.per_line:
-            parsed = F.transform(F.split(text, "\r?\n"), lambda line, i: F.struct((i + 1).alias("line_no"), line.alias("line"), F.from_json(line, self.schema).alias("j")))
-            return df.withColumn("_hits", F.filter(parsed, lambda x: F.startswith(F.ltrim(x["line"]), F.lit("{")))).withColumn("_hits", F.expr(f"filter(_hits, x -> x.j IS NOT NULL AND ({self.keep}))")).withColumn("_hits", F.expr(self.after or "_hits"))
-        # Text in front of the document: from the first line that begins like JSON.
-        body = F.when(text.rlike(r"^\s*[\[{]"), text).otherwise(F.regexp_extract(text, r"(?s)(?:^|[\r\n])([\[{](?=[\"{\[\]} \t\n\r0-9]|$).*)", 1))
-        return df.withColumn("j", F.from_json(body, self.schema)).withColumn("_hits", F.expr(self.rows))
+            lines = "split(_text, r'\\r?\\n')"
+            if self.wrappers:
+                lines = "coalesce(" + ", ".join(f"from_json(_text, 'struct<`{w}`: array<string>>').`{w}`" for w in self.wrappers) + f", {lines})"
+            parsed = f"transform({lines}, (line, i) -> named_struct('line_no', i + 1, 'line', line, 'j', from_json(line, {quoted(self.schema)})))"
+            found = f"filter({parsed}, x -> ltrim(x.line) LIKE '{{%' AND x.j IS NOT NULL AND ({self.keep}))"
+            return F.expr(f"get(transform(array({found}), _hits -> {self.after}), 0)" if self.after else found)
+        return F.expr(f"get(transform(array({self.reader}({self.body}, {quoted(self.schema)})), j -> {self.rows}), 0)")
 
     def event(self, name: str) -> str:
         if self.per_line and name in ("log_line_start", "log_line_end") and name not in self.columns:
@@ -198,8 +251,5 @@ class Json(Format):
 class Xml(Json):
     """from_xml over the document, or over what follows <?xml or the first line that begins with a tag."""
 
-    def with_hits(self, df: DataFrame) -> DataFrame:
-        text = F.col("_text")
-        tail = F.coalesce(F.nullif(F.regexp_extract(text, r"(?s)(<\?xml.*)", 1), F.lit("")), F.regexp_extract(text, r"(?s)(?:^|[\r\n])(<[A-Za-z].*)", 1))
-        body = F.when(text.rlike(r"^\s*<[A-Za-z?]"), text).otherwise(tail)
-        return df.withColumn("j", F.from_xml(body, self.schema)).withColumn("_hits", F.expr(self.rows))
+    body = r"""CASE WHEN _text RLIKE r'^\s*<[A-Za-z?]' THEN _text ELSE coalesce(nullif(regexp_extract(_text, r'(?s)(<\?xml.*)', 1), ''), regexp_extract(_text, r'(?s)(?:^|[\r\n])(<[A-Za-z].*)', 1)) END"""
+    reader = "from_xml"

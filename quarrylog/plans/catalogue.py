@@ -13,7 +13,7 @@ from ..functions.badges import count_badge, status_badge
 from ..operators import catalog, custom, patterns, post, workflow
 from ..operators.detect import detect_format
 from ..operators.parse import parse_log
-from . import analytics
+from . import analytics, format_cases
 
 QUERIES, SQL = {}, {}
 c, l = F.col, F.lit  # noqa: E741
@@ -165,14 +165,7 @@ def q16_config_parser_status_map(spark, sf):
 
 def _with(docs: DataFrame, entry) -> DataFrame:
     """Events of one entry that isn't registered."""
-    from .. import registry
-
-    name = "custom_once_" + str(abs(hash(entry.name)))
-    registry._custom[name] = entry.__class__(**{**entry.__dict__, "name": name})
-    try:
-        return parse_log(docs, "content", name)
-    finally:
-        registry._custom.pop(name)
+    return parse_log(docs, "content", entry)
 
 
 MIXED = {
@@ -440,13 +433,17 @@ def q50_xml_junit(spark, sf):
     return parse_log(table(spark, sf, "orders").select(F.expr(text).alias("content")), "content", "junit_xml").groupBy("status", "message").agg(F.count(l(1)).alias("n"))
 
 
-@query("SELECT user_id FROM (SELECT user_id FROM events WHERE event_type = 'error' EXCEPT SELECT user_id FROM events WHERE event_type = 'signup') UNION SELECT user_id FROM events WHERE user_id % 97 = 0")
+@query("SELECT user_id FROM (SELECT user_id FROM events WHERE event_type = 'error' EXCEPT SELECT user_id FROM events WHERE event_type = 'signup') UNION SELECT user_id FROM (SELECT user_id FROM events WHERE event_type = 'signup' INTERSECT SELECT user_id FROM events WHERE event_type NOT IN ('error', 'signup'))")
 def q51_union_except_sets(spark, sf):
     e = table(spark, sf, "events")
     user = F.regexp_extract("message", r"user (\d+)", 1).cast("bigint").alias("user_id")
     parsed = parse_log(e.select(F.expr(JSONL).alias("content")), "content", "jsonl").select(user, "status")
-    errors, signups = parsed.where("status = 'ERROR'").select("user_id"), parsed.where("status = 'WARNING'").select("user_id")
-    return errors.subtract(signups).union(parsed.select("user_id").where("user_id % 97 = 0")).distinct()
+    of = lambda status: parsed.where(c("status") == status).select("user_id")
+    return of("ERROR").subtract(of("WARNING")).union(of("WARNING").intersect(of("INFO"))).distinct()
+
+
+for _name, _cases in format_cases.FAMILIES.items():
+    QUERIES[_name], SQL[_name] = format_cases.family(_name, _cases)
 
 
 def queries():

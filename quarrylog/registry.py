@@ -8,11 +8,22 @@ from .parsers import json_tools, line_tools, log_tools
 from .parsers.formats import COMMANDS, FORMATS
 from .parsers.spec import Format
 
-#: Formats whose name has more than one parser; the first that yields events for a text counts.
+#: Formats whose name has more than one parser.
 MORE = {"winston": ("winston_text",), "serilog": ("serilog_text",)}
+#: Of these, all parsers' events count, by line.
+MERGED = ("winston", "serilog")
 _SPECS: dict[str, Format] = {**json_tools.LINTERS, **json_tools.TESTS, **json_tools.LOGS, **line_tools.LINES, **log_tools.LOGS}
 #: Names that win over registered aliases where the two disagree.
 FIRST_ALIASES = {"gotest": "gotest_json", "bandit": "bandit_text", "eslint": "eslint_json", "pytest": "pytest_text", "make": "make_error", "rust": "cargo_build", "coverage": "coverage_text"}
+#: Further names of formats.
+MORE_ALIASES = {
+    "ndjson": "jsonl", "cloudtrail": "aws_cloudtrail", "gcp_logging": "gcp_cloud_logging", "azure_activity_log": "azure_activity", "python_log": "python_logging", "log4j_text": "log4j", "logback": "log4j",
+    "logrus_text": "logrus", "winston_json": "winston", "pino_json": "pino", "bunyan_json": "bunyan", "serilog_json": "serilog", "serilog_text": "serilog", "nlog_text": "nlog", "ruby_log": "ruby_logger", "rails": "rails_log",
+    "netfilter": "iptables", "ufw": "iptables", "pf_firewall": "pf", "openbsd_pf": "pf", "asa": "cisco_asa", "vpc_flow_logs": "vpc_flow", "aws_vpc_flow": "vpc_flow", "k8s": "kubernetes", "kube": "kubernetes",
+    "windows_event_log": "windows_event", "eventlog": "windows_event", "audit": "auditd", "ssh_auth": "auditd", "s3_access_log": "s3_access", "clang-tidy": "clang_tidy_text", "g++": "gcc_text", "clang++": "gcc_text", "cc": "gcc_text",
+    "c++": "gcc_text", "gfortran": "gcc_text", "gnat": "gcc_text", "compiler_diagnostic": "gcc_text", "mvn": "maven_build", "npm": "node_build", "yarn": "node_build", "pip": "python_build", "setuptools": "python_build",
+    "visualstudio": "msbuild", "vs": "msbuild", "pytest-cov": "pytest_cov_text", "go_test_json": "gotest_json",
+}
 NO_PARSER = ("nunit_xml", "checkstyle_xml")
 
 
@@ -78,6 +89,7 @@ def find(name: str) -> Entry | None:
     """A format by name or alias."""
     name = name.strip().lower()
     name = FIRST_ALIASES.get(name, name)
+    name = name if name in BUILT_IN or name in _custom else MORE_ALIASES.get(name, name)
     if name in BUILT_IN or name in _custom:
         return _custom.get(name) or BUILT_IN[name]
     for e in reversed(list(BUILT_IN.values())):
@@ -119,7 +131,7 @@ def distance(a: str, b: str) -> int:
 
 def suggestion(name: str) -> str | None:
     """The nearest known name, if at most half its letters differ; a shared start counts for it."""
-    known = sorted({n for e in entries() for n in (e.name, *e.aliases)} | set(groups()))
+    known = sorted({n for e in entries() for n in (e.name, *e.aliases)} | set(groups()) | set(MORE_ALIASES))
 
     def score(n: str) -> int:
         same = next((i for i, (x, y) in enumerate(zip(name, n, strict=False)) if x != y), min(len(name), len(n)))

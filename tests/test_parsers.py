@@ -54,6 +54,44 @@ def test_gotest_needs_a_run(spark):
     assert [(r.test_name, r.status) for r in parse_log(spark.createDataFrame([(text,)], "content string"), "content", "gotest_json").collect()] == [("A", "PASS")]
 
 
+def test_groups_take_the_first_format_that_fits(spark):
+    rows = [('{"tests":[{"nodeid":"test_pass","outcome":"passed"}]}', ["pytest"]), ('main.py:10: error: Name "foo" is not defined', ["mypy"]), ("this is not valid python output", []), ("", []), (None, [])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, content string")
+    got = parse_log(docs, "content", "python", keep=("i",)).select("i", "tool_name").collect()
+    assert sorted((r.i, r.tool_name) for r in got) == [(i, t) for i, (_, tools) in enumerate(rows) for t in tools]
+
+
+def test_all_formats_are_diagnosed_in_one_step(spark):
+    docs = spark.createDataFrame([('a.py:1: error: Name "x" is not defined',), (None,)], "content string")
+    got = catalog.diagnose(docs).where("can_parse").select("format", "events_produced", "is_selected").collect()
+    assert ("mypy_text", 1) in {(r.format, r.events_produced) for r in got} and sum(r.is_selected for r in got) == 1
+
+
+def test_format_arguments(spark):
+    docs = spark.createDataFrame([("syslog", "Jan 15 10:30:45 host cron: job"), ("gcc", "a.c:1:2: error: bad"), (None, "a.c:1:2: error: bad [-Wx]"), ("nope", "x")], "f string, content string")
+    assert sorted(r.tool_name for r in parse_log(docs, "content", format_column="f", ignore_errors=True).collect()) == ["compiler", "compiler", "syslog"]
+    with pytest.raises(ValueError, match="nope"):
+        parse_log(docs, "content", "nope")
+    assert parse_log(docs, "content", "nope", ignore_errors=True).count() == 0
+    found = parse_log(docs, "content", "regexp:(?P<file>[^:]+):(?P<line>\\d+):\\d+: (?P<severity>\\w+)").where("ref_file = 'a.c'").collect()
+    assert [(r.ref_line, r.status) for r in found] == [(1, "ERROR")] * 2
+    assert parse_log(docs, "content", "gcc", severity_threshold="critical").count() == 0
+
+
+def test_long_lines(spark):
+    access = '1.2.3.4 - bob [10/Oct/2000:13:55:36 -0700] "GET /' + "a" * 5000 + ' HTTP/1.0" 404 12'
+    docs = spark.createDataFrame([(access,)], "content string")
+    assert parse_log(docs, "content", "apache_access").first().error_code == "404"
+    docs = spark.createDataFrame([("a.c:1:2: error: " + "b" * 5000,)], "content string")
+    content = parse_log(docs, "content", "gcc").first().log_content
+    assert len(content) == 2000 and content.endswith("...")
+
+
+def test_further_names():
+    for name, want in {"python_log": "python_logging", "logback": "log4j", "serilog_text": "serilog", "azure_activity_log": "azure_activity", "k8s": "kubernetes", "rails": "rails_log"}.items():
+        assert registry.resolve(name)[0].name == want
+
+
 def test_names_resolve():
     assert registry.resolve("gcc")[0].name == "gcc_text"
     assert registry.resolve("gotest")[0].name == "gotest_json"
