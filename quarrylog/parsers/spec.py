@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..schema import EVENT_FIELDS, KEPT_EMPTY
 
-SEP = "\u0001"
+SEP, MET = "\u0001", "\u0002"
 #: Formats with `capped` cut lines beyond this length and mark them, before any rule sees them; the others don't.
 LINE_LIMIT, CUT_MARK = 2000, "..."
 ERRORS = ("error", "err", "fatal", "critical", "crit", "severe", "panic", "alert", "emerg", "emergency", "failure", "e", "f", "ftl", "fail", "failed", "fatal error", "exception")
@@ -141,21 +141,30 @@ class Lines(Format):
         return df.withColumn("_hits", self.hits(F.col("_text")))
 
     def hits(self, text: Column) -> Column:
-        lines = F.split(text, "\r?\n")
+        lines = F.split(F.when(F.contains(text, F.lit(MET)), F.translate(text, MET, " ")).otherwise(text), "\r?\n")
         if self.capped:
             lines = F.transform(lines, lambda x: F.when(F.length(x) > LINE_LIMIT, F.concat(F.substring(x, 1, LINE_LIMIT - len(CUT_MARK)), F.lit(CUT_MARK))).otherwise(x))
-        def hit(line, i, all_lines):
-            out = None
-            for number, rule in enumerate(self.tried):
-                source = line if rule.span == 1 else F.array_join(F.slice(all_lines, i + 1, rule.span), "\n")
-                groups = re.compile(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", rule.pattern.replace("++", "+").replace("*+", "*"))).groups
-                found = F.split(F.regexp_replace(source, f"(?s)^.*?(?:{rule.pattern}).*$", SEP.join(f"${k + 1}" for k in range(groups)) or SEP), SEP, -1)
-                tested = source.rlike(rule.pattern)
+        # One evaluation of each array and text: it is bound as a lambda's variable.
+        bind = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+
+        def hit(line, i, all_lines, number=0):
+            """The first rule from `number` on that the line meets, in one pass a rule: a line it meets becomes MET and its groups."""
+            if number == len(self.tried):
+                return None
+            rule = self.tried[number]
+            source = line if rule.span == 1 else F.array_join(F.slice(all_lines, i + 1, rule.span), "\n")
+            groups = re.compile(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", rule.pattern.replace("++", "+").replace("*+", "*"))).groups
+            rewritten = F.regexp_replace(source, f"(?s)^.*?(?:{rule.pattern}).*$", MET + SEP.join(f"${k + 1}" for k in range(groups)))
+
+            def made(r):
+                tested = F.startswith(r, F.lit(MET))
                 if rule.unless:
                     tested = tested & ~source.rlike(rule.unless)
-                made = F.struct(F.lit(number).alias("rule"), (i + 1).alias("line_no"), (i + F.lit(rule.span)).alias("line_end"), line.alias("line"), found.alias("g"))
-                out = F.when(tested, made) if out is None else out.when(tested, made)
-            return out
+                out = F.when(tested, F.struct(F.lit(number).alias("rule"), (i + 1).alias("line_no"), (i + F.lit(rule.span)).alias("line_end"), line.alias("line"), F.split(F.substring(r, 2, 1 << 30), SEP, -1).alias("g")))
+                rest = hit(line, i, all_lines, number + 1)
+                return out if rest is None else out.otherwise(rest)
+
+            return bind(rewritten, made)
 
         def carried(found, heads=None):
             def one(x):
@@ -167,8 +176,6 @@ class Lines(Format):
 
             return F.transform(found, one)
 
-        # One evaluation of each array: it is bound as a lambda's variable.
-        bind = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
         found = bind(lines, lambda a: F.filter(F.transform(a, lambda line, i: hit(line, i, a)), lambda x: x.isNotNull()))
         if self.carry:
             heads = bind(lines, lambda a: F.filter(F.transform(a, lambda line, i: F.when(line.rlike(self.carry), F.struct((i + 1).alias("n"), F.regexp_extract(line, self.carry, 1).alias("v")))), lambda x: x.isNotNull()))

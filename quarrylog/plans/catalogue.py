@@ -46,7 +46,9 @@ def compiler_docs(spark, sf) -> DataFrame:
 FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1, 2""")
 def q01_lint_errors_by_pattern(spark, sf):
     events = post.at_least(parse_log(compiler_docs(spark, sf), "content", "gcc_text"), "warning")
-    return events.groupBy("status", patterns.normalise(c("message")).alias("pattern")).agg(F.count(l(1)).alias("n"), F.min("message").alias("example"))
+    # Messages are normalised once each, after they are counted.
+    distinct = events.groupBy("status", "message").agg(F.count(l(1)).alias("n"))
+    return distinct.groupBy("status", patterns.normalise(c("message")).alias("pattern")).agg(F.sum("n").alias("n"), F.min("message").alias("example"))
 
 
 def flagship(spark, sf):
@@ -190,11 +192,10 @@ def q18_format_list_fallback(spark, sf):
 ON (CASE event_type WHEN 'error' THEN 3 WHEN 'signup' THEN 2 ELSE 1 END) >= t.r GROUP BY 1""")
 def q19_severity_threshold_ladder(spark, sf):
     events = parse_log(table(spark, sf, "events").select(F.expr(JSONL).alias("content")), "content", "jsonl").select("severity")
-    out = None
-    for t in ("debug", "info", "warning", "error", "critical", "nonsense"):
-        part = post.at_least(events, t).groupBy(l(t).alias("threshold")).agg(F.count(l(1)).alias("n"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    names = ("debug", "info", "warning", "error", "critical", "nonsense")
+    ranked = events.groupBy(post.severity_rank(c("severity")).alias("rank")).agg(F.count(l(1)).alias("n"))
+    met = ranked.withColumn("t", F.explode(F.array(*[F.struct(l(t).alias("threshold"), l(post.threshold_rank(t)).alias("least")) for t in names]))).where("rank >= t.least")
+    return met.groupBy("t.threshold").agg(F.sum("n").alias("n"))
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 40 THEN substr(text, 1, 40) || '...' ELSE text END AS cut FROM documents")
