@@ -6,8 +6,8 @@ joins ids with the id -> piece table, whose size is the vocabulary's. Nothing is
 global word table would have to shuffle every word occurrence, some eight times the input.
 
 Defined results: null text counts as empty; empty text has no ids and decodes to the empty text;
-repeated rows each give a row; other columns are ignored or, in `encode`, kept; an empty table
-gives an empty result.
+repeated rows each give a row; other columns are ignored or, in `encode`, kept; very long texts are
+encoded alone; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import portions, text_or_empty
 from .words import LowerWordPieces, table
 
 
@@ -52,13 +52,14 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: st
 
     def run(batches):
         words = table(LowerWordPieces, path)
-        for b in batches:
-            texts = [x or "" for x in b.column(b.schema.names.index(text)).to_pylist()]
-            got = [np.frombuffer(x, "<u4").astype(np.int32) for at in range(0, len(texts), 256) for x in words.encode(texts[at : at + 256])]
-            offsets = np.cumsum([0, *map(len, got)]).astype(np.int32)
-            flat = np.concatenate(got) if got else np.array([], np.int32)
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*b.columns, column], names=[*b.schema.names, ids])
+        # Small batches go out, whatever comes in: ids take more room than their texts.
+        for part in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            texts = [x or "" for x in part.column(part.schema.names.index(text)).to_pylist()]
+            for begin, end in portions(texts):
+                got = [np.frombuffer(x, "<i4") for x in words.encode(texts[begin:end])]
+                offsets = np.cumsum([0, *map(len, got)]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got), pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.slice(begin, end - begin).columns, column], names=[*part.schema.names, ids])
 
     return docs.select(*kept).mapInArrow(run, schema)
 
@@ -71,7 +72,7 @@ def op10_bpe(spark, sf_dir: str, path: str | None = None) -> DataFrame:
         decode = Decoder(words.tokenizer)
         for b in batches:
             out = [[], [], []]
-            for data in (x for at in range(0, b.num_rows, 256) for x in words.encode(b.column(1).slice(at, 256).to_pylist())):
+            for data in (x for at in range(0, b.num_rows, 256) for texts in [b.column(1).slice(at, 256).to_pylist()] for begin, end in portions(texts) for x in words.encode(texts[begin:end])):
                 ids = np.frombuffer(data, "<u4")
                 out[0].append(len(ids))
                 out[1].append(hashlib.sha256(data).hexdigest())

@@ -31,7 +31,7 @@ class PieceTable(dict):
     """piece -> its ids as little-endian unsigned 32-bit bytes."""
 
     #: Pieces a worker keeps; beyond, the table starts anew. It bounds memory, not results.
-    LIMIT = 300_000
+    LIMIT = 200_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
