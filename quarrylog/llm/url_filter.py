@@ -54,8 +54,9 @@ def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow", url: str =
     table = table.select("verdict", "rule", "full", F.substring("full", 1, PREFIX_HEX).alias("prefix"))
     if number <= BROADCAST_RULES:
         table = F.broadcast(table)
-    # Distinct urls carry the work; rows differ in their keys only.
     rows = pages.select(*keep, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.monotonically_increasing_id().alias("_row"))
+    if not shapes:
+        return rows.select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     parts = F.split("host", r"\.")
     expressions = F.array(*[
         F.when(
@@ -64,14 +65,11 @@ def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow", url: str =
         )
         for s in shapes
     ])
-    tried = rows.select("_row", F.explode(F.filter(F.transform(expressions, lambda x: F.sha2(x, 256)), lambda x: x.isNotNull())).alias("digest")) if shapes else None
-    if tried is None:
-        return rows.select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    best = (
-        tried.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)).join(table, "prefix").where("digest = full")
-        .groupBy("_row").agg(F.min(F.struct((-F.length("rule")).alias("size"), "rule", "verdict")).alias("best"))
-    )
-    return rows.join(best, "_row", "left").select(*keep, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    # A row's expressions meet again by its number, given in this one scan, after the map side has merged them.
+    tried = rows.select("*", F.explode_outer(F.filter(F.transform(expressions, lambda x: F.sha2(x, 256)), lambda x: x.isNotNull())).alias("digest")).withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
+    sure = F.when(F.col("digest") == F.col("full"), F.struct((-F.length("rule")).alias("size"), "rule", "verdict"))
+    best = tried.join(table, "prefix", "left").groupBy("_row", *keep, "host", "path").agg(F.min(sure).alias("best"))
+    return best.select(*keep, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
 def op5_url_filter(spark, sf_dir: str) -> DataFrame:
