@@ -138,6 +138,14 @@ JSON_LINTERS = {
         '{"ArtifactName": "img", "Results": [{"Target": "img@k@ (debian)", "Class": "os-pkgs", "Vulnerabilities": [{"VulnerabilityID": "CVE-2024-@k@", "PkgName": "zlib", "Severity": "CRITICAL", "Title": "Overflow @n@", "InstalledVersion": "1.0", "FixedVersion": "1.1"}, {"VulnerabilityID": "CVE-2024-2", "PkgName": "ssl", "Severity": "MEDIUM", "Title": "Leak"}]}]}',
         _lint("trivy", "vulnerability", ("ERROR", "CVE-2024-@k@", "img@k@ (debian)", None, None, "Overflow @n@"), ("WARNING", "CVE-2024-2", "img@k@ (debian)", None, None, "Leak"), kind="security_finding"),
     ),
+    "kube_score_json": (
+        '[{"object_name": "web@k@", "type_meta": {"kind": "Deployment"}, "file_name": "d@k@.yml", "file_row": @k@, "checks": [{"check": {"id": "pod-probes", "name": "Probes", "comment": "Add"}, "grade": "CRITICAL", "comments": [{"path": "app@n@", "summary": "No probe @n@", "description": "Set one"}]}, {"check": {"id": "net", "name": "Network", "comment": "c"}, "grade": "WARNING", "comments": []}, {"check": {"id": "fine", "name": "Fine"}, "grade": "OK", "comments": []}]}]',
+        [("lint_issue", "kube-score", "kubernetes", "ERROR", "critical", "pod-probes", "d@k@.yml", "@k@", None, "No probe @n@", "app@n@"), ("lint_issue", "kube-score", "kubernetes", "WARNING", "warning", "net", "d@k@.yml", "@k@", None, "Network", "")],
+    ),
+    "ruff_json": (
+        '[{"filename": "a@k@.py", "code": "F401", "message": "unused @n@", "url": "u", "location": {"row": @k@, "column": 8}, "fix": {"message": "Remove"}}, {"filename": "b.py", "code": "B006", "message": "mutable", "url": "u", "location": {"row": 2, "column": 1}}]',
+        [*_lint("ruff", "ruff_json", ("ERROR", "F401", "a@k@.py", "@k@", 8, "unused @n@"), ("WARNING", "B006", "b.py", 2, 1, "mutable")), ("summary", "ruff", "ruff_json", "FAIL", "error", "", "", None, None, "Found 2 errors", "")],
+    ),
     "tfsec_json": (
         '{"results": [{"rule_id": "AVD-AWS-0086", "description": "Public @n@", "resource": "aws_s3.b@k@", "severity": "HIGH", "location": {"filename": "m@k@.tf", "start_line": @k@, "end_line": @k@}, "resolution": "Block"}, {"rule_id": "AVD-2", "description": "Meh", "resource": "r", "severity": "LOW", "location": {"filename": "n.tf", "start_line": 2}}]}',
         _lint("tfsec", "infrastructure_security", ("ERROR", "AVD-AWS-0086", "m@k@.tf", "@k@", None, "Public @n@"), ("INFO", "AVD-2", "n.tf", 2, None, "Meh"), kind="security_finding"),
@@ -200,6 +208,11 @@ TEXT_LINTERS = {
         [*_lint("clang-tidy", "static_analysis", ("WARNING", "modernize-use-nullptr", "src/a@k@.cpp", "@k@", 7, "use nullptr @n@"), ("INFO", "", "src/a@k@.cpp", 4, 2, "here")),
          ("build_error", "clang-tidy", "static_analysis", "ERROR", "error", "clang-diagnostic-error", "src/a@k@.cpp", 3, 1, "bad", ""), ("summary", "clang-tidy", "static_analysis", "WARNING", "warning", "", "", None, None, "@n@ warnings generated by clang-tidy", "")],
     ),
+    "bandit_text": (
+        ">> Issue: [B602:subprocess_popen] shell @n@\n   Severity: High   Confidence: High\n   CWE: CWE-78 (https://cwe)\n   Location: a@k@.py:@k@\n>> Issue: [B101:assert_used] assert\n   Severity: Low   Confidence: High\n   Location: b.py:12:5\nCode scanned: @n@ files\nTotal issues: 2",
+        [("security_finding", "bandit", "bandit_text", "FAIL", "error", "B602:subprocess_popen", "a@k@.py", "@k@", None, "shell @n@ (CWE-78: https://cwe)", ""), ("security_finding", "bandit", "bandit_text", "INFO", "info", "B101:assert_used", "b.py:12", 5, None, "assert", ""),
+         ("summary", "bandit", "bandit_text", "INFO", "info", "", "", None, None, "Scanned @n@ files", ""), ("summary", "bandit", "bandit_text", "WARNING", "warning", "", "", None, None, "Total security issues: 2", "")],
+    ),
     "generic_lint": (
         "a@k@.x:@k@:3: error: bad @n@\nb.x:4: warning: meh\nc.x:5:1: note: see",
         [("lint_issue", "lint", "lint_error", "ERROR", "error", "", "a@k@.x", "@k@", 3, "bad @n@", ""), ("lint_issue", "lint", "lint_warning", "WARNING", "warning", "", "b.x", 4, None, "meh", ""), ("lint_issue", "lint", "lint_info", "INFO", "info", "", "c.x", 5, 1, "see", "")],
