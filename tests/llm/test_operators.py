@@ -82,6 +82,24 @@ def test_simple8b_round_trip():
                 assert (token_ids.unpack(w[token_ids.MARK :], raw, np.uint64) == x[marks[1] :]).all()
 
 
+def test_ranges_by_marks():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 50_257, 9000, dtype=np.uint32)
+    w, marks, raw = token_ids.pack(x)
+    for a, b in ((0, 9000), (0, 1), (8999, 9000), (767, 1025), (4000, 4000), *np.sort(rng.integers(0, 9001, (30, 2)), axis=1).tolist()):
+        assert (token_ids.unpack_range(w, marks, raw, a, b) == x[a:b]).all()
+
+
+def test_token_files_of_odd_rows(spark, tmp_path, docs, empty):
+    for d in (docs, empty):
+        path = str(tmp_path / str(d.count()))
+        token_ids.write_ids(d, path)
+        got = token_ids.read_ids(spark, path).orderBy("start").collect()
+        assert len(got) == d.count() and [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+        if got:
+            assert got[0].doc_id is None and [r.doc_id for r in got[1:]] == sorted(r.doc_id for r in got[1:])
+
+
 def test_token_files_hold_the_librarys_ids(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -131,6 +149,27 @@ def test_windows_without_slots_count_beside_a_changed_name(spark):
     assert got == [(1, False), (2, False)]
 
 
+def test_tokens_and_slots_keep_step(spark):
+    texts = ["In \u0130stanbul, Ay\u015fe ran 5 km and \u0130pek 12", "a\u0001b \u0002 c 3\u0001km", "The Ohm \u2126 and \u212a, Stra\u00dfe 1.5 kg", "", "X, Y, Z", "\u03a3\u0399\u03a3\u03a5\u03a6\u039f\u03a3 12,5 percent"]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").select(decontaminate.tokens_of(F.col("text")).alias("raw"), decontaminate.canonical(F.col("text")).alias("slots"))
+    assert all(len(r.raw) == len(r.slots) for r in d.collect())
+
+
+def test_two_fillers_of_an_item_stay_two(spark):
+    q = "when Alice met Carla near the old bridge then Alice gave Carla her green umbrella and Carla thanked Alice for it"
+    rows = [(1, q.replace("Alice", "Doris").replace("Carla", "Erika")), (2, q.replace("Alice", "Doris").replace("Carla", "Doris")), (3, q)]
+    items = spark.createDataFrame([(9, q)], "item_id long, text string")
+    got = sorted((r.doc_id, r.slots_changed) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect())
+    assert got == [(1, True), (3, False)]
+
+
+def test_windows_of_numbers_count_as_they_stand(spark):
+    q = "add 3 4 5 6 7 8 9 10 11 12 13 14 and say the sum"
+    rows = [(1, q), (2, "add 1 2 3 4 5 6 7 8 9 10 11 12 or 13"), (3, None)]
+    items = spark.createDataFrame([(9, q)], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()] == [1]
+
+
 # --- 5: urls
 def brute_url(url):
     if url is None or "://" not in url:
@@ -227,6 +266,22 @@ def test_model_spans_beyond_base_spans(spark):
     assert found == {1: [[4, 54]], 2: []}
 
 
+def test_long_texts_stay_linear(spark):
+    import base64
+    import time
+
+    rng = random.Random(8)
+    table = secret_scan.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    texts = [base64.b64encode(rng.randbytes(300_000)).decode(), "/".join(rng.choice(["customers", "settings", "aB3dE5fG7hI9jK1lM3nO"]) for _ in range(10_000)), " ".join(str(rng.randrange(10**6)) for _ in range(60_000)), " ".join(f"u{i}@example.com" for i in range(10_000))]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    found = {r.doc_id: r.n for r in secret_scan.find_secrets(d, table).selectExpr("_row.doc_id", "size(_random) AS n").collect()}
+    assert found[0] == 1 and found[1] > 1000 and found[2] == 0
+    assert {r.doc_id: r.n for r in pii.find_personal_data(d).selectExpr("doc_id", "size(email) AS n").collect()} == {0: 0, 1: 0, 2: 0, 3: 10_000}
+    assert "aB3dE5" not in secret_scan.redact(d.where("doc_id = 1"), table=table).first().text
+    assert time.time() - began < 240
+
+
 # --- 8: n-gram join
 def brute_components(rows, size=4, threshold=85):
     sets = []
@@ -298,6 +353,18 @@ def test_png_round_trip_and_checksums():
         media.decode(bytes(data))
 
 
+def test_rows_of_all_filters_and_heights():
+    rng = np.random.default_rng(4)
+    ramp = (np.arange(64)[None, :] * 3 + np.arange(40)[:, None] * 5).astype(np.uint8)
+    smooth = np.cumsum(np.cumsum(rng.integers(-1, 2, (60, 64)), axis=0), axis=1).astype(np.uint8)
+    pictures = [ramp.tobytes(), smooth.tobytes(), bytes(64), b"plain words of a text. " * 64, np.tile(rng.integers(0, 256, 64, dtype=np.uint8), (9, 1)).tobytes()]
+    coded = [media.encode(p) for p in pictures]
+    assert len(set(np.concatenate([media.inflated(c)[:, 0] for c in coded]).tolist())) >= 4
+    assert [x.tobytes() for x in media.decode_all(coded)] == pictures
+    with pytest.raises(ValueError, match="unknown filter"):
+        media.unfiltered([np.full((2, 65), 5, np.uint8)])
+
+
 def test_media_rows(spark, tmp_path):
     rows = [(1, "é" * 100), (2, None), (3, ""), (4, LONG), (5, "é" * 100)]
     got = run(spark, tmp_path, media.op9_media, rows).set_index("doc_id")
