@@ -39,7 +39,8 @@ UNITS = "km|m|cm|mm|kg|g|mg|l|ml|s|ms|h|min|hours?|minutes?|seconds?|days?|years
 def plain(text: Column) -> Column:
     """Without the marks, and without the one letter whose lower case is two characters: so that `tokens_of` and
     `canonical` cut a text into the same tokens."""
-    return F.translate(text, NAME + UNIT + "\u0130", "  I")
+    holds = F.contains(text, F.lit(NAME)) | F.contains(text, F.lit(UNIT)) | F.contains(text, F.lit("\u0130"))
+    return F.when(holds, F.translate(text, NAME + UNIT + "\u0130", "  I")).otherwise(text)
 
 
 def tokens_of(text: Column) -> Column:
