@@ -23,6 +23,8 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
 
 
 
+#: Bytes that numpy works on at once; its arrays take some 50 times as much.
+STEP = 1 << 20
 #: The sign for a space in byte-level vocabularies.
 SPACE = "Ġ"
 
@@ -212,9 +214,40 @@ class ByteLevelPieces(PieceTable):
     def encode(self, texts: list[str]) -> list[bytes]:
         runs = [self.runs_of(t) for t in texts]
         whole = iter(self.whole([t for t, r in zip(texts, runs, strict=True) if r is None]))
-        raw = [t.encode() for t, r in zip(texts, runs, strict=True) if r is not None and t]
-        cut = iter(self._cut(raw, [r for t, r in zip(texts, runs, strict=True) if r is not None and t]) if raw else [])
-        return [next(whole) if r is None else next(cut) if t else b"" for t, r in zip(texts, runs, strict=True)]
+        cut = iter(self._in_steps([(t.encode(), r) for t, r in zip(texts, runs, strict=True) if r is not None]))
+        return [next(whole) if r is None else next(cut) for r in runs]
+
+    def _in_steps(self, raw: list[tuple[bytes, bool]]) -> list[bytes]:
+        """Ids of texts that are sure to be cut rightly, some STEP bytes at once: a long text is cut at blanks."""
+        out: list[list[bytes]] = [[] for _ in raw]
+        held, size = [], 0
+
+        def flush():
+            nonlocal size
+            for i, ids in zip([i for i, _, _ in held], self._cut([x for _, x, _ in held], [r for _, _, r in held]) if held else [], strict=True):
+                out[i].append(ids)
+            held.clear()
+            size = 0
+
+        for i, (data, r) in enumerate(raw):
+            at = 0
+            while at < len(data):
+                end = at + STEP
+                if end < len(data):
+                    blank = data.rfind(b" ", at + 1, end)
+                    blank = blank if blank > 0 else data.find(b" ", end)
+                    end = blank if blank > 0 else len(data)
+                part = data[at:end]
+                at = end
+                if size + len(part) > STEP:
+                    flush()
+                if len(part) > 2 * STEP:  # one word of that length
+                    out[i].append(self.whole([part.decode()])[0])
+                else:
+                    held.append((i, part, r))
+                    size += len(part)
+        flush()
+        return [b"".join(x) for x in out]
 
     def _cut(self, raw: list[bytes], runs: list[bool]) -> list[bytes]:
         """Ids of texts that are sure to be cut rightly and not empty."""
