@@ -165,9 +165,10 @@ def test_two_fillers_of_an_item_stay_two(spark):
 
 def test_windows_of_numbers_count_as_they_stand(spark):
     q = "add 3 4 5 6 7 8 9 10 11 12 13 14 and say the sum"
-    rows = [(1, q), (2, "add 1 2 3 4 5 6 7 8 9 10 11 12 or 13"), (3, None)]
+    rows = [(1, q), (2, "add 21 22 23 24 25 26 27 28 29 30 31 32 or 33"), (3, None), (4, "add 1 2 3 4 5 6 7 8 9 10 11 12 or 13")]
     items = spark.createDataFrame([(9, q)], "item_id long, text string")
-    assert [r.doc_id for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()] == [1]
+    # Row 4 has three of the item's ten windows word for word.
+    assert sorted(r.doc_id for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()) == [1, 4]
 
 
 # --- 5: urls
