@@ -52,7 +52,7 @@ def diagnose(docs: DataFrame, text: str = "content", emit: str = "all", names: l
     base = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     # All tests and counts in one step: a parser is only run where its format's markers are.
     base = base.select("*", *[test_of(e, F.col("_text")).alias(f"_can{i}") for i, e in enumerate(chosen)])
-    number = lambda e: reduce(lambda rest, x: F.when(F.size(x.hits(F.col("_text"))) > 0, F.size(x.hits(F.col("_text")))).otherwise(rest), reversed(e.specs), F.lit(0))
+    number = lambda e: reduce(lambda rest, x: F.when(F.size(x.hits()) > 0, F.size(x.hits())).otherwise(rest), reversed(e.specs), F.lit(0))
     base = base.select("*", *[F.when(F.col(f"_can{i}"), number(e)).otherwise(0).cast("bigint").alias(f"_n{i}") for i, e in enumerate(chosen)])
     rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(e.name).alias("format"), F.lit(e.priority).alias("priority"), F.col(f"_can{i}").alias("can_parse"), F.col(f"_n{i}").alias("events_produced")) for i, e in enumerate(chosen)])
     out = base.withColumn("_all", rows).withColumn("_first", F.get(F.filter("_all", lambda x: x["can_parse"]), F.lit(0))["i"])

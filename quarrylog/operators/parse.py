@@ -17,38 +17,28 @@ from .detect import detect_format, test_of
 from .post import at_least
 
 
-LATER = ("event_id", "log_file", "fingerprint", "similarity_score", "pattern_id")
-
-
-def _columns_of(spec) -> str:
-    return ", ".join(f"{spec.event(n)} AS `{n}`" for n in EVENT_FIELDS if n not in LATER)
-
-
 def _events_of(docs: DataFrame, entry: registry.Entry) -> DataFrame:
     """docs with _events: array of events without the columns that later steps fill."""
     if len(entry.specs) == 1:
-        spec = entry.specs[0]
-        return spec.with_hits(docs).withColumn("_events", F.expr(f"transform(coalesce({spec.after_sql('_hits')}, array()), x -> struct({_columns_of(spec)}))")).drop("_hits")
+        return docs.withColumn("_hits", entry.specs[0].hits()).withColumn("_events", F.expr(entry.specs[0].events_sql("_hits"))).drop("_hits")
     if entry.name in registry.MERGED:
-        own = [f"transform(coalesce({x.after_sql(f'_h{i}')}, array()), x -> struct({_columns_of(x)}))" for i, x in enumerate(entry.specs)]
-        hits = [x.hits(F.col("_text")).alias(f"_h{i}") for i, x in enumerate(entry.specs)]
-        merged = f"array_sort(concat({', '.join(own)}), (a, b) -> a.log_line_start - b.log_line_start)"
-        return docs.select("*", *hits).withColumn("_events", F.expr(merged)).drop(*[f"_h{i}" for i in range(len(own))])
+        hits = [x.hits().alias(f"_h{i}") for i, x in enumerate(entry.specs)]
+        merged = f"array_sort(concat({', '.join(x.events_sql(f'_h{i}') for i, x in enumerate(entry.specs))}), (a, b) -> a.log_line_start - b.log_line_start)"
+        return docs.select("*", *hits).withColumn("_events", F.expr(merged)).drop(*[f"_h{i}" for i in range(len(entry.specs))])
     return first_events(docs, [(F.lit(True), x) for x in entry.specs])
 
 
 def first_events(docs: DataFrame, tried: list) -> DataFrame:
     """docs with _events: those of the first of (condition, parser) that yields any for the text in `_text`, else none.
 
-    One expression whose size is the sum of its parsers': each is bound once, and the next only looked at
-    where it is empty.
+    Each parser has a column of its own, null where its condition fails; nothing is nested in another parser, so that
+    plans grow with the sum of the parsers.
     """
-    hits = [F.when(usable, spec.hits(F.col("_text"))).alias(f"_h{i}") for i, (usable, spec) in enumerate(tried)]
-    out = None
-    for i, (_, spec) in reversed(list(enumerate(tried))):
-        own = f"transform(coalesce({spec.after_sql(f'_h{i}')}, array()), x -> struct({_columns_of(spec)}))"
-        out = own if out is None else f"get(transform(array({own}), o{i} -> CASE WHEN size(o{i}) > 0 THEN o{i} ELSE {out} END), 0)"
-    return docs.select("*", *hits).withColumn("_events", F.expr(out)).drop(*[f"_h{i}" for i in range(len(tried))])
+    n = len(tried)
+    hits = docs.select("*", *[F.when(usable, spec.hits()).alias(f"_h{i}") for i, (usable, spec) in enumerate(tried)])
+    own = hits.select(*docs.columns, *[F.expr(spec.events_sql(f"_h{i}")).alias(f"_e{i}") for i, (_, spec) in enumerate(tried)])
+    first = "CASE " + " ".join(f"WHEN size(_e{i}) > 0 THEN _e{i}" for i in range(n)) + f" ELSE _e{n - 1} END"
+    return own.withColumn("_events", F.expr(first)).drop(*[f"_e{i}" for i in range(n)])
 
 
 def entries_of(format) -> list[registry.Entry] | None:

@@ -15,10 +15,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import EVENT_FIELDS, KEPT_EMPTY
+from ..schema import EVENT_FIELDS, KEPT_EMPTY, LATER
 
 SEP, MET = "\u0001", "\u0002"
 #: Formats with `capped` cut lines beyond this length and mark them, before any rule sees them; the others don't.
@@ -46,6 +46,11 @@ def double_of(text: str) -> str:
     return f"coalesce(try_cast(nullif(regexp_extract({text}, '^\\\\s*([0-9]+(?:[.][0-9]+)?)', 1), '') AS double), 0.0D)"
 
 
+def bound(name: str, value: str, body: str) -> str:
+    """SQL for `body`, in which `name` stands for `value`, computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 @dataclass
 class Rule:
     """pattern: a Java regex, searched. columns: name -> group number, "=text", or SQL with {1}, {line}, {carry}."""
@@ -86,6 +91,9 @@ def hit_with(*values: str) -> str:
     return f"named_struct('rule', x.rule, 'line_no', x.line_no, 'line_end', x.line_end, 'line', x.line, 'g', concat(x.g, array({', '.join(values)})), 'carry', x.carry, 'carry_no', x.carry_no)"
 
 
+_KEPT_OF_HIT = "'rule', x.rule, 'line_no', x.line_no, 'line_end', x.line_end, 'line', x.line, 'g', x.g"
+
+
 @dataclass
 class Format:
     """What all kinds share. tool, type and category hold where a rule says nothing."""
@@ -96,6 +104,14 @@ class Format:
     columns: dict = field(default_factory=dict)
     detect: object = None
 
+    def hits(self) -> Column:
+        return F.expr(self.hits_sql())
+
+    def events_sql(self, hits: str | None = None) -> str:
+        """SQL over the column _text (or over hits) for an array of events, without what later steps fill."""
+        columns = ", ".join(f"{self.event(n)} AS `{n}`" for n in EVENT_FIELDS if n not in LATER)
+        return f"transform(coalesce({self.after_sql(hits or self.hits_sql())}, array()), x -> struct({columns}))"
+
     def after_sql(self, hits: str) -> str:
         """`hits`, SQL for an array of hits, with what depends on other hits."""
         return hits
@@ -137,58 +153,47 @@ class Lines(Format):
         if more:
             self.rules = (*self.rules, more)
 
-    def with_hits(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_hits", self.hits(F.col("_text")))
-
-    def hits(self, text: Column) -> Column:
-        lines = F.split(F.when(F.contains(text, F.lit(MET)), F.translate(text, MET, " ")).otherwise(text), "\r?\n")
+    def hits_sql(self) -> str:
+        """SQL over the column _text. Each array is computed once: it is bound as a lambda's variable."""
+        lines = f"split(CASE WHEN contains(_text, {quoted(MET)}) THEN translate(_text, {quoted(MET)}, ' ') ELSE _text END, '\\r?\\n')"
         if self.capped:
-            lines = F.transform(lines, lambda x: F.when(F.length(x) > LINE_LIMIT, F.concat(F.substring(x, 1, LINE_LIMIT - len(CUT_MARK)), F.lit(CUT_MARK))).otherwise(x))
-        # One evaluation of each array and text: it is bound as a lambda's variable.
-        bind = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
-
-        def hit(line, i, all_lines, number=0):
-            """The first rule from `number` on that the line meets, in one pass a rule: a line it meets becomes MET and its groups."""
-            if number == len(self.tried):
-                return None
-            rule = self.tried[number]
-            source = line if rule.span == 1 else F.array_join(F.slice(all_lines, i + 1, rule.span), "\n")
-            groups = re.compile(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", rule.pattern.replace("++", "+").replace("*+", "*"))).groups
-            rewritten = F.regexp_replace(source, f"(?s)^.*?(?:{rule.pattern}).*$", MET + SEP.join(f"${k + 1}" for k in range(groups)))
-
-            def made(r):
-                tested = F.startswith(r, F.lit(MET))
-                if rule.unless:
-                    tested = tested & ~source.rlike(rule.unless)
-                out = F.when(tested, F.struct(F.lit(number).alias("rule"), (i + 1).alias("line_no"), (i + F.lit(rule.span)).alias("line_end"), line.alias("line"), F.split(F.substring(r, 2, 1 << 30), SEP, -1).alias("g")))
-                rest = hit(line, i, all_lines, number + 1)
-                return out if rest is None else out.otherwise(rest)
-
-            return bind(rewritten, made)
-
-        def carried(found, heads=None):
-            def one(x):
-                head = F.get(F.reverse(F.filter(heads, lambda y: y["n"] <= x["line_no"])), F.lit(0)) if heads is not None else None
-                return F.struct(
-                    x["rule"].alias("rule"), x["line_no"].alias("line_no"), x["line_end"].alias("line_end"), x["line"].alias("line"), x["g"].alias("g"),
-                    (F.coalesce(head["v"], F.lit("")) if heads is not None else F.lit("")).alias("carry"), (head["n"] if heads is not None else F.lit(None).cast("int")).alias("carry_no"),
-                )
-
-            return F.transform(found, one)
-
-        found = bind(lines, lambda a: F.filter(F.transform(a, lambda line, i: hit(line, i, a)), lambda x: x.isNotNull()))
+            lines = f"transform({lines}, y -> CASE WHEN length(y) > {LINE_LIMIT} THEN concat(left(y, {LINE_LIMIT - len(CUT_MARK)}), {quoted(CUT_MARK)}) ELSE y END)"
+        tests = " ".join(f"WHEN {self._meets(rule)} THEN {self._hit(number, rule)}" for number, rule in enumerate(self.tried))
+        found = f"filter(transform(_lines, (line, i) -> CASE {tests} END), x -> x IS NOT NULL)"
         if self.carry:
-            heads = bind(lines, lambda a: F.filter(F.transform(a, lambda line, i: F.when(line.rlike(self.carry), F.struct((i + 1).alias("n"), F.regexp_extract(line, self.carry, 1).alias("v")))), lambda x: x.isNotNull()))
-            found = bind(heads, lambda h: carried(found, h))
+            head = f"CASE WHEN line RLIKE {quoted(self.carry)} THEN named_struct('n', i + 1, 'v', regexp_extract(line, {quoted(self.carry)}, 1)) END"
+            found = bound("_heads", f"filter(transform(_lines, (line, i) -> {head}), y -> y IS NOT NULL)", bound("_places", f"filter(array({', '.join(str(1 << k) for k in range(30, -1, -1))}), b -> b <= size(_heads))", f"transform({found}, x -> {self._carried()})"))
         else:
-            found = carried(found)
+            found = f"transform({found}, x -> named_struct({_KEPT_OF_HIT}, 'carry', '', 'carry_no', cast(NULL AS int)))"
+        found = bound("_lines", lines, found)
         if self.otherwise:
-            none = F.array(F.struct(F.lit(len(self.tried)).alias("rule"), F.lit(1).alias("line_no"), F.lit(1).alias("line_end"), F.lit("").alias("line"), F.array(F.lit("")).alias("g"), F.lit("").alias("carry"), F.lit(None).cast("int").alias("carry_no")))
-            found = bind(found, lambda f: F.when((F.size(f) > 0) | (text == ""), f).otherwise(none))
+            none = f"named_struct('rule', {len(self.tried)}, 'line_no', 1, 'line_end', 1, 'line', '', 'g', array(''), 'carry', '', 'carry_no', cast(NULL AS int))"
+            found = bound("_found", found, f"CASE WHEN size(_found) > 0 OR _text = '' THEN _found ELSE array({none}) END")
         return found
 
+    @staticmethod
+    def _source(rule: Rule) -> str:
+        return "line" if rule.span == 1 else f"array_join(slice(_lines, i + 1, {rule.span}), '\n')"
+
+    def _meets(self, rule: Rule) -> str:
+        """True where the rule's pattern occurs in the line; groups are only taken then."""
+        source = self._source(rule)
+        return f"{source} RLIKE {quoted('(?s)' + rule.pattern)}" + (f" AND NOT {source} RLIKE {quoted(rule.unless)}" if rule.unless else "")
+
+    def _hit(self, number: int, rule: Rule) -> str:
+        """The hit with all groups, taken in one pass: the line is rewritten to its groups and split."""
+        groups = re.compile(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", rule.pattern.replace("++", "+").replace("*+", "*"))).groups
+        whole, put = quoted(f"(?s)^.*?(?:{rule.pattern}).*$"), quoted(SEP.join(f"${k + 1}" for k in range(groups)))
+        return f"named_struct('rule', {number}, 'line_no', i + 1, 'line_end', i + {rule.span}, 'line', line, 'g', split(regexp_replace({self._source(rule)}, {whole}, {put}), {quoted(SEP)}, -1))"
+
+    @staticmethod
+    def _carried() -> str:
+        """The hit with the last head at or above its line, found by halving: heads are in order of lines."""
+        place = "aggregate(_places, 0, (at, b) -> CASE WHEN at + b <= size(_heads) AND get(_heads, at + b - 1).n <= x.line_no THEN at + b ELSE at END)"
+        return f"get(transform(array(get(_heads, {place} - 1)), h -> named_struct({_KEPT_OF_HIT}, 'carry', coalesce(h.v, ''), 'carry_no', h.n)), 0)"
+
     def after_sql(self, hits: str) -> str:
-        return f"get(transform(array({hits}), _hits -> {self.after}), 0)" if self.after else hits
+        return bound("_hits", hits, self.after) if self.after else hits
 
     def event(self, name: str) -> str:
         own = {"log_content": "nullif(x.line, '')", "log_line_start": "x.line_no", "log_line_end": "x.line_end"}.get(name)
@@ -227,19 +232,15 @@ class Json(Format):
     body = r"""CASE WHEN _text RLIKE r'^\s*[\[{]' THEN _text ELSE regexp_extract(_text, r'(?s)(?:^|[\r\n])([\[{](?=["{\[\]} \t\n\r0-9]|$).*)', 1) END"""
     reader = "from_json"
 
-    def with_hits(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_hits", self.hits(F.col("_text")))
-
-    def hits(self, text: Column) -> Column:
-        """`text` is the column _text, whose name the expressions hold."""
+    def hits_sql(self) -> str:
         if self.per_line:
             lines = "split(_text, r'\\r?\\n')"
             if self.wrappers:
                 lines = "coalesce(" + ", ".join(f"from_json(_text, 'struct<`{w}`: array<string>>').`{w}`" for w in self.wrappers) + f", {lines})"
             parsed = f"transform({lines}, (line, i) -> named_struct('line_no', i + 1, 'line', line, 'j', from_json(line, {quoted(self.schema)})))"
             found = f"filter({parsed}, x -> ltrim(x.line) LIKE '{{%' AND x.j IS NOT NULL AND ({self.keep}))"
-            return F.expr(f"get(transform(array({found}), _hits -> {self.after}), 0)" if self.after else found)
-        return F.expr(f"get(transform(array({self.reader}({self.body}, {quoted(self.schema)})), j -> {self.rows}), 0)")
+            return bound("_hits", found, self.after) if self.after else found
+        return bound("j", f"{self.reader}({self.body}, {quoted(self.schema)})", self.rows)
 
     def event(self, name: str) -> str:
         if self.per_line and name in ("log_line_start", "log_line_end") and name not in self.columns:

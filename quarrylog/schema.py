@@ -17,6 +17,8 @@ EVENT_FIELDS = {
 #: Text columns whose empty text stands (the others turn it to null).
 KEPT_EMPTY = {"tool_name", "ref_file", "function_name", "category", "error_code", "message", "suggestion", "structured_data", "test_name"}
 EVENT_SCHEMA = ", ".join(f"`{n}` {t}" for n, t in EVENT_FIELDS.items())
+#: Columns that parsing leaves to later steps.
+LATER = ("event_id", "log_file", "fingerprint", "similarity_score", "pattern_id")
 WORKFLOW_FIELDS = {n: t for n, t in EVENT_FIELDS.items() if n != "log_file"} | {"workflow_type": "string", "hierarchy_level": "int", "parent_id": "string", "job_order": "int", "job_name": "string"}
 STATUSES = ("PASS", "FAIL", "SKIP", "ERROR", "WARNING", "INFO")
 EVENT_TYPES = (
