@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..parsers.spec import quoted
+
 #: Fixed values: (regex, replacement), in this order, over the lower-cased message.
 STEPS = (
     (r"[/\\][\w/\\.-]+\.(?:cpp|hpp|py|js|java|go|rs|rb|php|c|h)[:\s]", " <file> "),
@@ -49,6 +51,19 @@ def normalise(message: Column) -> Column:
     return F.trim(F.when(message.rlike(r"[/\\:'\"\d\t\n]"), out).otherwise(low))
 
 
+def normalised_sql(message: str) -> str:
+    """`normalise` as SQL over a name."""
+    out = f"lower({message})"
+    for pattern, text in STEPS:
+        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(text)})"
+    needed = r"[/\\:'\"\d\t\n]"
+    return f"trim(CASE WHEN {message} RLIKE {quoted(needed)} THEN {out} ELSE lower({message}) END)"
+
+
+def fingerprint_sql(tool: str, category: str, message: str) -> str:
+    return f"concat_ws('_', {tool}, {category}, lower(hex(xxhash64(concat_ws(':', {tool}, {category}, {normalised_sql(message)})))))"
+
+
 def fingerprint(tool: Column, category: Column, message: Column) -> Column:
     text = F.concat_ws(":", tool, category, normalise(message))
     return F.concat_ws("_", tool, category, F.lower(F.hex(F.xxhash64(text))))
