@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sql as sql_functions
 from ..functions.badges import count_badge, status_badge
 from ..operators import catalog, custom, patterns, post, workflow
 from ..operators.detect import detect_format
@@ -269,21 +270,30 @@ def q30_lateral_left_join(spark, sf):
     return docs.select("id").join(events, "id", "left")
 
 
-@query("SELECT * FROM (VALUES ('gcc -c a.c', 'gcc_text', 80, 1::BIGINT), ('pytest', 'pytest_text', 80, 2::BIGINT), ('cargo clippy --message-format=json', 'clippy_json', 100, 2::BIGINT), ('cargo clippy --message-format=json', 'cargo_build', 80, 2::BIGINT)) t(command, format, priority, n)")
+@query("""SELECT format, priority, count(*) AS commands, CAST(sum(n) AS BIGINT) AS patterns FROM (
+SELECT 'gcc_text' AS format, 80 AS priority, 1 AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'pytest_text', 80, 2 FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'clippy_json', 100, 2 FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT 'cargo_build', 80, 2 FROM orders WHERE o_orderstatus = 'P') GROUP BY ALL""")
 def q31_command_match(spark, sf):
-    d = spark.createDataFrame([("gcc -c a.c",), ("pytest",), ("cargo clippy --message-format=json",)], "command string")
-    return catalog.match_commands(d).select("command", "format", "priority", F.size("matched_patterns").cast("bigint").alias("n"))
+    command = "CASE o_orderstatus WHEN 'F' THEN concat('gcc -c a', o_orderkey, '.c') WHEN 'O' THEN 'pytest' ELSE 'cargo clippy --message-format=json' END"
+    found = catalog.match_commands(table(spark, sf, "orders").select(F.expr(command).alias("command")))
+    return found.groupBy("format", "priority").agg(F.count(l(1)).alias("commands"), F.sum(F.size("matched_patterns")).alias("patterns"))
 
 
-@query("SELECT 'rust' AS \"group\", 3::BIGINT AS n UNION ALL SELECT 'gamedev', 1 UNION ALL SELECT 'mobile', 1")
+@query("""SELECT 'rust' AS "group", 3::BIGINT AS n, (SELECT count(*) FROM customer WHERE c_nationkey % 3 = 0) AS texts UNION ALL SELECT 'gamedev', 1, (SELECT count(*) FROM customer WHERE c_nationkey % 3 = 1) UNION ALL SELECT 'mobile', 1, (SELECT count(*) FROM customer WHERE c_nationkey % 3 = 2)""")
 def q32_formats_by_group(spark, sf):
-    return catalog.formats(spark).select(F.explode("groups").alias("group")).where(c("group").isin("rust", "gamedev", "mobile")).groupBy("group").agg(F.count(l(1)).alias("n"))
+    groups = catalog.formats(spark).select(F.explode("groups").alias("group")).groupBy("group").agg(F.count(l(1)).alias("n"))
+    used = table(spark, sf, "customer").groupBy(F.expr("CASE c_nationkey % 3 WHEN 0 THEN 'rust' WHEN 1 THEN 'gamedev' ELSE 'mobile' END").alias("group")).agg(F.count(l(1)).alias("texts"))
+    return used.join(groups, "group")
 
 
-@query("SELECT * FROM (VALUES ('gcc_text', true, 1::BIGINT), ('generic_lint', true, 1::BIGINT)) t(format, can_parse, events_produced)")
+@query("""SELECT format, can_parse, is_selected, count(*) AS texts, CAST(sum(n) AS BIGINT) AS events FROM (
+SELECT 'gcc_text' AS format, true AS can_parse, true AS is_selected, 1 AS n FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT 'generic_lint', true, false, 1 FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'syslog', true, true, 1 FROM orders WHERE o_orderstatus = 'P') GROUP BY ALL""")
 def q33_diagnose_valid(spark, sf):
-    d = spark.createDataFrame([("src/a.c:1:2: error: x",)], "content string")
-    return catalog.diagnose(d, emit="valid", names=["gcc_text", "generic_lint", "eslint_json", "syslog"]).select("format", "can_parse", "events_produced")
+    text = "CASE o_orderstatus WHEN 'P' THEN concat('Jan  2 03:04:05 host cron[', o_orderkey, ']: value') ELSE concat('src/a', o_orderkey, '.c:1:2: error: x') END"
+    docs = table(spark, sf, "orders").select(F.expr(text).alias("content"))
+    found = catalog.diagnose(docs, emit="valid", names=["gcc_text", "generic_lint", "eslint_json", "syslog"])
+    return found.groupBy("format", "can_parse", "is_selected").agg(F.count(l(1)).alias("texts"), F.sum("events_produced").alias("events"))
 
 
 WORKFLOW = "concat('2024-01-01T00:00:00.0000000Z ##[group]Run gcc -c p', o_custkey, '.c\\n2024-01-01T00:00:00.0000000Z p', o_custkey, '.c:3:4: ', CASE o_orderstatus WHEN 'F' THEN 'error' ELSE 'warning' END, ': bad\\n2024-01-01T00:00:00.0000000Z ##[group]Post job\\nWARN something\\n')"
@@ -447,6 +457,46 @@ for _name, _cases in format_cases.FAMILIES.items():
     QUERIES[_name], SQL[_name] = format_cases.family(_name, _cases)
 
 
+SQL_FORMATS = ("gcc_text", "logfmt", "jsonl")
+
+
+def sql_docs(spark, sf) -> None:
+    """The view log_texts (id, format, content): two compiler lines, two logfmt lines, JSON lines without a named format, or nothing."""
+    sql_functions.register(spark, SQL_FORMATS)
+    text = """CASE c_custkey % 4 WHEN 0 THEN concat('src/n', c_nationkey, '.c:', c_custkey, ':3: error: bad ', c_custkey, '\\nsrc/n', c_nationkey, '.c:9:1: warning: odd')
+WHEN 1 THEN concat('ts=2025-01-15T10:30:45Z level=warn msg="slow ', c_nationkey, '" component=c', c_nationkey, '\\nlevel=error msg=gone') WHEN 2 THEN concat('{"level": "error", "message": "lost ', c_nationkey, '"}') END"""
+    named = "CASE c_custkey % 4 WHEN 0 THEN 'GCC' WHEN 1 THEN 'logfmt' END"
+    table(spark, sf, "customer").select(c("c_custkey").alias("id"), F.expr(named).alias("format"), F.expr(text).alias("content")).createOrReplaceTempView("log_texts")
+
+
+@query("""SELECT format, tool_name, status, message, count(*) AS n, CAST(sum(ref_line) AS BIGINT) AS lines FROM (
+SELECT 'GCC' AS format, 'compiler' AS tool_name, 'ERROR' AS status, 'bad' AS message, c_custkey AS ref_line FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT 'GCC', 'compiler', 'WARNING', 'odd', 9 FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT 'logfmt', 'logfmt', 'WARNING', 'slow', NULL FROM customer WHERE c_custkey % 4 = 1 UNION ALL SELECT 'logfmt', 'logfmt', 'ERROR', 'gone', NULL FROM customer WHERE c_custkey % 4 = 1
+UNION ALL SELECT NULL, 'jsonl', 'ERROR', 'lost', NULL FROM customer WHERE c_custkey % 4 = 2) GROUP BY ALL""")
+def q57_sql_lateral(spark, sf):
+    sql_docs(spark, sf)
+    return spark.sql("""SELECT t.format, e.tool_name, e.status, split(e.message, ' ')[0] AS message, count(*) AS n, sum(e.ref_line) AS lines
+FROM log_texts t, LATERAL parse_log(t.content, t.format) e GROUP BY ALL""")
+
+
+@query("""SELECT id % 4 AS kind, count(*) AS texts, CAST(sum(n) AS BIGINT) AS events, count(*) FILTER (WHERE n = 0) AS silent FROM (
+SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS n FROM customer) GROUP BY 1""")
+def q58_sql_left_lateral(spark, sf):
+    sql_docs(spark, sf)
+    return spark.sql("""SELECT id % 4 AS kind, count(DISTINCT id) AS texts, count(event_id) AS events, count_if(event_id IS NULL) AS silent
+FROM (SELECT t.id, e.event_id FROM log_texts t LEFT JOIN LATERAL parse_log(t.content, t.format) e ON true) GROUP BY 1""")
+
+
+@query("""SELECT found, badge, severity, pattern_id, count(*) AS n FROM (
+SELECT 'gcc_text' AS found, '[FAIL]' AS badge, 'error' AS severity, 1::BIGINT AS pattern_id FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT 'gcc_text', '[WARN]', 'warning', 2 FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT 'logfmt', '[WARN]', 'warning', 1 FROM customer WHERE c_custkey % 4 = 1 UNION ALL SELECT 'logfmt', '[FAIL]', 'error', 2 FROM customer WHERE c_custkey % 4 = 1
+UNION ALL SELECT 'jsonl', '[FAIL]', 'error', 1 FROM customer WHERE c_custkey % 4 = 2 UNION ALL SELECT NULL, NULL, NULL, NULL FROM customer WHERE c_custkey % 4 = 3) GROUP BY ALL""")
+def q59_sql_array_form(spark, sf):
+    sql_docs(spark, sf)
+    return spark.sql("""SELECT found, status_badge(e.status) AS badge, e.severity, e.pattern_id, count(*) AS n
+FROM (SELECT detect_format(content) AS found, log_events(content, format) AS events FROM log_texts) LATERAL VIEW OUTER explode(events) AS e GROUP BY ALL""")
+
+
 def queries():
     return dict(QUERIES)
 
