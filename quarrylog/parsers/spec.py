@@ -6,6 +6,7 @@ operation: no shuffle, event numbers by position, and Spark splits the work by d
 
 * `Lines`: the first rule whose pattern occurs in a line (or in `span` lines joined) gives the hit. Groups are
   taken in one pass: the line is rewritten to its groups and split.
+* `Machine`: as Lines, but which rules meet depends on a state that earlier lines leave.
 * `Json`: a whole document, or one document a line; `rows` is an SQL expression over the parsed value `j`.
 * `Xml`: as Json, over from_xml.
 """
@@ -83,6 +84,7 @@ class Rule:
 
     def expand(self, text: str) -> str:
         text = re.sub(r"\{(\d+)\}", lambda m: f"get(x.g, {int(m[1]) - 1})", text)
+        text = re.sub(r"\{v(\d+)\}", lambda m: f"get(x.v, {m[1]})", text)
         return text.replace("{line}", "x.line").replace("{carry}", "x.carry")
 
 
@@ -215,6 +217,97 @@ class Lines(Format):
         return self.finished(name, "CASE x.rule " + " ".join(f"WHEN {i} THEN {s}" for i, s in whens) + " END")
 
 
+#: Lines that one running fold takes; the array it fills is copied as it grows, so long texts are folded in two levels.
+FOLDED = 256
+
+
+@dataclass
+class Machine(Lines):
+    """An automaton over a text's lines: a table says in which states a rule meets and where it leads.
+
+    Each line's patterns are tested once; the fold then only walks over lines that any rule may meet, with the state, and
+    for each rule the last such line (`last`), so that an event can tell what stood before it. Rules in `opens` put their event on a
+    stack and rules in `closes` take the topmost one off: what closes an event can be looked up from it.
+    """
+
+    #: rule -> {state: next state}: it meets in these states only. Other rules meet in all and change none.
+    moves: dict = field(default_factory=dict)
+    #: rule -> states in which it gives an event. Other rules give one in all.
+    emits: dict = field(default_factory=dict)
+    states: int = 1
+    opens: tuple = ()
+    closes: tuple = ()
+    #: Further values of an event, {v0}, {v1} .. in columns: SQL over `o`, its place in the fold; see `told` and `between`.
+    values: tuple = ()
+    #: What meets once behind the last line.
+    end: Rule | None = None
+
+    def __post_init__(self):
+        self.tried = self.rules
+        if self.end:
+            self.rules = (*self.rules, self.end)
+
+    def _table(self, of) -> str:
+        return "array(" + ", ".join(of(r, s) for r in range(len(self.rules)) for s in range(self.states)) + ")"
+
+    def hits_sql(self) -> str:
+        n, k = self.states, len(self.rules)
+        lines = f"split(CASE WHEN contains(_text, {quoted(MET)}) THEN translate(_text, {quoted(MET)}, ' ') ELSE _text END, '\\r?\\n')"
+        may = "filter(array(" + ", ".join(f"CASE WHEN line RLIKE {quoted('(?s)' + r.pattern)} THEN {i} END" for i, r in enumerate(self.tried)) + "), r -> r IS NOT NULL)"
+        marked = f"filter(transform(_lines, (line, i) -> named_struct('i', i + 1, 'line', line, 'may', {may})), m -> size(m.may) > 0)"
+        if self.end:
+            marked = f"CASE WHEN _text = '' THEN array() ELSE concat({marked}, array(named_struct('i', size(_lines) - CASE WHEN element_at(_lines, -1) = '' THEN 1 ELSE 0 END, 'line', '', 'may', array({k - 1})))) END"
+        meets = self._table(lambda r, s: str(s in self.moves.get(r, range(n))).lower())
+        leads = self._table(lambda r, s: str(self.moves.get(r, {}).get(s, s)))
+        gives = self._table(lambda r, s: str(s in self.emits.get(r, range(n))).lower())
+        inside = lambda rules: f"r IN ({', '.join(map(str, rules)) or '-2'})"
+        spot = "named_struct('n', a.n, 'rule', r, 's', a.s, 'last', a.last, 'i', m.i, 'line', m.line, 'top', CASE WHEN {closes} THEN get(a.open, size(a.open) - 1) END)".format(closes=inside(self.closes))
+        open_ = f"CASE WHEN {inside(self.opens)} THEN array_append(a.open, a.n) WHEN {inside(self.closes)} AND size(a.open) > 0 THEN slice(a.open, 1, size(a.open) - 1) ELSE a.open END"
+        last = "CASE WHEN r < 0 THEN a.last ELSE transform(a.last, (v, j) -> CASE WHEN j = r THEN a.n ELSE v END) END"
+        moved = f"named_struct('s', CASE WHEN r < 0 THEN a.s ELSE element_at({leads}, r * {n} + a.s + 1) END, 'n', a.n + 1, 'last', {last}, 'open', {open_}, 'out', array_append(a.out, {spot}))"
+        step = bound("r", f"coalesce(get(filter(m.may, r -> element_at({meets}, r * {n} + a.s + 1)), 0), -1)", moved)
+        empty = f"cast(array() AS array<{_SPOT}>)"
+        begin = "named_struct('s', {s}, 'n', {n}, 'last', {last}, 'open', {open}, 'out', {out})"
+        first = begin.format(s=0, n=0, last=f"array_repeat(-1, {k})", open="cast(array() AS array<int>)", out=f"cast(array() AS array<array<{_SPOT}>>)")
+        part = f"aggregate(slice(_marked, c * {FOLDED} + 1, {FOLDED}), {begin.format(s='b.s', n='b.n', last='b.last', open='b.open', out=empty)}, (a, m) -> {step})"
+        whole = f"aggregate(sequence(0, (size(_marked) - 1) DIV {FOLDED}), {first}, (b, c) -> {bound('p', part, begin.format(s='p.s', n='p.n', last='p.last', open='p.open', out='array_append(b.out, p.out)'))}, b -> flatten(b.out))"
+        groups = "CASE o.rule " + " ".join(f"WHEN {i} THEN {self._groups(r)}" for i, r in enumerate(self.tried)) + " ELSE cast(array() AS array<string>) END"
+        values = f"array({', '.join(f'coalesce({v}, {chr(39) * 2})' for v in self.values)})" if self.values else "cast(array() AS array<string>)"
+        hit = f"named_struct('rule', o.rule, 'line_no', o.i, 'line_end', o.i, 'line', o.line, 'g', {groups}, 'carry', '', 'carry_no', cast(NULL AS int), 'v', {values})"
+        hits = f"transform(filter(_spots, o -> o.rule >= 0 AND element_at({gives}, o.rule * {n} + o.s + 1)), o -> {hit})"
+        if self.closes:
+            pairs = "array_sort(transform(filter(_spots, y -> y.top IS NOT NULL), y -> named_struct('n', y.top, 'by', y.n)))"
+            hits = bound("_pairs", pairs, bound("_powers", f"filter(array({', '.join(str(1 << b) for b in range(30, -1, -1))}), b -> b <= size(_pairs))", hits))
+        return bound("_lines", lines, bound("_marked", marked, f"CASE WHEN size(_marked) = 0 THEN NULL ELSE {bound('_spots', whole, hits)} END"))
+
+    @staticmethod
+    def _groups(rule: Rule) -> str:
+        groups = re.compile(rule.pattern).groups
+        return f"split(regexp_replace(o.line, {quoted(f'(?s)^.*?(?:{rule.pattern}).*$')}, {quoted(SEP.join(f'${k + 1}' for k in range(groups)))}), {quoted(SEP)}, -1)"
+
+
+_SPOT = "struct<n:int,rule:int,s:int,last:array<int>,i:int,line:string,top:int>"
+
+
+def told(pattern: str, rule: int, group: int = 1, since: int | None = None, o: str = "o") -> str:
+    """SQL for a group of the last line that `rule` met before `o`; with `since`, only behind the last line of that rule."""
+    value = f"regexp_extract(get(_spots, get({o}.last, {rule})).line, {quoted(pattern)}, {group})"
+    return value if since is None else f"CASE WHEN get({o}.last, {rule}) > get({o}.last, {since}) THEN {value} END"
+
+
+def between(patterns: dict, since: int, o: str = "o") -> str:
+    """SQL for an array of texts, in order: of each line between the last one of rule `since` and `o` that met a rule of `patterns`, which gives SQL over `y.line`."""
+    lines = f"slice(_spots, get({o}.last, {since}) + 2, {o}.n - get({o}.last, {since}) - 1)"
+    return f"transform(filter({lines}, y -> y.rule IN ({', '.join(map(str, patterns))})), y -> CASE y.rule " + " ".join(f"WHEN {r} THEN {sql}" for r, sql in patterns.items()) + " END)"
+
+
+def closed_by(body: str) -> str:
+    """SQL for `body` over `q`, the line that closed `o`; null where none did. Pairs are in order, so they are found by halving."""
+    at = "aggregate(_powers, 0, (at, b) -> CASE WHEN at + b <= size(_pairs) AND get(_pairs, at + b - 1).n <= o.n THEN at + b ELSE at END)"
+    found = bound("w", f"get(_pairs, {at} - 1)", "CASE WHEN w.n = o.n THEN get(_spots, w.by) END")
+    return bound("q", found, f"CASE WHEN q IS NOT NULL THEN {body} END")
+
+
 @dataclass
 class Json(Format):
     """schema: DDL of the document (or of one line's). rows: SQL over `j` giving the hits; per line: `keep` over x.j."""

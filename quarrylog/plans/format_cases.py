@@ -314,4 +314,61 @@ TESTS_AND_TRACES = {
     ),
 }
 
-FAMILIES = {"q52_json_linters": JSON_LINTERS, "q53_text_linters": TEXT_LINTERS, "q54_cloud_and_app_logs": CLOUD_AND_APP_LOGS, "q55_system_logs": SYSTEM_LOGS, "q56_tests_and_traces": TESTS_AND_TRACES}
+def _of(tool: str, *events: tuple) -> list:
+    """Events: (kind, category, status, severity, code, file, line, column, message, test)."""
+    return [(e[0], tool, *e[1:]) for e in events]
+
+
+STATE_MACHINES = {
+    "rspec_text": (
+        "User\n  validations\n    is valid @k@\n    needs a name (FAILED - 1)\n    waits (PENDING: later)\n  #save\n    keeps @n@ (FAILED - 2)\n\nFailures:\n\n  1) User validations needs a name\n     Failure/Error: expect(user).to be_valid\n\n       expected true\n            got: nil @k@\n     # ./spec/a@k@_spec.rb:@n@:in `block'\n\n"
+        "  2) User #save keeps\n     Failure/Error: save\n     # ./spec/b_spec.rb:7:in `block'\n\nFinished in 2.5 seconds\n3 examples, 2 failures, 1 pending\n\nFailed examples:\n\nrspec ./spec/a_spec.rb:@k@ # User validations needs a name\n",
+        _of("RSpec", ("test_result", "test_success", "PASS", "info", "", "", None, None, "Test passed: is valid @k@", "is valid @k@"), ("test_result", "test_failure", "FAIL", "error", "", "./spec/b_spec.rb", 7, None, "save", "needs a name"),
+            ("test_result", "test_pending", "SKIP", "warning", "", "", None, None, "Test pending: waits", "waits"), ("test_result", "test_failure", "FAIL", "error", "", "./spec/a@k@_spec.rb", "@n@", None, "expect(user).to be_valid | Expected: true | Got: nil @k@", "keeps @n@"),
+            ("test_result", "test_failure", "FAIL", "error", "", "./spec/a_spec.rb", "@k@", None, "Test failed: User validations needs a name", "User validations needs a name")),
+    ),
+    "mocha_chai_text": (
+        "  User Model\n    #create\n      ✓ makes @k@ (45ms)\n      1) sets time\n\n  1 passing (1.8s)\n  2 pending\n  1 failing\n\n  1) User Model\n       #create\n         sets time:\n     TypeError: no @n@\n      at Context.<anonymous> (test/a@k@.js:@n@:41)\n",
+        _of("mocha", ("test_result", "mocha_chai_text", "PASS", "info", "", "", 0, 0, "Test passed: makes @k@ ", "User Model #create makes @k@ "), ("summary", "mocha_chai_text", "INFO", "info", "", "", 0, 0, "Test execution completed with 1 passing tests", ""),
+            ("summary", "mocha_chai_text", "WARNING", "warning", "", "", 0, 0, "Test execution completed with 2 pending tests", ""), ("summary", "mocha_chai_text", "FAIL", "error", "", "", 0, 0, "Test execution completed with 1 failing tests", ""),
+            ("test_result", "mocha_chai_text", "FAIL", "error", "", "", 0, 0, "sets time failed", "sets time"), ("test_result", "mocha_chai_text", "FAIL", "error", "", "test/a@k@.js", "@n@", 41, "TypeError: no @n@", "User Model sets time")),
+    ),
+    "valgrind": (
+        "==@k@== Memcheck, a memory error detector\n==@k@== Invalid read of size @n@\n==@k@==    at 0x1092: process_item (proc@k@.cpp:45)\n==@k@==    by 0x1095: main (main.cpp:78)\n==@k@==  Address 0x4a is 0 bytes after\n==@k@==    at 0x48: malloc (m.c:381)\n==@k@== @n@ bytes in 4 blocks are definitely lost in loss record 1 of 3\n==@k@==    at 0x4A: operator new\n"
+        "==@k@==     in use at exit: 1,234 bytes in @n@ blocks\n==@k@==      possibly lost: 466 bytes in 8 blocks\n==@k@== Process terminating with default action of signal 11 (SIGSEGV)\n==@k@== ERROR SUMMARY: 5 errors from 5 contexts (suppressed: 0 from 0)",
+        _of("Memcheck", ("memory_error", "Invalid read", "FAIL", "error", "", "proc@k@.cpp", 45, None, "Invalid read of size @n@", ""), ("memory_error", "Memory leak", "FAIL", "error", "", "", None, None, "@n@ bytes in 4 blocks are definitely lost", ""),
+            ("summary", "heap_summary", "INFO", "info", "", "", None, None, "In use at exit: 1,234 bytes in @n@ blocks", ""), ("summary", "leak_summary", "WARNING", "warning", "", "", None, None, "Possibly lost: 466 bytes in 8 blocks", ""),
+            ("memory_error", "process_termination", "FAIL", "error", "", "", None, None, "Process terminating with signal 11 (SIGSEGV)", ""), ("summary", "error_summary", "FAIL", "error", "", "", None, None, "Error summary: 5 errors from 5 contexts", "")),
+    ),
+    "nunit_xunit_text": (
+        "NUnit 3.@n@.3\nTest Count: 10, Passed: 8, Failed: 1, Warnings: 0, Inconclusive: 0, Skipped: 1\nOverall result: Failed\nSource: C:/a@k@.cs:line 12\nSource: C:/late.cs:line 13\nDuration: 2.5 seconds\n  My.Tests.One@k@ [PASS]\n  My.Tests.Two [FAIL]\n   at My.Tests.Two() in /src/b@k@.cs:line @n@\nTotal tests: @k@",
+        _of("nunit", ("debug_info", "nunit_xunit_text", "INFO", "info", "", "", 0, 0, "NUnit version 3.@n@.3", ""), ("summary", "nunit_xunit_text", "FAIL", "error", "", "", 0, 0, "Test summary: 10 total, 8 passed, 1 failed, 1 skipped", ""),
+            ("test_result", "nunit_xunit_text", "FAIL", "error", "", "C:/a@k@.cs", 12, 0, "Overall test result: Failed", ""), ("performance_metric", "nunit_xunit_text", "INFO", "info", "", "", 0, 0, "Test execution time: 2.5 seconds", ""))
+        + _of("xunit", ("test_result", "nunit_xunit_text", "PASS", "info", "", "", 0, 0, "Test passed: My.Tests.One@k@ ", "My.Tests.One@k@ "), ("test_result", "nunit_xunit_text", "FAIL", "error", "", "/src/b@k@.cs", "@n@", 0, "Test failed: My.Tests.Two ", "My.Tests.Two "), ("summary", "nunit_xunit_text", "INFO", "info", "", "", 0, 0, "Total tests: @k@", "")),
+    ),
+    "pytest_cov_text": (
+        "===== test session starts =====\nplatform linux -- Python 3.11.0, pytest-7.4, pluggy-1.0\ncollected @k@ items\ntests/test_a@k@.py::test_one PASSED [ 50%]\n===== FAILURES =====\nE       AssertionError: not @n@\n===== short test summary info =====\n----------- coverage: platform linux, python 3.11.0 -----------\nName      Stmts   Miss  Cover\nsrc/a@k@.py     50     10    80%   3-4\nTOTAL       100     40    60%\n"
+        "Required test coverage of 90% not met. Total coverage: 60%\nE       AssertionError: outside\nCoverage XML written to c@n@.xml",
+        _of("pytest-cov", ("summary", "test_session", "INFO", "info", "", "", None, None, "Test session started", ""), ("summary", "environment", "INFO", "info", "", "", None, None, "Platform: linux, Python: 3.11.0, pytest: 7.4", ""), ("summary", "test_collection", "INFO", "info", "", "", None, None, "Collected @k@ test items", ""),
+            ("test_result", "test_execution", "PASS", "info", "", "tests/test_a@k@.py", None, None, "Test test_one PASSED", ""), ("test_result", "assertion_error", "FAIL", "error", "", "", None, None, "AssertionError: not @n@", ""), ("summary", "coverage_section", "INFO", "info", "", "", None, None, "Coverage analysis started - Platform: linux, Python: 3.11.0", ""),
+            ("performance_metric", "file_coverage", "WARNING", "warning", "", "src/a@k@.py", None, None, "Coverage: 80% (50 statements, 10 missed) - Missing lines: 3-4", ""), ("performance_metric", "file_coverage", "FAIL", "error", "", "TOTAL", None, None, "Coverage: 60% (100 statements, 40 missed)", ""),
+            ("lint_issue", "coverage_threshold", "FAIL", "error", "", "", None, None, "Required coverage not met: Expected 90%, got 60%", ""), ("summary", "report_generation", "INFO", "info", "", "", None, None, "Coverage XML report written to: c@n@.xml", "")),
+    ),
+    "autopep8_text": (
+        "autopep8 --diff --aggressive src/\nApplied configuration:\n  max_line: @n@\n\n  other: 3\n--- original/m@k@.py\n+++ fixed/m@k@.py\nERROR: bad.py:@k@:5: E999 SyntaxError: invalid\nINFO: c.py: already formatted correctly\nfixed m@k@.py\nFiles processed: @n@",
+        _of("autopep8", ("summary", "configuration", "INFO", "info", "", "", None, None, "Command: autopep8 --diff --aggressive src/", ""), ("summary", "configuration", "INFO", "info", "", "", None, None, "Configuration applied", ""), ("summary", "configuration", "INFO", "info", "", "", None, None, "max_line: @n@", ""),
+            ("lint_issue", "formatting", "INFO", "info", "", "m@k@.py", None, None, "File formatting changes detected", ""), ("lint_issue", "syntax", "ERROR", "error", "E999", "bad.py", "@k@", 5, "SyntaxError: invalid", ""), ("summary", "formatting", "INFO", "info", "", "c.py", None, None, "already formatted correctly", ""),
+            ("summary", "formatting", "INFO", "info", "", "m@k@.py", None, None, "File formatting applied", ""), ("summary", "summary", "INFO", "info", "", "", None, None, "Files processed: @n@", "")),
+    ),
+    "yapf_text": (
+        "--- a/m@k@.py (original)\n+++ b/m@k@.py (reformatted)\nReformatted src/u.py\nyapf: error: no such file @n@\nLine length: 100\n@n@ files reformatted, @k@ files left unchanged.\nWARNING: w.py: cannot determine encoding",
+        _of("yapf", ("lint_issue", "formatting", "INFO", "info", "", "m@k@.py", None, None, "File formatting changes detected", ""), ("summary", "formatting", "INFO", "info", "", "src/u.py", None, None, "File reformatted", ""), ("lint_issue", "command_error", "ERROR", "error", "", "", None, None, "no such file @n@", ""),
+            ("summary", "configuration", "INFO", "info", "", "", None, None, "Line length: 100", ""), ("summary", "summary", "INFO", "info", "", "", None, None, "Files reformatted: @n@", ""), ("summary", "summary", "INFO", "info", "", "", None, None, "Files left unchanged: @k@", ""), ("lint_issue", "encoding", "WARNING", "warning", "", "w.py", None, None, "Cannot determine encoding", "")),
+    ),
+    "make_error": (
+        "a.c:1:2: error: other tool\ngmake[3]: *** [build.make:121: x@k@.o] Error 1\nmake[1]: Entering directory '/b@n@'\nmake: *** [Makefile:@n@: all@k@] Error 2\nmake: *** No rule to make target",
+        _of("make", ("build_error", "build_failure", "ERROR", "error", "", "build.make", None, None, "gmake[3]: *** [build.make:121: x@k@.o] Error 1", "x@k@.o"), ("debug_info", "build_context", "INFO", "info", "", "/b@n@", None, None, "make[1]: Entering directory '/b@n@'", ""), ("build_error", "build_failure", "ERROR", "error", "", "Makefile", None, None, "make: *** [Makefile:@n@: all@k@] Error 2", "all@k@")),
+    ),
+}
+
+FAMILIES = {"q52_json_linters": JSON_LINTERS, "q53_text_linters": TEXT_LINTERS, "q54_cloud_and_app_logs": CLOUD_AND_APP_LOGS, "q55_system_logs": SYSTEM_LOGS, "q56_tests_and_traces": TESTS_AND_TRACES, "q60_state_machines": STATE_MACHINES}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from .parsers import json_tools, line_tools, log_tools
+from .parsers import json_tools, line_tools, log_tools, machines
 from .parsers.formats import COMMANDS, FORMATS
 from .parsers.spec import Format
 
@@ -12,7 +12,7 @@ from .parsers.spec import Format
 MORE = {"winston": ("winston_text",), "serilog": ("serilog_text",)}
 #: Of these, all parsers' events count, by line.
 MERGED = ("winston", "serilog")
-_SPECS: dict[str, Format] = {**json_tools.LINTERS, **json_tools.TESTS, **json_tools.LOGS, **line_tools.LINES, **log_tools.LOGS}
+_SPECS: dict[str, Format] = {**json_tools.LINTERS, **json_tools.TESTS, **json_tools.LOGS, **line_tools.LINES, **machines.MACHINES, **log_tools.LOGS}
 #: Names that win over registered aliases where the two disagree.
 FIRST_ALIASES = {"gotest": "gotest_json", "bandit": "bandit_text", "eslint": "eslint_json", "pytest": "pytest_text", "make": "make_error", "rust": "cargo_build", "coverage": "coverage_text"}
 #: Further names of formats.
