@@ -218,16 +218,16 @@ class Lines(Format):
 
 
 #: Lines that one running fold takes; the array it fills is copied as it grows, so long texts are folded in two levels.
-FOLDED = 256
+FOLDED = 1024
 
 
 @dataclass
 class Machine(Lines):
     """An automaton over a text's lines: a table says in which states a rule meets and where it leads.
 
-    Each line's patterns are tested once; the fold then only walks over lines that any rule may meet, with the state, and
-    for each rule the last such line (`last`), so that an event can tell what stood before it. Rules in `opens` put their event on a
-    stack and rules in `closes` take the topmost one off: what closes an event can be looked up from it.
+    Each line's patterns are tested once; the fold then only walks over lines that any rule may meet and holds the state. An
+    event finds the last line of any rule before it (`last`) by halving, so that it can tell what stood before it. Rules in `opens` put
+    their event on a stack and rules in `closes` take the topmost one off: what closes an event can be looked up from it.
     """
 
     #: rule -> {state: next state}: it meets in these states only. Other rules meet in all and change none.
@@ -260,25 +260,30 @@ class Machine(Lines):
         meets = self._table(lambda r, s: str(s in self.moves.get(r, range(n))).lower())
         leads = self._table(lambda r, s: str(self.moves.get(r, {}).get(s, s)))
         gives = self._table(lambda r, s: str(s in self.emits.get(r, range(n))).lower())
-        inside = lambda rules: f"r IN ({', '.join(map(str, rules)) or '-2'})"
-        spot = "named_struct('n', a.n, 'rule', r, 's', a.s, 'last', a.last, 'i', m.i, 'line', m.line, 'top', CASE WHEN {closes} THEN get(a.open, size(a.open) - 1) END)".format(closes=inside(self.closes))
-        open_ = f"CASE WHEN {inside(self.opens)} THEN array_append(a.open, a.n) WHEN {inside(self.closes)} AND size(a.open) > 0 THEN slice(a.open, 1, size(a.open) - 1) ELSE a.open END"
-        last = "CASE WHEN r < 0 THEN a.last ELSE transform(a.last, (v, j) -> CASE WHEN j = r THEN a.n ELSE v END) END"
-        moved = f"named_struct('s', CASE WHEN r < 0 THEN a.s ELSE element_at({leads}, r * {n} + a.s + 1) END, 'n', a.n + 1, 'last', {last}, 'open', {open_}, 'out', array_append(a.out, {spot}))"
-        step = bound("r", f"coalesce(get(filter(m.may, r -> element_at({meets}, r * {n} + a.s + 1)), 0), -1)", moved)
-        empty = f"cast(array() AS array<{_SPOT}>)"
-        begin = "named_struct('s', {s}, 'n', {n}, 'last', {last}, 'open', {open}, 'out', {out})"
-        first = begin.format(s=0, n=0, last=f"array_repeat(-1, {k})", open="cast(array() AS array<int>)", out=f"cast(array() AS array<array<{_SPOT}>>)")
-        part = f"aggregate(slice(_marked, c * {FOLDED} + 1, {FOLDED}), {begin.format(s='b.s', n='b.n', last='b.last', open='b.open', out=empty)}, (a, m) -> {step})"
-        whole = f"aggregate(sequence(0, (size(_marked) - 1) DIV {FOLDED}), {first}, (b, c) -> {bound('p', part, begin.format(s='p.s', n='p.n', last='p.last', open='p.open', out='array_append(b.out, p.out)'))}, b -> flatten(b.out))"
+        # The fold holds small numbers only: Spark may copy what it holds at each line. A line's number is rule * states + state, or -1.
+        code = f"coalesce(get(filter(m.may, r -> element_at({meets}, r * {n} + a.s + 1)), 0) * {n} + a.s, -1)"
+        step = bound("r", code, f"named_struct('s', CASE WHEN r < 0 THEN a.s ELSE element_at({leads}, r + 1) END, 'out', array_append(a.out, r))")
+        codes = _in_parts("_marked", "'s', 0", "'s', b.s", "'s', p.s", "int", step)
+        spots = f"transform(_marked, (m, j) -> named_struct('n', j, 'rule', CASE WHEN get(_codes, j) < 0 THEN -1 ELSE cast(get(_codes, j) DIV {n} AS int) END, 's', pmod(get(_codes, j), {n}), 'i', m.i, 'line', m.line))"
         groups = "CASE o.rule " + " ".join(f"WHEN {i} THEN {self._groups(r)}" for i, r in enumerate(self.tried)) + " ELSE cast(array() AS array<string>) END"
         values = f"array({', '.join(f'coalesce({v}, {chr(39) * 2})' for v in self.values)})" if self.values else "cast(array() AS array<string>)"
+        asked = sorted({int(x) for x in re.findall(r"get\(\w+\.last, (\d+)\)", values)})
+        before = lambda o: "array(" + ", ".join(f"coalesce(get(_at{r}, {halved(f'_at{r}', f'{o}.n - 1')} - 1), -1)" if r in asked else "-1" for r in range(k)) + ")"
+        placed = lambda o: f"named_struct('n', {o}.n, 'rule', {o}.rule, 's', {o}.s, 'i', {o}.i, 'line', {o}.line, 'last', {before(o)})"
+        values = values.replace(_PLACED, placed("w"))
         hit = f"named_struct('rule', o.rule, 'line_no', o.i, 'line_end', o.i, 'line', o.line, 'g', {groups}, 'carry', '', 'carry_no', cast(NULL AS int), 'v', {values})"
-        hits = f"transform(filter(_spots, o -> o.rule >= 0 AND element_at({gives}, o.rule * {n} + o.s + 1)), o -> {hit})"
+        hits = f"transform(filter(_spots, x -> x.rule >= 0 AND element_at({gives}, x.rule * {n} + x.s + 1)), x -> {bound('o', placed('x'), hit)})"
         if self.closes:
-            pairs = "array_sort(transform(filter(_spots, y -> y.top IS NOT NULL), y -> named_struct('n', y.top, 'by', y.n)))"
-            hits = bound("_pairs", pairs, bound("_powers", f"filter(array({', '.join(str(1 << b) for b in range(30, -1, -1))}), b -> b <= size(_pairs))", hits))
-        return bound("_lines", lines, bound("_marked", marked, f"CASE WHEN size(_marked) = 0 THEN NULL ELSE {bound('_spots', whole, hits)} END"))
+            inside = lambda rules: f"({', '.join(map(str, rules))})"
+            some = f"filter(_spots, x -> x.rule IN {inside((*self.opens, *self.closes))})"
+            opened = f"named_struct('open', CASE WHEN m.rule IN {inside(self.opens)} THEN array_append(a.open, m.n) WHEN size(a.open) > 0 THEN slice(a.open, 1, size(a.open) - 1) ELSE a.open END, "
+            pair = f"'out', CASE WHEN m.rule IN {inside(self.closes)} AND size(a.open) > 0 THEN array_append(a.out, named_struct('n', get(a.open, size(a.open) - 1), 'by', m.n)) ELSE a.out END)"
+            pairs = _in_parts("_some", "'open', cast(array() AS array<int>)", "'open', b.open", "'open', p.open", "struct<n:int,by:int>", opened + pair)
+            hits = bound("_pairs", bound("_some", some, f"array_sort({pairs})"), bound("_paired", "transform(_pairs, y -> y.n)", hits))
+        for r in asked:
+            hits = bound(f"_at{r}", f"transform(filter(_spots, y -> y.rule = {r}), y -> y.n)", hits)
+        hits = bound("_powers", f"filter(array({', '.join(str(1 << b) for b in range(30, -1, -1))}), b -> b <= size(_marked))", hits)
+        return bound("_lines", lines, bound("_marked", marked, f"CASE WHEN size(_marked) = 0 THEN NULL ELSE {bound('_codes', codes, bound('_spots', spots, hits))} END"))
 
     @staticmethod
     def _groups(rule: Rule) -> str:
@@ -286,7 +291,21 @@ class Machine(Lines):
         return f"split(regexp_replace(o.line, {quoted(f'(?s)^.*?(?:{rule.pattern}).*$')}, {quoted(SEP.join(f'${k + 1}' for k in range(groups)))}), {quoted(SEP)}, -1)"
 
 
-_SPOT = "struct<n:int,rule:int,s:int,last:array<int>,i:int,line:string,top:int>"
+#: Stands in `values` for a line of the fold with what stood before it.
+_PLACED = "<placed>"
+
+
+def halved(numbers: str, most: str) -> str:
+    """SQL for how many of an array of rising numbers are at most `most`, by halving."""
+    return f"aggregate(_powers, 0, (at, b) -> CASE WHEN at + b <= size({numbers}) AND get({numbers}, at + b - 1) <= {most} THEN at + b ELSE at END)"
+
+
+def _in_parts(array: str, first: str, going: str, gone: str, kind: str, step: str) -> str:
+    """SQL for what a fold over `array` puts out, in two levels; `step` is over what is held, `a`, and an element, `m`."""
+    empty = f"cast(array() AS array<{kind}>)"
+    part = f"aggregate(slice({array}, c * {FOLDED} + 1, {FOLDED}), named_struct({going}, 'out', {empty}), (a, m) -> {step})"
+    outer = bound("p", part, f"named_struct({gone}, 'out', array_append(b.out, p.out))")
+    return f"CASE WHEN size({array}) > 0 THEN aggregate(sequence(0, (size({array}) - 1) DIV {FOLDED}), named_struct({first}, 'out', cast(array() AS array<array<{kind}>>)), (b, c) -> {outer}, b -> flatten(b.out)) ELSE {empty} END"
 
 
 def told(pattern: str, rule: int, group: int = 1, since: int | None = None, o: str = "o") -> str:
@@ -302,10 +321,10 @@ def between(patterns: dict, since: int, o: str = "o") -> str:
 
 
 def closed_by(body: str) -> str:
-    """SQL for `body` over `q`, the line that closed `o`; null where none did. Pairs are in order, so they are found by halving."""
-    at = "aggregate(_powers, 0, (at, b) -> CASE WHEN at + b <= size(_pairs) AND get(_pairs, at + b - 1).n <= o.n THEN at + b ELSE at END)"
-    found = bound("w", f"get(_pairs, {at} - 1)", "CASE WHEN w.n = o.n THEN get(_spots, w.by) END")
-    return bound("q", found, f"CASE WHEN q IS NOT NULL THEN {body} END")
+    """SQL for `body` over `q`, the line that closed `o`; null where none did."""
+    pair = f"get(_pairs, {halved('_paired', 'o.n')} - 1)"
+    closer = bound("w", f"get(transform(array({pair}), z -> CASE WHEN z.n = o.n THEN get(_spots, z.by) END), 0)", f"CASE WHEN w IS NOT NULL THEN {bound('q', _PLACED, body)} END")
+    return closer
 
 
 @dataclass
