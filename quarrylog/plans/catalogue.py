@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sql as sql_functions
 from ..functions.badges import count_badge, status_badge
-from ..operators import catalog, custom, patterns, post, workflow
+from ..operators import catalog, custom, jobs, patterns, post, workflow
 from ..operators.detect import detect_format
 from ..operators.parse import parse_log
 from . import analytics, format_cases
@@ -457,6 +457,19 @@ for _name, _cases in format_cases.FAMILIES.items():
     QUERIES[_name], SQL[_name] = format_cases.family(_name, _cases)
 
 
+@query("""SELECT hierarchy_level, tool_name, status, unit, unit_status, structured_data, parent, scope, count(*) AS n FROM (
+SELECT 4 AS hierarchy_level, 'compiler' AS tool_name, CASE o_orderstatus WHEN 'F' THEN 'ERROR' ELSE 'WARNING' END AS status, 'Run gcc -c p' || (o_custkey % 10) || '.c' AS unit, CASE o_orderstatus WHEN 'F' THEN 'failure' ELSE 'warning' END AS unit_status,
+ 'gcc_text' AS structured_data, 'step' AS parent, 'gcc -c p' || (o_custkey % 10) || '.c' AS scope FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 3, 'github_actions', 'ERROR', 'Job Level', 'failure', '', 'job', 'gcc -c p' || (o_custkey % 10) || '.c' FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 1, 'github_actions', 'INFO', NULL, NULL, '', 'workflow', NULL FROM orders WHERE o_orderstatus = 'P') GROUP BY ALL""")
+def q61_workflow_jobs(spark, sf):
+    stamp = "2024-01-01T00:00:00.0000000Z "
+    text = f"""CASE WHEN o_orderstatus = 'P' THEN concat('nothing of ', o_custkey) ELSE concat('{stamp}##[group]Run gcc -c p', o_custkey % 10, '.c\\n{stamp}p.c:3:4: ', CASE o_orderstatus WHEN 'F' THEN 'error' ELSE 'warning' END, ': bad\\n{stamp}##[endgroup]\\n',
+CASE o_orderstatus WHEN 'F' THEN '{stamp}##[error]Process completed with exit code 1.\\n' ELSE '' END) END"""
+    events = jobs.parse_jobs(table(spark, sf, "orders").select(F.expr(text).alias("content")), "content")
+    return events.groupBy("hierarchy_level", "tool_name", "status", "unit", "unit_status", "structured_data", F.substring_index("parent_id", "_", 1).alias("parent"), "scope").agg(F.count(l(1)).alias("n"))
+
+
 SQL_FORMATS = ("gcc_text", "logfmt", "jsonl")
 
 
