@@ -86,8 +86,8 @@ MOCHA = Machine(
         Rule(SUITE, {}),
         Rule(NESTED, {}),
         Rule(THROWN, {}),
-        Rule(r"^\s*at\s+Context\.<anonymous>\s+\((.+):(\d+):(\d+)\)$", {**FAIL, "ref_file": 1, "ref_line": 2, "ref_column": 3, "structured_data": "={}", **_UNLINED, "test_name": _full("{v8}"), "function_name": "{v6}", "message": "{v9}"}),
-        Rule(r"at\s+\S.*\s\((.+):(\d+):(\d+)\)", {}),
+        Rule(rf"^\s*at Context\.<anonymous> {STACKED}$", {**FAIL, "ref_file": 1, "ref_line": 2, "ref_column": 3, "structured_data": "={}", **_UNLINED, "test_name": _full("{v8}"), "function_name": "{v6}", "message": "{v9}"}),
+        Rule(rf"\bat \S.* {STACKED}", {}),
         Rule(NUMBERED, {**_FAILURE, "message": "coalesce(nullif({v1}, ''), concat({v0}, ' failed'))", "log_line_end": "x.line_no - 1"}),
         Rule(FURTHER, {}),
         Rule(r"^\s*(\d+)\s+passing\s*\(([\d.]+s?)\)$", _counted(INFO, "passing", ", \"total_time\": \"', {2}, '\"")),
@@ -98,7 +98,7 @@ MOCHA = Machine(
 )
 
 # --- Valgrind. State 1: behind an error's head, whose first stack line makes the event.
-_P = r"==\d+== "
+_P, _N, _ADDRESS = r"==\d+== ", r"([\d,]+)", r"0x[\dA-Fa-f]+"
 TOOL = _P + r"(Memcheck|Helgrind|Cachegrind|Massif|DRD), "
 HEAD = _P + r"(Invalid (?:read|write) of size \d+|(?:Invalid|Mismatched) free\(\) / delete / delete\[\]|Use of uninitialised value of size \d+|\d+ bytes in \d+ blocks are (?:definitely|possibly) lost(?= in loss record \d+ of \d+)|Possible data race during .+ of size \d+ at 0x[\dA-Fa-f]+ by thread #\d+|Lock order violation: .+)"
 _KIND = (
@@ -118,14 +118,14 @@ VALGRIND = Machine(
     rules=(
         Rule(TOOL, {}),
         Rule(HEAD, {}),
-        Rule(r"==\d+==    at 0x[\dA-Fa-f]+: (.+) \((.+):(\d+)\)", {**_BLOCK, "ref_file": 2, "ref_line": 3}),
-        Rule(r"==\d+==    at 0x[\dA-Fa-f]+: (.+)", _BLOCK),
-        Rule(r"==\d+==     in use at exit: ([\d,]+) bytes in ([\d,]+) blocks", _sum(INFO, "heap_summary", "concat('In use at exit: ', {1}, ' bytes in ', {2}, ' blocks')")),
-        Rule(r"==\d+==   total heap usage: ([\d,]+) allocs, ([\d,]+) frees, ([\d,]+) bytes allocated", _sum(INFO, "heap_summary", "concat('Total heap usage: ', {1}, ' allocs, ', {2}, ' frees, ', {3}, ' bytes allocated')")),
-        Rule(r"==\d+==    definitely lost: ([\d,]+) bytes in ([\d,]+) blocks", _sum(FAIL, "leak_summary", "concat('Definitely lost: ', {1}, ' bytes in ', {2}, ' blocks')")),
-        Rule(r"==\d+==      possibly lost: ([\d,]+) bytes in ([\d,]+) blocks", _sum(WARNING, "leak_summary", "concat('Possibly lost: ', {1}, ' bytes in ', {2}, ' blocks')")),
-        Rule(r"==\d+== Process terminating with default action of signal (\d+) \((.+)\)", {**FAIL, "category": "=process_termination", **_UNLINED, "message": "concat('Process terminating with signal ', {1}, ' (', {2}, ')')"}),
-        Rule(r"==\d+== ERROR SUMMARY: (\d+) errors from (\d+) contexts", {**_sum({}, "error_summary", "concat('Error summary: ', {1}, ' errors from ', {2}, ' contexts')"), "status": "CASE WHEN cast({1} AS bigint) > 0 THEN 'FAIL' ELSE 'PASS' END", "severity": "CASE WHEN cast({1} AS bigint) > 0 THEN 'error' ELSE 'info' END"}),
+        Rule(_P + rf" +at {_ADDRESS}: (\S.*) \((\S.*):(\d+)\)", {**_BLOCK, "ref_file": 2, "ref_line": 3}),
+        Rule(_P + rf" +at {_ADDRESS}: (\S.*)", _BLOCK),
+        Rule(_P + rf" +in use at exit: {_N} bytes in {_N} blocks", _sum(INFO, "heap_summary", "concat('In use at exit: ', {1}, ' bytes in ', {2}, ' blocks')")),
+        Rule(_P + rf" +total heap usage: {_N} allocs, {_N} frees, {_N} bytes allocated", _sum(INFO, "heap_summary", "concat('Total heap usage: ', {1}, ' allocs, ', {2}, ' frees, ', {3}, ' bytes allocated')")),
+        Rule(_P + rf" +definitely lost: {_N} bytes in {_N} blocks", _sum(FAIL, "leak_summary", "concat('Definitely lost: ', {1}, ' bytes in ', {2}, ' blocks')")),
+        Rule(_P + rf" +possibly lost: {_N} bytes in {_N} blocks", _sum(WARNING, "leak_summary", "concat('Possibly lost: ', {1}, ' bytes in ', {2}, ' blocks')")),
+        Rule(_P + r"Process terminating with default action of signal (\d+) \((.+)\)", {**FAIL, "category": "=process_termination", **_UNLINED, "message": "concat('Process terminating with signal ', {1}, ' (', {2}, ')')"}),
+        Rule(_P + r"ERROR SUMMARY: (\d+) errors from (\d+) contexts", {**_sum({}, "error_summary", "concat('Error summary: ', {1}, ' errors from ', {2}, ' contexts')"), "status": "CASE WHEN cast({1} AS bigint) > 0 THEN 'FAIL' ELSE 'PASS' END", "severity": "CASE WHEN cast({1} AS bigint) > 0 THEN 'error' ELSE 'info' END"}),
     ),
 )
 
