@@ -1,9 +1,9 @@
 """BPE encoding and decoding by distinct-word tables.
 
 Texts are split into words inside each task; a word table (distinct word -> ids, bounded, kept by the
-worker over its tasks) encodes each distinct word once; ids are joined back by position. Decoding
-joins ids with the id -> piece table, whose size is the vocabulary's. Nothing is shuffled: a
-global word table would have to shuffle every word occurrence, some eight times the input.
+worker over its tasks) encodes each distinct word once; ids are joined back by position. Decoding looks
+pieces up by id in an array of the vocabulary's size. Nothing is shuffled: words with document and place,
+shuffled by word, were measured at 3.8 x the input (README), which is more than the budget allows.
 
 Defined results: null text counts as empty; empty text has no ids and decodes to the empty text;
 repeated rows each give a row; other columns are ignored or, in `encode`, kept; very long texts are
