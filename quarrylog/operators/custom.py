@@ -51,6 +51,22 @@ def _word_status(level: str) -> str:
     return f"CASE WHEN lower({level}) IN ({inside(ERROR_WORDS)}) THEN 'ERROR' WHEN lower({level}) IN ({inside(INFO_WORDS)}) THEN 'INFO' ELSE 'WARNING' END"
 
 
+_NO_LINE = {"log_line_start": "NULL", "log_line_end": "NULL"}
+NO_MATCH = Rule("", {**_NO_LINE, "category": "=regexp_summary", "message": "=No matches found for the provided pattern", "status": "=INFO", "severity": "=info"})
+
+
+def regexp_outcomes(pattern: str) -> registry.Entry:
+    """As regexp_format, but a text in which nothing matches gives one event that says so, and a pattern that doesn't compile one error a text."""
+    try:
+        found = regexp_format(pattern)
+        (spec,) = found.specs
+        spec = Lines(spec.tool, spec.type, spec.category, rules=spec.rules, otherwise=NO_MATCH)
+    except ValueError as problem:
+        said = Rule("", {**_NO_LINE, "event_type": "=build_error", "category": "=parse_error", "message": f"=Invalid regex pattern '{pattern}': {problem.__cause__}", "status": "=ERROR", "severity": "=error"})
+        spec = Lines("regexp", "lint_issue", "regexp_match", rules=(Rule("(?!)", {}),), otherwise=said)
+    return registry.Entry("regexp:" + pattern, 0, "custom", "regular expression", (), (), 10_000, (spec,), (), False)
+
+
 def regexp_format(pattern: str, include_unparsed: bool = False) -> registry.Entry:
     """A format whose one rule is the pattern. Raises ValueError for a pattern that doesn't compile."""
     plain, names = named_groups(pattern)

@@ -48,9 +48,9 @@ def entries_of(format) -> list[registry.Entry] | None:
     if format.strip().lower() in ("auto", "unknown", ""):
         return None
     if format.startswith("regexp:"):
-        from .custom import regexp_format
+        from .custom import regexp_outcomes
 
-        return [regexp_format(format[len("regexp:") :])]
+        return [regexp_outcomes(format[len("regexp:") :])]
     return registry.resolve(format)
 
 
@@ -59,7 +59,8 @@ def parse_log(
 ) -> DataFrame:
     """`keep` columns and an event's columns for each event of each text.
 
-    format: auto, a name, an alias, a group, an entry, `regexp:` and a pattern, or a list of names of which the
+    format: auto, a name, an alias, a group, an entry, `regexp:` and a pattern (a text without a match gives one
+    event that says so, a pattern that doesn't compile one error event a text), or a list of names of which the
     first that yields events counts. With `format_column`, each row names its own, and null means auto.
     Null and empty texts have no events. Repeated rows each have theirs. `severity_threshold` keeps events of
     this severity and above. An unknown format raises, with `ignore_errors` it gives no events.
