@@ -131,13 +131,25 @@ def test_licences(spark):
     assert got == {(1, "mit"), (2, "cc-by-nc-4.0"), (4, "mit"), (6, "gpl-3.0")}
 
 
+def test_short_notices_match_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = ["all", "rights", "reserved", "All", "SPDX-License-Identifier:", "MIT", "Apache-2.0", "license", "the", "of", "(c)"]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(12)))) for i in range(300)] + [(900, None), (901, ""), (902, "word " * 20000 + "All rights reserved. " + "word " * 20000), (903, "overall rights reserved"), (None, "All Rights Reserved"), (None, "All Rights Reserved")]
+    short = [(n, t) for n, t in license_scan.TEMPLATES if len(license_scan._words(t)) < license_scan.SHINGLE]
+    expected = sorted((str(d), n, license_scan.TEMPLATES.index((n, t))) for d, text in rows for n, t in short if f" {' '.join(license_scan._words(t))} " in f" {' '.join(license_scan._words(text or ''))} ")
+    found = license_scan.find_licenses(spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, rid int, words int")).collect()
+    assert sorted((str(r.doc_id), r.license, r.template) for r in found) == expected
+    assert len({x[1] for x in expected}) == 3
+
+
 # --- 4: benchmark
 def test_reparameterised_questions(spark):
     q = "If Alice has 12 apples and Bob gives her 30 km of rope then how much does Alice have in total after the trip of 5 days?"
     rows = [(1, q), (2, "Say, " + q.replace("Alice", "Clara").replace("12", "77")), (3, "Say, " + q.replace("Alice", "Clara", 1).replace("does Alice", "does Eve")), (4, None), (5, ""), (1, q)]
     items = spark.createDataFrame([(9, q), (8, "short one here"), (7, None)], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.slots_changed) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect())
-    assert got == [(1, 9, False), (1, 9, False), (2, 9, True)]
+    # Row 3 changes one Alice of two: no substitution, but most windows are the item's word for word.
+    assert got == [(1, 9, False), (1, 9, False), (2, 9, True), (3, 9, False)]
     assert decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items.limit(0)).count() == 0
 
 
@@ -149,6 +161,80 @@ def test_windows_without_slots_count_beside_a_changed_name(spark):
     assert got == [(1, False), (2, False)]
 
 
+def test_verbatim_windows_count_beside_an_inconsistent_slot(spark):
+    places = ("mill", "bridge", "church", "harbour", "market", "orchard")
+    q = "so Alice took " + "".join(f"long walks past the {p} where nobody had seen the {p} keeper with Alice and " for p in places) + "slept"
+    rows = [(1, q), (2, q.replace("Alice", "Alicia", 1)), (3, q.replace("Alice", "Clara"))]
+    items = spark.createDataFrame([(9, q)], "item_id long, text string")
+    got = {r.doc_id: (r.matched, r.n_windows, r.slots_changed) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    n = got[1][1]
+    # The changed name is the second word: two windows hold it.
+    assert got == {1: (n, n, False), 2: (n - 2, n, False), 3: (n, n, True)}
+
+
+def brute_tokens(text):
+    import regex
+
+    out, number = [], None
+    for m in regex.finditer(r"\p{L}+|[0-9]+(?:[.,][0-9]+)*", text):
+        t = m[0]
+        before = text[max(0, m.start() - 2) : m.start()]
+        if t[0].isdigit():
+            kind, number = "0", m.end()
+        elif regex.fullmatch(r"[\p{Ll},;] ", before) and regex.match(r"\p{Lu}\p{Ll}", t):
+            kind = "name"
+        elif number is not None and text[number : m.start()] in ("", " ") and re.fullmatch(decontaminate.UNITS, t.lower()):
+            kind = "unit"
+        else:
+            kind = None
+        out.append((t.lower(), kind or t.lower(), kind is not None))
+    return out
+
+
+def brute_leaks(text, item, width):
+    own, other = brute_tokens(item), brute_tokens(text)
+    w = min(width, len(own))
+    alignments = {}
+    for i in range(len(own) - w + 1):
+        for j in range(len(other) - w + 1):
+            a, b = own[i : i + w], other[j : j + w]
+            same = [x[0] for x in a] == [x[0] for x in b]
+            bare = sum(not x[2] for x in a) < min(decontaminate.LITERALS, w)
+            if w and [x[1] for x in a] == [x[1] for x in b] and (same or not bare):
+                alignments.setdefault(j - i, []).append((i, same, {(x[0], y[0]) for x, y in zip(a, b, strict=True) if x[2]}))
+    places, changed = set(), False
+    for windows in alignments.values():
+        pairs = set().union(*(p for _, _, p in windows))
+        fits = len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+        places |= {i for i, same, _ in windows if fits or same}
+        changed |= fits and any(a != b for a, b in pairs)
+    n = len(own) - w + 1
+    return (len(places), n, changed) if places and (len(places) >= -(-n // 4) or len(places) >= 6) else None
+
+
+def test_decontamination_matches_brute_force(spark):
+    rng = random.Random(11)
+    vocabulary = ["river", "stone", "walks", "gives", "then", "and", "of", "the", "Alice", "Bob", "Clara", "12", "5 km", "7.5 kg", "3", "old"]
+    sentence = lambda n: "so " + " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [sentence(rng.choice([1, 3, 9, 20, 40])) for _ in range(25)]
+    rows = []
+    for i in range(150):
+        item = rng.choice(items)
+        for a, b in (("Alice", "Dora"), ("Bob", "Clara"), ("12", "99"), ("5 km", "8 m"), ("river", "lake")):
+            if rng.random() < 0.3:
+                item = item.replace(a, b, rng.choice([1, -1]))
+        rows.append((i, rng.choice(["", sentence(5) + ", "]) + item + rng.choice(["", " " + sentence(8), " " + rng.choice(items)])))
+    rows += [(200, None), (201, ""), (202, items[0])]
+    expected = {(d, i): x for d, t in rows for i, q in enumerate(items) if (x := brute_leaks(t or "", q, 8))}
+    docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, k1 int, width int")
+    got = {(r.doc_id, r.item_id): (r.matched, r.n_windows, r.slots_changed) for r in decontaminate.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == expected
+    assert any(x[2] for x in expected.values()) and len({x[1] for x in expected.values()}) > 3
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in expected}
+    assert decontaminate.contaminated(docs.limit(0), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).count() == 0
+
+
 def test_tokens_and_slots_keep_step(spark):
     texts = ["In \u0130stanbul, Ay\u015fe ran 5 km and \u0130pek 12", "a\u0001b \u0002 c 3\u0001km", "The Ohm \u2126 and \u212a, Stra\u00dfe 1.5 kg", "", "X, Y, Z", "\u03a3\u0399\u03a3\u03a5\u03a6\u039f\u03a3 12,5 percent"]
     d = spark.createDataFrame([(t,) for t in texts], "text string").select(decontaminate.tokens_of(F.col("text")).alias("raw"), decontaminate.canonical(F.col("text")).alias("slots"))
