@@ -8,6 +8,8 @@ from __future__ import annotations
 import json
 import re
 
+from pyspark.sql import SparkSession
+
 from .. import registry
 from ..parsers.spec import Lines, Rule, level_status
 from ..schema import EVENT_TYPES
@@ -144,6 +146,17 @@ def config_format(text: str) -> registry.Entry:
     return registry.Entry(config["name"].lower(), int(config.get("priority", 50)), config.get("category", "tool_output"), config.get("description", ""), tuple(config.get("aliases", ())), tuple(config.get("groups", ("custom",))), 10_000, (spec,), (), False)
 
 
+def config_file(path: str) -> registry.Entry:
+    """The format that a JSON file describes, for one call: nothing is registered. Raises ValueError where there is none."""
+    from ..sources.files import read_docs
+
+    # One small file of the user's.
+    found = read_docs(SparkSession.active(), path, size_limit=1 << 20).limit(1).collect()
+    if not found:
+        raise ValueError(f"no parser description: {path}")
+    return config_format(found[0]["content"])
+
+
 def load_parser_config(text: str) -> str:
     return registry.register(config_format(text))
 

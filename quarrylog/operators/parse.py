@@ -51,6 +51,10 @@ def entries_of(format) -> list[registry.Entry] | None:
         from .custom import regexp_outcomes
 
         return [regexp_outcomes(format[len("regexp:") :])]
+    if format.startswith("config:") or format.lower().endswith(".json"):
+        from .custom import config_file
+
+        return [config_file(format.removeprefix("config:"))]
     return registry.resolve(format)
 
 
@@ -59,7 +63,8 @@ def parse_log(
 ) -> DataFrame:
     """`keep` columns and an event's columns for each event of each text.
 
-    format: auto, a name, an alias, a group, an entry, `regexp:` and a pattern (a text without a match gives one
+    format: auto, a name, an alias, a group, an entry, `config:` and the path of a parser description (or just its path,
+    which ends in .json), `regexp:` and a pattern (a text without a match gives one
     event that says so, a pattern that doesn't compile one error event a text), or a list of names of which the
     first that yields events counts. With `format_column`, each row names its own, and null means auto.
     Null and empty texts have no events. Repeated rows each have theirs. `severity_threshold` keeps events of

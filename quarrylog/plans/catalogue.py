@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import sql as sql_functions
 from ..functions.badges import count_badge, status_badge
 from ..operators import catalog, custom, jobs, patterns, post, workflow
+from ..operators.containment import contains_join
 from ..operators.detect import detect_format
 from ..operators.parse import parse_log
 from . import analytics, format_cases
@@ -510,6 +511,19 @@ def q59_sql_array_form(spark, sf):
 FROM (SELECT detect_format(content) AS found, log_events(content, format) AS events FROM log_texts) LATERAL VIEW OUTER explode(events) AS e GROUP BY ALL""")
 
 
+_MESSAGES = """concat(event_type, ' at ', user_id, ' ', props)"""
+_PATTERNS = """SELECT DISTINCT CASE c_custkey % 4 WHEN 0 THEN concat('": ', c_custkey % 100, '}') WHEN 1 THEN concat('at ', c_custkey % 50) WHEN 2 THEN concat(c_nationkey, ' ') ELSE 'rr' END AS pattern FROM customer"""
+
+
+@query(f"""SELECT pattern, event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events JOIN ({_PATTERNS}) ON contains({_MESSAGES}, pattern) GROUP BY ALL""")
+def q62_contains_join(spark, sf):
+    messages = table(spark, sf, "events").select("event_id", "event_type", F.expr(_MESSAGES).alias("message"))
+    table(spark, sf, "customer").createOrReplaceTempView("pattern_customers")
+    patterns = spark.sql(_PATTERNS.replace("FROM customer", "FROM pattern_customers"))
+    met = contains_join(messages, patterns, "message", "pattern")
+    return met.groupBy("pattern_row.pattern", "text_row.event_type").agg(F.count(l(1)).alias("n"), F.sum("text_row.event_id").alias("ids"))
+
+
 def queries():
     return dict(QUERIES)
 
