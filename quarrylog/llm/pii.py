@@ -1,19 +1,23 @@
 """Personal data: fixed patterns, widened by bootstrapped contextual extraction.
 
-Seeds (what the fixed patterns find) induce lexical patterns: the token in front of an identifier.
-Patterns and identifiers form a bipartite graph, scored in turn a few times:
+Seeds (what the fixed patterns find, tokens of 6 characters or more) induce lexical patterns: the token in front
+of an identifier. Patterns and instances form a bipartite graph, scored in turn until nothing is new:
 
 * confidence(pattern, kind) = distinct known instances of the kind behind it / distinct tokens of any sort
-  behind it, and at least `min_support` distinct known instances; so copies of texts change nothing;
-* score(instance) = 1 - product over its patterns of (1 - confidence).
+  behind it, and at least `min_support` distinct known instances;
+* score(instance) = 1 - product over its patterns of (1 - confidence), for whatever token follows a pattern;
+* share(instance) = distinct texts in which a pattern of the kind stands before it / distinct texts with it, by
+  the token before, so that an ordinary word that once follows a pattern stays one.
 
-Instances above `min_score` join the known ones for the next round, so that a pattern learnt from
-unseen-shape identifiers discovers others. All of it is DataFrame operations; the graph holds only
-tokens with a digit or @, and is written to the shared folder between rounds.
+Instances that reach `min_score` and `min_share` join the known ones; what stands before them elsewhere may become
+a pattern. Copies of texts change nothing. All of it is DataFrame operations: a pass over the texts gives the
+tokens behind new patterns, another one the places of new instances, and what they leave is written to the shared
+folder. Without new instances, the first is the only one.
 
 Defined results: null text counts as empty; empty text has no spans; equal rows get equal results
-(each stays a row); a null doc_id is kept; other columns are ignored, whatever their names; an empty
-table gives an empty result.
+(each stays a row); a null doc_id is kept; very long texts are read whole, in time linear in their length; a token
+at a text's start has no context, and counts if it is found elsewhere; other columns are ignored, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import indexed, labels_of, let, overlapping, regex_spans, row_key, text_or_empty, written
+from .common import by_keys, indexed, labels_of, let, overlapping, regex_spans, row_key, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 # Possessive forms of the contract's patterns: the same matches, without backtracking or recursion.
@@ -58,7 +62,7 @@ def _placed(kind: str, spans):
 
 
 def _with_hits(index):
-    """left, token, s, e of the tokens seen, and the kind of the first fixed span that each overlaps."""
+    """left, token and kind of the tokens that a fixed span overlaps."""
 
     def trimmed(x):
         s = x["s"] + F.length(F.regexp_extract(x["m"], r"^[^A-Za-z0-9+]*+", 0))
@@ -66,9 +70,9 @@ def _with_hits(index):
 
     def hit(x):
         e = x["s"] + F.length(x["token"])
-        return F.struct(x["left"].alias("left"), x["token"].alias("token"), x["s"].cast("int").alias("s"), e.cast("int").alias("e"), F.get(overlapping(index, x["s"], e), F.lit(0))["kind"].alias("hit"))
+        return F.struct(x["left"].alias("left"), x["token"].alias("token"), F.get(overlapping(index, x["s"], e), F.lit(0))["kind"].alias("kind"))
 
-    return F.transform(F.transform("seen", trimmed), hit)
+    return F.filter(F.transform(F.transform("seen", trimmed), hit), lambda x: x["kind"].isNotNull() & (F.length(x["left"]) > 0) & (F.length(x["token"]) >= 6))
 
 
 def _trimmed(m):
@@ -76,71 +80,118 @@ def _trimmed(m):
     return F.regexp_replace(F.regexp_replace(m, r"^[^A-Za-z0-9+]++", ""), r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
 
 
-def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, min_confidence: float = 0.5, min_score: float = 0.8) -> DataFrame:
-    """doc_id, key, one array of spans (s, e, m) a kind, and `extra`: discovered spans (kind, s, e)."""
-    d = docs.select("doc_id", text_or_empty().alias("text"))
-    base = d.select("doc_id", row_key("doc_id", "text").alias("key"), "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    tokens = regex_spans(F.col("text"), CANDIDATE, around=True)
-    # One pass over the texts leaves the spans and, for the few tokens with a digit or @, their contexts: the
-    # token before, which ends the text between or is a token of the same sort.
-    seen = F.transform(
-        tokens,
-        lambda x: F.struct(
-            x["s"].alias("s"),
-            x["m"].alias("m"),
-            F.lower(F.when(x["gap"].rlike(r"^\s++$"), F.coalesce(x["before"], F.lit(""))).otherwise(F.regexp_extract(x["gap"], r"(?<!\S)(\S++)\s++$", 1))).alias("left"),
-        ),
-    )
-    kept = written(base.select("doc_id", "key", *KINDS, seen.alias("seen")), "pii-spans")
-    rows = (
-        kept.select("key", F.explode(let(indexed(F.array_sort(F.concat(*[_placed(k, F.col(k)) for k in KINDS]))), _with_hits)).alias("x")).select("key", "x.*")
-        .where((F.length("left") > 0) & (F.length("token") >= 6))
-        .distinct()
-    )
-    graph = written(rows, "pii-graph")
-    # Every distinct token behind a context counts against it, copies of a text once; only contexts of seeds are counted.
-    lefts = graph.groupBy("left").agg(F.countDistinct(F.when(F.col("hit").isNotNull(), F.col("token"))).alias("n")).where(F.col("n") >= min_support).select("left")
+EXTRA = "array<struct<kind:string,s:int,e:int>>"
+
+
+def _core(m):
+    """The token's identifier, or the token as it stands where it holds nothing else."""
+    return F.coalesce(F.nullif(_trimmed(m), F.lit("")), m)
+
+
+def _pairs(d: DataFrame, *more) -> DataFrame:
+    """left, m: each token and the one before it, lower-cased ('' at a text's start)."""
     words = F.split("text", r"\s+")
-    uses = (
-        d.select(F.explode(F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.size(words)).alias("b"))).alias("x"))
-        .select(F.lower("x.a").alias("left"), F.col("x.b").alias("m")).where(F.length("m") > 0)
-        .join(written(lefts, "pii-lefts"), "left", "left_semi")
-        .groupBy("left").agg(F.countDistinct(F.coalesce(F.nullif(_trimmed(F.col("m")), F.lit("")), F.col("m"))).alias("uses"))
-    )
-    uses = written(uses, "pii-uses")
-    known = graph.where("hit is not null").select("token", F.col("hit").alias("kind")).distinct()
-    edges = graph.select("left", "token").distinct().join(uses, "left")
-    found = None
-    for i in range(rounds):
+    pair = F.arrays_zip(F.concat(F.array(F.lit("")), words).alias("a"), words.alias("b"))
+    return d.select(*more, F.explode(pair).alias("x")).select(*[c for c in ("h",) if more], F.lower("x.a").alias("left"), F.col("x.b").alias("m")).where(F.length("m") > 0)
+
+
+def _and(before: DataFrame | None, new: DataFrame) -> DataFrame:
+    return new if before is None else before.unionByName(new)
+
+
+def discover(d: DataFrame, seeds: DataFrame, min_support: int, min_confidence: float, min_score: float, min_share: float) -> DataFrame | None:
+    """token, kind of the instances that contexts tell; None without any. seeds: left, token, kind."""
+    known, edges, places, found = seeds, None, None, None
+    while True:
+        lefts = known.groupBy("left").agg(F.countDistinct("token").alias("n")).where(F.col("n") >= min_support).select("left")
+        if edges is not None:
+            lefts = lefts.join(edges.select("left").distinct(), "left", "left_anti")
+        lefts = written(lefts, "pii-lefts")
+        if not lefts.isEmpty():
+            new = by_keys(_pairs(d), lefts, ["left"], "left_semi").select("left", _core(F.col("m")).alias("token")).distinct()
+            edges = _and(edges, written(new, "pii-edges"))
+        if edges is None:
+            return None
+        kinds = known.select("token", "kind").distinct()
         patterns = (
-            edges.join(known, "token")
-            .groupBy("left", "kind", "uses").agg(F.countDistinct("token").alias("known"))
+            edges.join(kinds, "token").groupBy("left", "kind").agg(F.count(F.lit(1)).alias("known"))
+            .join(edges.groupBy("left").agg(F.count(F.lit(1)).alias("uses")), "left")
             .withColumn("confidence", F.least(F.lit(0.999), F.col("known") / F.col("uses")))
             .where((F.col("known") >= min_support) & (F.col("confidence") >= min_confidence))
             .select("left", "kind", "confidence")
         )
-        scored = (
+        patterns = written(patterns, "pii-patterns")
+        candidates = (
             edges.join(patterns, "left")
             .groupBy("token", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
             .where(F.col("score") >= min_score)
             .groupBy("token").agg(F.max(F.struct("score", "kind"))["kind"].alias("kind"))
+            .join(kinds.select("token").distinct(), "token", "left_anti")
         )
-        fresh = written(scored.join(known.select("token").distinct(), "token", "left_anti"), f"pii-found-{i}")
-        known = known.unionByName(fresh)
-        found = fresh if found is None else found.unionByName(fresh)
-    if found is None:
-        return kept.drop("seen").withColumn("extra", F.lit(None).cast("array<struct<kind:string,s:int,e:int>>"))
-    # An instance counts everywhere it occurs behind any token, except where a fixed pattern has it already.
-    extra = (
-        graph.where("hit is null").join(found, "token")
-        .groupBy("key").agg(F.sort_array(F.collect_set(F.struct("kind", "s", "e"))).alias("extra"))
+        candidates = written(candidates, "pii-candidates")
+        unplaced = candidates.select("token")
+        if places is not None:
+            unplaced = unplaced.join(places.select("token").distinct(), "token", "left_anti")
+        if not unplaced.isEmpty():
+            rows = _pairs(d, F.xxhash64("text").alias("h"), "text").select("h", "left", _core(F.col("m")).alias("token"))
+            new = by_keys(rows, unplaced, ["token"], "left_semi").distinct().groupBy("left", "token").agg(F.count(F.lit(1)).alias("n"))
+            places = _and(places, written(new, "pii-places"))
+        if places is None:
+            return found
+        share = F.sum(F.when(F.col("confidence").isNotNull(), F.col("n")).otherwise(0)) / F.sum("n")
+        fresh = (
+            places.join(candidates, "token").join(patterns, ["left", "kind"], "left")
+            .groupBy("token", "kind").agg(share.alias("share")).where(F.col("share") >= min_share).select("token", "kind")
+        )
+        fresh = written(fresh, "pii-found")
+        if fresh.isEmpty():
+            return found
+        found = _and(found, fresh)
+        known = known.unionByName(places.where(F.length("left") > 0).join(fresh, "token").select("left", "token", "kind"))
+
+
+def _spans_of(d: DataFrame, kept: DataFrame, found: DataFrame) -> DataFrame:
+    """key, extra: where the found instances stand, except where a fixed pattern has something already."""
+    held = d.select("key", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("m")).select("key", _core(F.col("m")).alias("token"))
+    keys = written(by_keys(held, found.select("token"), ["token"], "left_semi").select("key").distinct(), "pii-keys")
+    base = F.array_sort(F.concat(*[_placed(k, F.col(k)) for k in KINDS]))
+    rows = by_keys(d, keys, ["key"], "left_semi").select("key", F.explode(regex_spans(F.col("text"), r"\S++")).alias("x")).distinct()
+    s = F.col("x.s") + F.when(_trimmed(F.col("x.m")) != "", F.length(F.regexp_extract("x.m", r"^[^A-Za-z0-9+]*+", 0))).otherwise(0)
+    rows = rows.select("key", _core(F.col("x.m")).alias("token"), s.cast("int").alias("s"))
+    rows = by_keys(rows, found, ["token"], "inner").select("key", F.struct("kind", "s", (F.col("s") + F.length("token")).cast("int").alias("e")).alias("x"))
+    every = rows.groupBy("key").agg(F.sort_array(F.collect_set("x")).alias("every"))
+    fixed = by_keys(kept.select("key", indexed(base).alias("index")), keys, ["key"], "left_semi").groupBy("key").agg(F.first("index").alias("index"))
+    return every.join(fixed, "key").select("key", F.filter("every", lambda x: F.size(overlapping(F.col("index"), x["s"], x["e"])) == 0).alias("extra"))
+
+
+def find_personal_data(docs: DataFrame, min_support: int = 5, min_confidence: float = 0.5, min_score: float = 0.8, min_share: float = 0.5) -> DataFrame:
+    """doc_id, key, one array of spans (s, e, m) a kind, and `extra`: discovered spans (kind, s, e)."""
+    d = docs.select("doc_id", text_or_empty().alias("text")).withColumn("key", row_key("doc_id", "text"))
+    base = d.select("doc_id", "key", "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+    # A seed's context is the token before, which ends the text between or is a token of the same sort.
+    seen = F.transform(
+        regex_spans(F.col("text"), CANDIDATE, around=True),
+        lambda x: F.struct(
+            x["s"].alias("s"),
+            x["m"].alias("m"),
+            F.lower(F.when(x["gap"].rlike(r"^\s++$"), F.coalesce(x["before"], F.lit(""))).otherwise(F.regexp_extract(x["gap"], r"(?<!\S)(\S++)\s++$", 1))).alias("left"),
+        ),
     )
-    return kept.drop("seen").join(extra, "key", "left")
+    held = sum((F.size(k) for k in KINDS), F.lit(0)) > 0
+    index = indexed(F.array_sort(F.concat(*[_placed(k, F.col(k)) for k in KINDS])))
+    kept = base.withColumn("seen", F.when(held, seen)).select("doc_id", "key", *KINDS, F.when(held, let(index, _with_hits)).alias("seeds"))
+    kept = written(kept, "pii-spans")
+    seeds = written(kept.select(F.explode("seeds").alias("x")).select("x.*").distinct(), "pii-seeds")
+    found = discover(d, seeds, min_support, min_confidence, min_score, min_share)
+    kept = kept.drop("seeds")
+    if found is None:
+        return kept.withColumn("extra", F.lit(None).cast(EXTRA))
+    return by_keys(kept, written(_spans_of(d, kept, found), "pii-extra"), ["key"], "left")
 
 
 def op1_personal_data(spark, sf_dir: str) -> DataFrame:
     found = find_personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    own = lambda k: F.filter(F.coalesce("extra", F.expr("cast(array() as array<struct<kind:string,s:int,e:int>>)")), lambda x: x["kind"] == k)
+    own = lambda k: F.filter(F.coalesce("extra", F.expr(f"cast(array() as {EXTRA})")), lambda x: x["kind"] == k)
     every = [
         labels_of(k, F.array_sort(F.concat(F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))), F.transform(own(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))))
         for k in KINDS

@@ -10,7 +10,8 @@ what the fixed patterns find in the sampled documents; ordinary ones are the lon
 documents and WORDS, as they stand, in capitals, joined and numbered. The sample is bounded by `sample_docs`; only the fit uses it.
 
 Defined results: null text counts as empty; empty text has no spans; equal rows get equal results; a null
-doc_id is kept; other columns are ignored or, in `redact`, kept; an empty table gives an empty result.
+doc_id is kept; very long texts are read whole, in time linear in their length; other columns are ignored or, in
+`redact`, kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def fit(docs: DataFrame, sample_docs: int = 2000, random_strings: int = 3000) ->
     plain = plain.union(spark.range(100).select(F.explode(F.split(F.lit(WORDS), " "))))
     low = F.lower("s")
     # Words stand in identifiers in capitals, joined, and with a number behind.
-    plain = plain.select(F.explode(F.array(F.col("s"), F.upper("s"), F.concat(low, F.initcap("s")), F.concat(low, F.length("s") % 10), *[F.concat(low, F.lit(c), low) for c in "/_-"])).alias("s"))
+    plain = plain.select(F.explode(F.array(F.col("s"), F.upper("s"), F.concat(low, F.initcap("s")), F.concat(low, F.length("s") % 10), *[F.concat(x, F.lit(c), x) for x in (low, F.upper("s")) for c in "/_-"], F.concat(F.upper("s"), F.lit("_"), F.length("s") % 10))).alias("s"))
     # At most 2 x SIZE x SIZE counts come to the driver.
     counts = (
         made.union(found).select(F.lit(1).alias("random"), "s").union(plain.select(F.lit(0), "s"))
@@ -150,7 +151,7 @@ def random_parts(m: Column, table: list[float], least: float, least_per_pair: fl
     return F.aggregate(ratios(m, table), start, step, finish)
 
 
-def random_spans(text: Column, table: list[float], least: float = 25.0, least_per_pair: float = 1.2) -> Column:
+def random_spans(text: Column, table: list[float], least: float = 20.0, least_per_pair: float = 1.2) -> Column:
     """The parts of runs with a letter that the random model explains far better."""
     # A shorter run can't reach `least`, whatever its pairs, nor can one whose positive ratios don't.
     shortest = math.ceil(least / MOST) + 1
