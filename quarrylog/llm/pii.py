@@ -10,9 +10,10 @@ of an identifier. Patterns and instances form a bipartite graph, scored in turn
   the token before, so that an ordinary word that once follows a pattern stays one.
 
 Instances that reach `min_score` and `min_share` join the known ones; what stands before them elsewhere may become
-a pattern. Copies of texts change nothing. All of it is DataFrame operations: a pass over the texts gives the
-tokens behind new patterns, another one the places of new instances, and what they leave is written to the shared
-folder. Without new instances, the first is the only one.
+a pattern. Copies of texts change nothing. All of it is DataFrame operations, and what they leave is written to the
+shared folder. A pass over the texts bounds the confidence of new patterns from above: common words, behind which
+far more tokens stand than known instances, leave a few rows each. Another one gives the tokens behind those that
+may reach min_confidence, the third the places of new instances. A pass with nothing to look for is left out.
 
 Defined results: null text counts as empty; empty text has no spans; equal rows get equal results
 (each stays a row); a null doc_id is kept; very long texts are read whole, in time linear in their length; a token
@@ -22,6 +23,8 @@ names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +83,9 @@ def _trimmed(m):
     return F.regexp_replace(F.regexp_replace(m, r"^[^A-Za-z0-9+]++", ""), r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
 
 
+# Single characters instead of ranges: Java looks these up in a table, which takes a sixth of the time.
+PLAIN = string.ascii_letters + string.digits
+SPACE = r" \t\n\x0B\f\r"
 EXTRA = "array<struct<kind:string,s:int,e:int>>"
 
 
@@ -88,31 +94,70 @@ def _core(m):
     return F.coalesce(F.nullif(_trimmed(m), F.lit("")), m)
 
 
-def _pairs(d: DataFrame, *more) -> DataFrame:
-    """left, m: each token and the one before it, lower-cased ('' at a text's start)."""
-    words = F.split("text", r"\s+")
-    pair = F.arrays_zip(F.concat(F.array(F.lit("")), words).alias("a"), words.alias("b"))
-    return d.select(*more, F.explode(pair).alias("x")).select(*[c for c in ("h",) if more], F.lower("x.a").alias("left"), F.col("x.b").alias("m")).where(F.length("m") > 0)
+def _cores(text):
+    """The text with _core of each token in its place: a regex for each token costs several times as much."""
+    begun = F.regexp_replace(text, rf"(?<!\S)[^{PLAIN}+{SPACE}]++(?=[{PLAIN}]|\+\S*[{PLAIN}])", "")
+    return F.regexp_replace(begun, rf"([{PLAIN}])[^{PLAIN}{SPACE}]++(?!\S)", "$1")
+
+
+def _pairs(d: DataFrame, **more) -> DataFrame:
+    """left, token: the identifier of each token and the token before it, lower-cased ('' at a text's start); `more` is computed once a text."""
+    d = d.select("text", *[c.alias(n) for n, c in more.items()])
+    pair = F.arrays_zip(F.concat(F.array(F.lit("")), F.split(F.lower("text"), r"\s+")).alias("a"), F.split(_cores(F.col("text")), r"\s+").alias("b"))
+    return d.select(*more, F.explode(pair).alias("x")).select(*more, F.col("x.a").alias("left"), F.col("x.b").alias("token")).where(F.length("token") > 0)
 
 
 def _and(before: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if before is None else before.unionByName(new)
 
 
-def discover(d: DataFrame, seeds: DataFrame, min_support: int, min_confidence: float, min_score: float, min_share: float) -> DataFrame | None:
-    """token, kind of the instances that contexts tell; None without any. seeds: left, token, kind."""
-    known, edges, places, found = seeds, None, None, None
+def _without(rows: DataFrame, before: DataFrame | None, on: str) -> DataFrame:
+    return rows if before is None else rows.join(before.select(on).distinct(), on, "left_anti")
+
+
+def _bounds(d: DataFrame, lefts: DataFrame) -> DataFrame:
+    """left, token, word, bits: what stands behind lefts (left, n), in about n / 8 + 1 rows for a left and one for each token shaped like a seed.
+
+    The other tokens only set one of 64 * words bits, by their hash. So the bits set and the rows with a token are
+    no more than the distinct tokens behind a left, however many texts there are.
+    """
+    lefts = lefts.select("left", F.ceil(F.col("n") / 8).alias("words"))
+    rows = by_keys(_pairs(d, some=F.col("text").rlike("[0-9@]")), lefts, ["left"], "inner")
+    shaped = F.col("some") & (F.length("token") >= 6) & F.col("token").rlike("[0-9@]")
+    rows = rows.select("left", "words", F.when(shaped, F.col("token")).alias("token"), F.xxhash64("token").alias("hash"))
+    word, bit = F.when(F.col("token").isNull(), F.expr("pmod(shiftright(hash, 6), words)")), F.when(F.col("token").isNull(), F.expr("shiftleft(1L, cast(hash & 63 as int))"))
+    return rows.select("left", "token", word.alias("word"), bit.alias("bits")).groupBy("left", "token", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def discover(d: DataFrame, seeds: DataFrame, min_support: int, min_confidence: float, min_score: float, min_share: float) -> tuple[DataFrame, DataFrame] | None:
+    """found: token, kind of the instances that contexts tell; places: h, left, token of each distinct text that holds
+    one, h its hash. None without any. seeds: left, token, kind."""
+    known, asked, bounds, read, edges, places, found = seeds, None, None, None, None, None, None
+    # Seeds of another shape (of `.@ab-c.de`, `ab-c.de` remains) may stand behind any left.
+    odd = seeds.select("token").where(~F.col("token").rlike("[0-9@]")).distinct().count()
     while True:
-        lefts = known.groupBy("left").agg(F.countDistinct("token").alias("n")).where(F.col("n") >= min_support).select("left")
-        if edges is not None:
-            lefts = lefts.join(edges.select("left").distinct(), "left", "left_anti")
-        lefts = written(lefts, "pii-lefts")
+        lefts = known.groupBy("left").agg(F.countDistinct("token").alias("n")).where(F.col("n") >= min_support)
+        lefts = written(_without(lefts, asked, "left"), "pii-lefts")
         if not lefts.isEmpty():
-            new = by_keys(_pairs(d), lefts, ["left"], "left_semi").select("left", _core(F.col("m")).alias("token")).distinct()
+            asked = _and(asked, lefts)
+            bounds = _and(bounds, written(_bounds(d, lefts), "pii-bounds"))
+        if bounds is None:
+            return None
+        kinds = known.select("token", "kind").distinct()
+        # Only lefts that can reach the confidence have what stands behind them written out.
+        least = bounds.groupBy("left").agg(F.sum(F.coalesce(F.bit_count("bits"), F.lit(1))).alias("least"))
+        told = bounds.where(F.col("token").isNotNull()).select("left", "token")
+        told = told if places is None else told.unionByName(places.select("left", "token")).distinct()
+        most = told.join(kinds, "token").groupBy("left", "kind").agg(F.count(F.lit(1)).alias("n")).groupBy("left").agg(F.max("n").alias("n"))
+        most = least.join(most, "left", "left").withColumn("n", F.coalesce("n", F.lit(0)) + odd)
+        able = most.where((F.col("n") >= min_support) & (F.col("n") / F.col("least") >= min_confidence)).select("left")
+        able = written(_without(able, read, "left"), "pii-able")
+        if not able.isEmpty():
+            read = _and(read, able)
+            new = by_keys(_pairs(d), able, ["left"], "left_semi").distinct()
             edges = _and(edges, written(new, "pii-edges"))
         if edges is None:
             return None
-        kinds = known.select("token", "kind").distinct()
         patterns = (
             edges.join(kinds, "token").groupBy("left", "kind").agg(F.count(F.lit(1)).alias("known"))
             .join(edges.groupBy("left").agg(F.count(F.lit(1)).alias("uses")), "left")
@@ -129,31 +174,29 @@ def discover(d: DataFrame, seeds: DataFrame, min_support: int, min_confidence: f
             .join(kinds.select("token").distinct(), "token", "left_anti")
         )
         candidates = written(candidates, "pii-candidates")
-        unplaced = candidates.select("token")
-        if places is not None:
-            unplaced = unplaced.join(places.select("token").distinct(), "token", "left_anti")
+        unplaced = written(_without(candidates.select("token"), places, "token"), "pii-unplaced")
         if not unplaced.isEmpty():
-            rows = _pairs(d, F.xxhash64("text").alias("h"), "text").select("h", "left", _core(F.col("m")).alias("token"))
-            new = by_keys(rows, unplaced, ["token"], "left_semi").distinct().groupBy("left", "token").agg(F.count(F.lit(1)).alias("n"))
+            new = by_keys(_pairs(d, h=F.xxhash64("text")), unplaced, ["token"], "left_semi").select("h", "left", "token").distinct()
             places = _and(places, written(new, "pii-places"))
         if places is None:
-            return found
+            return None
         share = F.sum(F.when(F.col("confidence").isNotNull(), F.col("n")).otherwise(0)) / F.sum("n")
+        counted = places.groupBy("left", "token").agg(F.count(F.lit(1)).alias("n"))
         fresh = (
-            places.join(candidates, "token").join(patterns, ["left", "kind"], "left")
+            counted.join(candidates, "token").join(patterns, ["left", "kind"], "left")
             .groupBy("token", "kind").agg(share.alias("share")).where(F.col("share") >= min_share).select("token", "kind")
         )
         fresh = written(fresh, "pii-found")
         if fresh.isEmpty():
-            return found
+            return None if found is None else (found, places)
         found = _and(found, fresh)
-        known = known.unionByName(places.where(F.length("left") > 0).join(fresh, "token").select("left", "token", "kind"))
+        known = known.unionByName(counted.where(F.length("left") > 0).join(fresh, "token").select("left", "token", "kind"))
 
 
-def _spans_of(d: DataFrame, kept: DataFrame, found: DataFrame) -> DataFrame:
+def _spans_of(d: DataFrame, kept: DataFrame, found: DataFrame, places: DataFrame) -> DataFrame:
     """key, extra: where the found instances stand, except where a fixed pattern has something already."""
-    held = d.select("key", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("m")).select("key", _core(F.col("m")).alias("token"))
-    keys = written(by_keys(held, found.select("token"), ["token"], "left_semi").select("key").distinct(), "pii-keys")
+    held = written(places.join(found, "token", "left_semi").select("h").distinct(), "pii-held")
+    keys = written(by_keys(d.withColumn("h", F.xxhash64("text")), held, ["h"], "left_semi").select("key").distinct(), "pii-keys")
     base = F.array_sort(F.concat(*[_placed(k, F.col(k)) for k in KINDS]))
     rows = by_keys(d, keys, ["key"], "left_semi").select("key", F.explode(regex_spans(F.col("text"), r"\S++")).alias("x")).distinct()
     s = F.col("x.s") + F.when(_trimmed(F.col("x.m")) != "", F.length(F.regexp_extract("x.m", r"^[^A-Za-z0-9+]*+", 0))).otherwise(0)
@@ -182,11 +225,11 @@ def find_personal_data(docs: DataFrame, min_support: int = 5, min_confidence: fl
     kept = base.withColumn("seen", F.when(held, seen)).select("doc_id", "key", *KINDS, F.when(held, let(index, _with_hits)).alias("seeds"))
     kept = written(kept, "pii-spans")
     seeds = written(kept.select(F.explode("seeds").alias("x")).select("x.*").distinct(), "pii-seeds")
-    found = discover(d, seeds, min_support, min_confidence, min_score, min_share)
+    told = discover(d, seeds, min_support, min_confidence, min_score, min_share)
     kept = kept.drop("seeds")
-    if found is None:
+    if told is None:
         return kept.withColumn("extra", F.lit(None).cast(EXTRA))
-    return by_keys(kept, written(_spans_of(d, kept, found), "pii-extra"), ["key"], "left")
+    return by_keys(kept, written(_spans_of(d, kept, *told), "pii-extra"), ["key"], "left")
 
 
 def op1_personal_data(spark, sf_dir: str) -> DataFrame:

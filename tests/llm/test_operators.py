@@ -133,6 +133,18 @@ def test_pii_copies_change_no_spans(spark, tmp_path):
     assert got.spans[99] == got.spans[1099] == got.spans[2099] == "email:25:46"
 
 
+def test_pii_common_words_leave_few_rows(spark, tmp_path, monkeypatch):
+    """Behind `the` stand seven known instances and 2,000 other tokens: no pattern, and no reason to write them all out."""
+    tables, keep = [], pii.written
+    monkeypatch.setattr(pii, "written", lambda df, name: tables.append((name, keep(df, name))) or tables[-1][1])
+    rows = [(i, f"of the w{''.join(chr(97 + int(c)) for c in str(i))} x") for i in range(2000)] + [(3000 + i, f"by the user{i}@example.com x") for i in range(7)]
+    rows += [(4000 + i, f"contact-mail: user{i}@example.com x") for i in range(20)] + [(5000, "contact-mail: ann(at)example-com x")]
+    got = run(spark, tmp_path, pii.op1_personal_data, rows).set_index("doc_id").spans
+    behind = lambda name, left: sum(t.where(pii.F.col("left") == left).count() for n, t in tables if n == name)
+    assert got[5000] == "email:14:32" and got[0] == "" and got[3000] == "email:7:24"
+    assert behind("pii-edges", "contact-mail:") == 21 and behind("pii-edges", "the") == 0 and behind("pii-bounds", "the") == 8
+
+
 # --- 2: Simple-8b
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
