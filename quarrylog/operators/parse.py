@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import registry
-from ..schema import EVENT_FIELDS
+from ..schema import EVENT_FIELDS, LATER
 from .detect import detect_format, test_of
 from .post import at_least
 
@@ -28,6 +28,27 @@ def _events_of(docs: DataFrame, entry: registry.Entry) -> DataFrame:
     return first_events(docs, [(F.lit(True), x) for x in entry.specs])
 
 
+def _rows_of(docs: DataFrame, entry: registry.Entry) -> DataFrame:
+    """An event a row, with _row, _file, its place _at and the columns that don't need others.
+
+    Where one parser does it, hits become rows and then columns, so that columns that nobody reads are never made.
+    """
+    if len(entry.specs) != 1:
+        return _as_rows(_events_of(docs, entry))
+    (spec,) = entry.specs
+    hits = _rows(docs.select("_row", "_file", "_text", F.expr(spec.after_sql(spec.hits_sql())).alias("_hits")), "_hits", "x", "_text")
+    return hits.select("_row", "_file", "_at", *[F.expr(spec.event(n)).alias(n) for n in EVENT_FIELDS if n not in LATER])
+
+
+def _as_rows(found: DataFrame) -> DataFrame:
+    return _rows(found, "_events", "_e").select("_row", "_file", "_at", *[F.col("_e")[n].alias(n) for n in EVENT_FIELDS if n not in LATER])
+
+
+def _rows(docs: DataFrame, array: str, element: str, *more: str) -> DataFrame:
+    """A row for each element. The outer form, as for the other Spark filters by the array's size first, and for that makes the whole array twice."""
+    return docs.select("_row", "_file", *more, F.posexplode_outer(array).alias("_at", element)).where(F.col("_at").isNotNull())
+
+
 def first_events(docs: DataFrame, tried: list) -> DataFrame:
     """docs with _events: those of the first of (condition, parser) that yields any for the text in `_text`, else none.
 
@@ -87,24 +108,23 @@ def parse_log(
             # The formats that occur, at most as many as there are formats: only they get a branch of the plan.
             present = {r[0] for r in base.select("_format").distinct().collect()}
             chosen = [e for e in chosen if e.name in present] or chosen[:1]
-        parts = [_events_of(base.where(F.col("_format") == e.name), e) for e in chosen]
-        found = reduce(lambda a, b: a.unionByName(b), parts)
+        parts = [_rows_of(base.where(F.col("_format") == e.name), e) for e in chosen]
+        rows = reduce(lambda a, b: a.unionByName(b), parts)
     else:
         chosen = [e for e in candidates if e.specs] or [registry.BUILT_IN["generic_lint"]]
         if not any(e.specs for e in candidates):
             base = base.where(F.lit(False))
         is_group = isinstance(format, str) and len(chosen) > 1 and "," not in format
         if len(chosen) == 1:
-            found = _events_of(base, chosen[0])
+            rows = _rows_of(base, chosen[0])
         else:
             # Members of a group also need the format's markers.
-            found = first_events(base, [(test_of(e, F.col("_text")) if is_group else F.lit(True), x) for e in chosen for x in e.specs])
-    rows = found.select("_row", "_file", F.posexplode("_events").alias("_at", "_e"))
+            rows = _as_rows(first_events(base, [(test_of(e, F.col("_text")) if is_group else F.lit(True), x) for e in chosen for x in e.specs]))
     from .patterns import with_patterns_in_rows
 
     values = {"event_id": (F.col("_at") + 1).cast("bigint"), "log_file": F.nullif(F.col("_file"), F.lit("")) if log_file else F.lit(None).cast("string")}
-    patterns = with_patterns_in_rows(F.col("_e"))
-    columns = [(values.get(n) if n in values else patterns.get(n) if n in patterns else F.col("_e")[n]).cast(t).alias(n) for n, t in EVENT_FIELDS.items()]
+    patterns = with_patterns_in_rows({n: F.col(n) for n in EVENT_FIELDS if n not in LATER})
+    columns = [(values.get(n) if n in values else patterns.get(n) if n in patterns else F.col(n)).cast(t).alias(n) for n, t in EVENT_FIELDS.items()]
     events = rows.select(*[F.col("_row")[c].alias(c) for c in keep], *columns)
     return events if severity_threshold.lower() == "all" else at_least(events, severity_threshold)
 

@@ -166,7 +166,9 @@ _SHARE = r"(\d+(?:\.\d+)?%)"
 
 
 def _share(group: int, kind: str, category: str, message: str, **more) -> dict:
-    value = f"try_cast(rtrim('%', {{{group}}}) AS double)"
+    # The share is told by different groups of rules 11 to 14; as one expression it makes one branch.
+    assert group == (4, 6, 3, 5)[("file_coverage", "file_branch_coverage", "total_coverage", "total_branch_coverage").index(category)]
+    value = "try_cast(rtrim('%', get(x.g, get(array(3, 5, 2, 4), x.rule - 11))) AS double)"
     level = lambda a, b, c: f"CASE WHEN {value} >= 90 THEN '{a}' WHEN {value} >= 75 THEN '{b}' ELSE '{c}' END"
     return {"event_type": f"={kind}", "category": f"={category}", "message": message, "status": level("PASS", "WARNING", "FAIL"), "severity": level("info", "warning", "error"), **_UNLINED, **more}
 

@@ -14,7 +14,10 @@ operation: no shuffle, event numbers by position, and Spark splits the work by d
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass, field
+from functools import cache
+from re import _parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,8 +51,74 @@ def double_of(text: str) -> str:
 
 
 def bound(name: str, value: str, body: str) -> str:
-    """SQL for `body`, in which `name` stands for `value`, computed once."""
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+    """SQL for `body`, in which `name` stands for `value`, computed once; a fold over nothing, as `transform` copies all that `body` gives."""
+    return f"aggregate(array(), {value}, (_held, _none) -> _held, {name} -> {body})"
+
+
+def switch(number: str, cases: dict, otherwise: str) -> str:
+    """SQL for the case of a number, by halving: Spark walks through the branches of a CASE inside a lambda."""
+    keys = sorted(cases)
+    if not keys:
+        return otherwise
+    if len(keys) == 1:
+        return f"if({number} = {keys[0]}, {cases[keys[0]]}, {otherwise})"
+    low, high = keys[: len(keys) // 2], keys[len(keys) // 2 :]
+    return f"if({number} < {high[0]}, {switch(number, {k: cases[k] for k in low}, otherwise)}, {switch(number, {k: cases[k] for k in high}, otherwise)})"
+
+
+def powers(size: str) -> str:
+    """SQL for the powers of two up to a size, the highest first."""
+    return f"CASE WHEN {size} > 0 THEN slice(array({', '.join(str(1 << b) for b in range(30, -1, -1))}), -length(bin({size})), length(bin({size}))) ELSE cast(array() AS array<int>) END"
+
+
+def _needed(parsed) -> list[tuple]:
+    """Of a parsed pattern: tuples of texts, of each of which one stands in whatever matches."""
+    out, run = [], ""
+    for op, value in [*parsed, (None, None)]:
+        if op is _parser.LITERAL:
+            run += chr(value)
+            continue
+        if run:
+            out.append((run,))
+        run = ""
+        if op is _parser.SUBPATTERN and not value[1] and not value[2]:
+            out += _needed(value[3])
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT, _parser.POSSESSIVE_REPEAT) and value[0] > 0:
+            out += _needed(value[2])
+        elif op is _parser.ATOMIC_GROUP:
+            out += _needed(value)
+        elif op is _parser.BRANCH:
+            each = [[n for n in _needed(b) if len(n) == 1] for b in value[1]]
+            if all(each):
+                out.append(tuple(max((n[0] for n in b), key=len) for b in each))
+    return out
+
+
+@cache
+def needed(pattern: str) -> tuple:
+    """Texts of which one at least stands in whatever a Java pattern matches; none if that isn't plain to see.
+
+    Patterns are read by Python's parser. What it reads as something else than Java does gives none: flags, \\v, sets within sets.
+    """
+    sets = re.findall(r"(?s)\\.|(\[\^?\]?(?:\\.|[^\]\\])*\])", pattern)
+    if re.search(r"\\[vQE]", pattern) or any("&&" in x or "[" in re.sub(r"(?s)\\.", "", x[1:]) or re.match(r"\[\^?\]", x) for x in sets):
+        return ()
+    try:
+        with warnings.catch_warnings():
+            warnings.simplefilter("error")
+            parsed = _parser.parse(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", pattern))
+    except (re.error, Warning, OverflowError, RecursionError):
+        return ()
+    if parsed.state.flags & (re.IGNORECASE | re.VERBOSE):
+        return ()
+    able = [n for n in _needed(parsed) if len(n) <= 4 and all(t.strip() and "\ufffd" not in t for t in n)]
+    return max(able, key=lambda n: (min(map(len, n)) - len(n), -len(n)), default=())
+
+
+def meets(text: str, pattern: str) -> str:
+    """SQL: the pattern occurs in a name's text. What it can't lack is looked for first, which is much cheaper."""
+    test, texts = f"{text} RLIKE {quoted('(?s)' + pattern)}", needed(pattern)
+    return f"(({' OR '.join(f'contains({text}, {quoted(t)})' for t in texts)}) AND {test})" if texts else test
 
 
 @dataclass
@@ -163,10 +232,9 @@ class Lines(Format):
         tests = " ".join(f"WHEN {self._meets(rule)} THEN {self._hit(number, rule)}" for number, rule in enumerate(self.tried))
         found = f"filter(transform(_lines, (line, i) -> CASE {tests} END), x -> x IS NOT NULL)"
         if self.carry:
-            head = f"CASE WHEN line RLIKE {quoted(self.carry)} THEN named_struct('n', i + 1, 'v', regexp_extract(line, {quoted(self.carry)}, 1)) END"
-            found = bound("_heads", f"filter(transform(_lines, (line, i) -> {head}), y -> y IS NOT NULL)", bound("_places", f"filter(array({', '.join(str(1 << k) for k in range(30, -1, -1))}), b -> b <= size(_heads))", f"transform({found}, x -> {self._carried()})"))
-        else:
-            found = f"transform({found}, x -> named_struct({_KEPT_OF_HIT}, 'carry', '', 'carry_no', cast(NULL AS int)))"
+            head = f"CASE WHEN {meets('line', self.carry)} THEN named_struct('n', i + 1, 'v', regexp_extract(line, {quoted(self.carry)}, 1)) END"
+            below = bound("_places", powers("size(_heads)"), f"transform(_met, x -> {self._carried()})")
+            found = bound("_met", found, bound("_heads", f"CASE WHEN size(_met) > 0 THEN filter(transform(_lines, (line, i) -> {head}), y -> y IS NOT NULL) END", f"CASE WHEN size(_heads) > 0 THEN {below} ELSE _met END"))
         found = bound("_lines", lines, found)
         if self.otherwise:
             none = f"named_struct('rule', {len(self.tried)}, 'line_no', 1, 'line_end', 1, 'line', '', 'g', array(''), 'carry', '', 'carry_no', cast(NULL AS int))"
@@ -180,13 +248,14 @@ class Lines(Format):
     def _meets(self, rule: Rule) -> str:
         """True where the rule's pattern occurs in the line; groups are only taken then."""
         source = self._source(rule)
-        return f"{source} RLIKE {quoted('(?s)' + rule.pattern)}" + (f" AND NOT {source} RLIKE {quoted(rule.unless)}" if rule.unless else "")
+        test = meets(source, rule.pattern) if rule.span == 1 else f"{source} RLIKE {quoted('(?s)' + rule.pattern)}"
+        return test + (f" AND NOT {source} RLIKE {quoted(rule.unless)}" if rule.unless else "")
 
     def _hit(self, number: int, rule: Rule) -> str:
         """The hit with all groups, taken in one pass: the line is rewritten to its groups and split."""
         groups = re.compile(re.sub(r"\(\?<([a-zA-Z]\w*)>", r"(?P<\1>", rule.pattern.replace("++", "+").replace("*+", "*"))).groups
         whole, put = quoted(f"(?s)^.*?(?:{rule.pattern}).*$"), quoted(SEP.join(f"${k + 1}" for k in range(groups)))
-        return f"named_struct('rule', {number}, 'line_no', i + 1, 'line_end', i + {rule.span}, 'line', line, 'g', split(regexp_replace({self._source(rule)}, {whole}, {put}), {quoted(SEP)}, -1))"
+        return f"named_struct('rule', {number}, 'line_no', i + 1, 'line_end', i + {rule.span}, 'line', line, 'g', split(regexp_replace({self._source(rule)}, {whole}, {put}), {quoted(SEP)}, -1), 'carry', '', 'carry_no', cast(NULL AS int))"
 
     @staticmethod
     def _carried() -> str:
@@ -201,20 +270,31 @@ class Lines(Format):
         own = {"log_content": "nullif(x.line, '')", "log_line_start": "x.line_no", "log_line_end": "x.line_end"}.get(name)
         if own and not any(name in r.columns for r in self.rules):
             return own
-        whens = []
+        kind, whens, fixed, groups = EVENT_FIELDS[name], {}, {}, {}
         for i, rule in enumerate(self.rules):
-            sql = rule.sql(name)
-            if sql is None and name in self.columns:
-                sql = Rule("", self.columns, rule.level).sql(name)
+            given = rule if rule.sql(name) is not None else Rule("", self.columns, rule.level)
+            sql = given.sql(name) or own or self.default(name)
             if sql is None:
-                sql = own or self.default(name)
-            if sql is not None:
-                whens.append((i, sql))
-        if not whens:
+                continue
+            value = given.columns.get(name)
+            if isinstance(value, int) and kind in ("string", "int"):
+                groups[i] = value - 1
+            elif re.fullmatch(r"'[^'\\]+'", sql):
+                fixed[i] = sql
+            else:
+                whens.setdefault(sql, []).append(i)
+        if not (whens or fixed or groups):
             return self.finished(name, None)
-        if len({s for _, s in whens}) == 1 and len(whens) == len(self.rules):
-            return self.finished(name, whens[0][1])
-        return self.finished(name, "CASE x.rule " + " ".join(f"WHEN {i} THEN {s}" for i, s in whens) + " END")
+        if len(whens) == 1 and not fixed and not groups and len(next(iter(whens.values()))) == len(self.rules):
+            return self.finished(name, next(iter(whens)))
+        # Fixed texts and groups are looked up by the rule's number: a branch for each would make methods that the JVM doesn't compile.
+        looked = lambda values: f"get(array({', '.join(str(values.get(i, 'NULL')) for i in range(len(self.rules)))}), x.rule)"
+        one = f"get(x.g, {looked(groups)})"
+        rest = [looked(fixed)] * bool(fixed) + [int_of(one) if kind == "int" else one] * bool(groups)
+        last = f"coalesce({', '.join(rest)})" if len(rest) > 1 else rest[0] if rest else "NULL"
+        if not whens:
+            return last if not groups and len(fixed) == len(self.rules) and kind == "string" else self.finished(name, last)
+        return self.finished(name, "CASE " + " ".join(f"WHEN x.rule IN ({', '.join(map(str, at))}) THEN {sql}" for sql, at in whens.items()) + f" ELSE {last} END")
 
 
 #: Lines that one running fold takes; the array it fills is copied as it grows, so long texts are folded in two levels.
@@ -250,54 +330,79 @@ class Machine(Lines):
     def _table(self, of) -> str:
         return "array(" + ", ".join(of(r, s) for r in range(len(self.rules)) for s in range(self.states)) + ")"
 
+    def _used(self, rule: int) -> tuple:
+        """Numbers of the values that a rule's columns name."""
+        texts = [str(v) for v in ({**self.columns, **self.rules[rule].columns}).values()]
+        return tuple(sorted({int(v) for t in (*texts, str(self.rules[rule].level)) for v in re.findall(r"\{v(\d+)\}", t)}))
+
+    def _values(self) -> str:
+        """SQL for the values of the hit `x`: only those that its rule names, and only the lines before it that these ask for."""
+        k = len(self.rules)
+
+        def placed(o: str, name: str, values: str) -> str:
+            asked = {int(r) for r in re.findall(rf"get\({name}\.last, (\d+)\)", values)}
+            before = ", ".join(f"coalesce(get(_at{r}, {halved(f'_at{r}', f'{o}.n - 1', f'_powers{r}')} - 1), -1)" if r in asked else "-1" for r in range(k))
+            return f"named_struct('n', {o}.n, 'rule', {o}.rule, 's', {o}.s, 'i', {o}.i, 'line', {o}.line, 'last', array({before}))"
+
+        none = "cast(array() AS array<string>)"
+        if not self.values:
+            return none
+        cases = {}
+        for r in range(k):
+            if used := self._used(r):
+                values = ", ".join(f"coalesce({v}, '')" if i in used else "''" for i, v in enumerate(self.values))
+                values = values.replace(_PLACED, placed("w", "q", values))
+                cases[r] = bound("o", placed("x", "o", values), f"array({values})")
+        return switch("x.rule", cases, none)
+
     def hits_sql(self) -> str:
         n, k = self.states, len(self.rules)
+        assert k < 63, "a line's rules are bits of a number"
         lines = f"split(CASE WHEN contains(_text, {quoted(MET)}) THEN translate(_text, {quoted(MET)}, ' ') ELSE _text END, '\\r?\\n')"
-        may = "filter(array(" + ", ".join(f"CASE WHEN line RLIKE {quoted('(?s)' + r.pattern)} THEN {i} END" for i, r in enumerate(self.tried)) + "), r -> r IS NOT NULL)"
-        marked = f"filter(transform(_lines, (line, i) -> named_struct('i', i + 1, 'line', line, 'may', {may})), m -> size(m.may) > 0)"
+        may = " | ".join(f"if({meets('line', r.pattern)}, {1 << i}L, 0L)" for i, r in enumerate(self.tried))
+        marked = f"filter(transform(_lines, (line, i) -> named_struct('i', i + 1, 'line', line, 'may', {may})), m -> m.may <> 0L)"
         if self.end:
-            marked = f"CASE WHEN _text = '' THEN array() ELSE concat({marked}, array(named_struct('i', size(_lines) - CASE WHEN element_at(_lines, -1) = '' THEN 1 ELSE 0 END, 'line', '', 'may', array({k - 1})))) END"
-        meets = self._table(lambda r, s: str(s in self.moves.get(r, range(n))).lower())
+            marked = f"CASE WHEN _text = '' THEN array() ELSE concat({marked}, array(named_struct('i', size(_lines) - CASE WHEN element_at(_lines, -1) = '' THEN 1 ELSE 0 END, 'line', '', 'may', {1 << (k - 1)}L))) END"
+        able = ", ".join(f"{sum(1 << r for r in range(k) if s in self.moves.get(r, range(n)))}L" for s in range(n))
         leads = self._table(lambda r, s: str(self.moves.get(r, {}).get(s, s)))
         gives = self._table(lambda r, s: str(s in self.emits.get(r, range(n))).lower())
         # The fold holds small numbers only: Spark may copy what it holds at each line. A line's number is rule * states + state, or -1.
-        code = f"coalesce(get(filter(m.may, r -> element_at({meets}, r * {n} + a.s + 1)), 0) * {n} + a.s, -1)"
-        step = bound("r", code, f"named_struct('s', CASE WHEN r < 0 THEN a.s ELSE element_at({leads}, r + 1) END, 'out', array_append(a.out, r))")
+        # The rule is the lowest of those that the line may meet, c, and that meet in the state.
+        code = bound("c", f"m.may & get(array({able}), a.s)", f"if(c = 0L, -1, (bit_count(c ^ (c - 1L)) - 1) * {n} + a.s)")
+        step = bound("r", code, f"named_struct('s', if(r < 0, a.s, element_at({leads}, r + 1)), 'out', array_append(a.out, r))")
         codes = _in_parts("_marked", "'s', 0", "'s', b.s", "'s', p.s", "int", step)
-        spots = f"transform(_marked, (m, j) -> named_struct('n', j, 'rule', CASE WHEN get(_codes, j) < 0 THEN -1 ELSE cast(get(_codes, j) DIV {n} AS int) END, 's', pmod(get(_codes, j), {n}), 'i', m.i, 'line', m.line))"
-        groups = "CASE o.rule " + " ".join(f"WHEN {i} THEN {self._groups(r)}" for i, r in enumerate(self.tried)) + " ELSE cast(array() AS array<string>) END"
-        values = f"array({', '.join(f'coalesce({v}, {chr(39) * 2})' for v in self.values)})" if self.values else "cast(array() AS array<string>)"
+        spots = f"transform(_marked, (m, j) -> named_struct('n', j, 'rule', if(get(_codes, j) < 0, -1, cast(get(_codes, j) DIV {n} AS int)), 's', pmod(get(_codes, j), {n}), 'i', m.i, 'line', m.line))"
+        groups = switch("x.rule", {i: self._groups(r) for i, r in enumerate(self.tried)}, "cast(array() AS array<string>)")
+        values = self._values()
         asked = sorted({int(x) for x in re.findall(r"get\(\w+\.last, (\d+)\)", values)})
-        before = lambda o: "array(" + ", ".join(f"coalesce(get(_at{r}, {halved(f'_at{r}', f'{o}.n - 1')} - 1), -1)" if r in asked else "-1" for r in range(k)) + ")"
-        placed = lambda o: f"named_struct('n', {o}.n, 'rule', {o}.rule, 's', {o}.s, 'i', {o}.i, 'line', {o}.line, 'last', {before(o)})"
-        values = values.replace(_PLACED, placed("w"))
-        hit = f"named_struct('rule', o.rule, 'line_no', o.i, 'line_end', o.i, 'line', o.line, 'g', {groups}, 'carry', '', 'carry_no', cast(NULL AS int), 'v', {values})"
-        hits = f"transform(filter(_spots, x -> x.rule >= 0 AND element_at({gives}, x.rule * {n} + x.s + 1)), x -> {bound('o', placed('x'), hit)})"
+        hit = f"named_struct('rule', x.rule, 'line_no', x.i, 'line_end', x.i, 'line', x.line, 'g', {groups}, 'carry', '', 'carry_no', cast(NULL AS int), 'v', {values})"
+        hits = f"transform(filter(_spots, x -> x.rule >= 0 AND element_at({gives}, x.rule * {n} + x.s + 1)), x -> {hit})"
         if self.closes:
             inside = lambda rules: f"({', '.join(map(str, rules))})"
             some = f"filter(_spots, x -> x.rule IN {inside((*self.opens, *self.closes))})"
             opened = f"named_struct('open', CASE WHEN m.rule IN {inside(self.opens)} THEN array_append(a.open, m.n) WHEN size(a.open) > 0 THEN slice(a.open, 1, size(a.open) - 1) ELSE a.open END, "
             pair = f"'out', CASE WHEN m.rule IN {inside(self.closes)} AND size(a.open) > 0 THEN array_append(a.out, named_struct('n', get(a.open, size(a.open) - 1), 'by', m.n)) ELSE a.out END)"
             pairs = _in_parts("_some", "'open', cast(array() AS array<int>)", "'open', b.open", "'open', p.open", "struct<n:int,by:int>", opened + pair)
-            hits = bound("_pairs", bound("_some", some, f"array_sort({pairs})"), bound("_paired", "transform(_pairs, y -> y.n)", hits))
+            hits = bound("_pairs", bound("_some", some, f"array_sort({pairs})"), bound("_paired", "transform(_pairs, y -> y.n)", bound("_powers", powers("size(_paired)"), hits)))
         for r in asked:
-            hits = bound(f"_at{r}", f"transform(filter(_spots, y -> y.rule = {r}), y -> y.n)", hits)
-        hits = bound("_powers", f"filter(array({', '.join(str(1 << b) for b in range(30, -1, -1))}), b -> b <= size(_marked))", hits)
+            hits = bound(f"_at{r}", f"transform(filter(_spots, y -> y.rule = {r}), y -> y.n)", bound(f"_powers{r}", powers(f"size(_at{r})"), hits))
         return bound("_lines", lines, bound("_marked", marked, f"CASE WHEN size(_marked) = 0 THEN NULL ELSE {bound('_codes', codes, bound('_spots', spots, hits))} END"))
 
     @staticmethod
     def _groups(rule: Rule) -> str:
         groups = re.compile(rule.pattern).groups
-        return f"split(regexp_replace(o.line, {quoted(f'(?s)^.*?(?:{rule.pattern}).*$')}, {quoted(SEP.join(f'${k + 1}' for k in range(groups)))}), {quoted(SEP)}, -1)"
+        if not groups:
+            return "array('')"
+        return f"split(regexp_replace(x.line, {quoted(f'(?s)^.*?(?:{rule.pattern}).*$')}, {quoted(SEP.join(f'${k + 1}' for k in range(groups)))}), {quoted(SEP)}, -1)"
 
 
 #: Stands in `values` for a line of the fold with what stood before it.
 _PLACED = "<placed>"
 
 
-def halved(numbers: str, most: str) -> str:
+def halved(numbers: str, most: str, powers: str = "_powers") -> str:
     """SQL for how many of an array of rising numbers are at most `most`, by halving."""
-    return f"aggregate(_powers, 0, (at, b) -> CASE WHEN at + b <= size({numbers}) AND get({numbers}, at + b - 1) <= {most} THEN at + b ELSE at END)"
+    return f"aggregate({powers}, 0, (at, b) -> CASE WHEN at + b <= size({numbers}) AND get({numbers}, at + b - 1) <= {most} THEN at + b ELSE at END)"
 
 
 def _in_parts(array: str, first: str, going: str, gone: str, kind: str, step: str) -> str:
