@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ STEPS = (
     (r"\b\d+\b", "<num>"),
     (r"\s+", " "),
 )
+#: What a message needs for any step to change it, and for any but those of PLAIN: the others each look for one of these.
+NEEDED, MARKED = r"[/\\:'\"\d\t\n]", r"[/\\:'\".]|0[xX]"
+PLAIN = tuple(s for s in STEPS if s[0] in (r"line\s+\d+", r"column\s+\d+", r"\b\d{6,}\b", r"\b\d+\b", r"\s+"))
 #: Words that make two messages alike.
 KEYWORDS = ("error", "warning", "failed", "exception", "timeout", "permission", "not found")
 #: Root cause by the first list of which the lower-cased message has a part.
@@ -45,19 +50,21 @@ def normalise(message: Column) -> Column:
     Messages with no digit, quote, slash, colon or white space but blanks are only lower-cased and trimmed.
     """
     low = F.lower(message)
-    out = low
-    for pattern, text in STEPS:
-        out = F.regexp_replace(out, pattern, text)
-    return F.trim(F.when(message.rlike(r"[/\\:'\"\d\t\n]"), out).otherwise(low))
+
+    def after(steps):
+        return reduce(lambda out, step: F.regexp_replace(out, *step), steps, low)
+
+    return F.trim(F.when(~message.rlike(NEEDED), low).when(message.rlike(MARKED), after(STEPS)).otherwise(after(PLAIN)))
 
 
 def normalised_sql(message: str) -> str:
     """`normalise` as SQL over a name."""
-    out = f"lower({message})"
-    for pattern, text in STEPS:
-        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(text)})"
-    needed = r"[/\\:'\"\d\t\n]"
-    return f"trim(CASE WHEN {message} RLIKE {quoted(needed)} THEN {out} ELSE lower({message}) END)"
+    low = f"lower({message})"
+
+    def after(steps):
+        return reduce(lambda out, step: f"regexp_replace({out}, {quoted(step[0])}, {quoted(step[1])})", steps, low)
+
+    return f"trim(CASE WHEN NOT {message} RLIKE {quoted(NEEDED)} THEN {low} WHEN {message} RLIKE {quoted(MARKED)} THEN {after(STEPS)} ELSE {after(PLAIN)} END)"
 
 
 def fingerprint_sql(tool: str, category: str, message: str) -> str:
@@ -69,7 +76,7 @@ def fingerprint(tool: Column, category: Column, message: Column) -> Column:
     return F.concat_ws("_", tool, category, F.lower(F.hex(F.xxhash64(text))))
 
 
-def with_patterns_in_rows(e: Column) -> dict[str, Column]:
+def with_patterns_in_rows(e: Column | dict[str, Column]) -> dict[str, Column]:
     """What an event tells by itself. pattern_id needs the whole document: see with_pattern_ids."""
     return {"fingerprint": fingerprint(e["tool_name"], e["category"], e["message"]), "similarity_score": F.when(e["message"] != "", F.lit(1.0)), "pattern_id": F.lit(None).cast("bigint")}
 
@@ -81,12 +88,21 @@ def with_pattern_ids(events: DataFrame, *document: str) -> DataFrame:
     are few, and joined back, so that a document with very many events is never sorted as one.
     """
     keys = list(document)
-    first = events.groupBy(*keys, "fingerprint").agg(F.min("event_id").alias("_first"))
-    numbered = first.withColumn("_id", F.row_number().over(Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_first")).cast("bigint")).drop("_first")
+    numbered = _numbered(events, keys).drop("n")
     joined = events.drop("pattern_id").alias("e").join(numbered.alias("p"), [F.col(f"e.{k}").eqNullSafe(F.col(f"p.{k}")) for k in (*keys, "fingerprint")], "left")
     return joined.select(*[F.col(f"e.{c}") if c != "pattern_id" else F.col("p._id").alias("pattern_id") for c in events.columns])
 
 
+def pattern_counts(events: DataFrame, *document: str) -> DataFrame:
+    """`document`, pattern_id as in with_pattern_ids, fingerprint and n, the number of its events: texts are parsed once, as nothing is joined back."""
+    return _numbered(events, list(document)).select(*document, F.col("_id").alias("pattern_id"), "fingerprint", "n")
+
+
+def _numbered(events: DataFrame, keys: list[str]) -> DataFrame:
+    first = events.groupBy(*keys, "fingerprint").agg(F.min("event_id").alias("_first"), F.count(F.lit(1)).alias("n"))
+    return first.withColumn("_id", F.row_number().over(Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_first")).cast("bigint")).drop("_first")
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Equal characters by position over the longer length, and 0.1 for each keyword both have; at most 1."""
     same = F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0)))
