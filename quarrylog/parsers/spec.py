@@ -335,25 +335,29 @@ class Machine(Lines):
         texts = [str(v) for v in ({**self.columns, **self.rules[rule].columns}).values()]
         return tuple(sorted({int(v) for t in (*texts, str(self.rules[rule].level)) for v in re.findall(r"\{v(\d+)\}", t)}))
 
-    def _values(self) -> str:
-        """SQL for the values of the hit `x`: only those that its rule names, and only the lines before it that these ask for."""
-        k = len(self.rules)
+    def _values(self) -> tuple[str, list]:
+        """SQL for the values of the hit `x`, and the rules that it asks for: only values that the hit's rule names, and only the lines before it that these ask for."""
+
+        def asked_of(name: str, values: str) -> list:
+            return sorted({int(r) for r in re.findall(rf"get\({name}\.last, (\d+)\)", values)})
 
         def placed(o: str, name: str, values: str) -> str:
-            asked = {int(r) for r in re.findall(rf"get\({name}\.last, (\d+)\)", values)}
-            before = ", ".join(f"coalesce(get(_at{r}, {halved(f'_at{r}', f'{o}.n - 1', f'_powers{r}')} - 1), -1)" if r in asked else "-1" for r in range(k))
-            return f"named_struct('n', {o}.n, 'rule', {o}.rule, 's', {o}.s, 'i', {o}.i, 'line', {o}.line, 'last', array({before}))"
-
-        none = "cast(array() AS array<string>)"
-        if not self.values:
-            return none
-        cases = {}
-        for r in range(k):
-            if used := self._used(r):
-                values = ", ".join(f"coalesce({v}, '')" if i in used else "''" for i, v in enumerate(self.values))
-                values = values.replace(_PLACED, placed("w", "q", values))
-                cases[r] = bound("o", placed("x", "o", values), f"array({values})")
-        return switch("x.rule", cases, none)
+            before = "".join(f", 'last{r}', coalesce(get(_at{r}, {halved(f'_at{r}', f'{o}.n - 1', f'_powers{r}')} - 1), -1)" for r in asked_of(name, values))
+            return f"named_struct('n', {o}.n, 'rule', {o}.rule, 'i', {o}.i, 'line', {o}.line{before})"
+
+        none, cases, asked = "cast(array() AS array<string>)", {}, set()
+        for r in range(len(self.rules)) if self.values else ():
+            used = self._used(r)
+            if not used:
+                continue
+            values = ", ".join(f"coalesce({v}, '')" if i in used else "''" for i, v in enumerate(self.values))
+            block = f"array({values})"
+            if _CLOSED in values:
+                # The line that closed `o`, w, is looked up once for all values.
+                block = bound("w", f"{bound('z', _PAIR, 'CASE WHEN z.n = o.n THEN get(_spots, z.by) END')}", bound("q", f"CASE WHEN {_CLOSED} THEN {placed('w', 'q', values)} END", block))
+            asked |= {*asked_of("o", values), *asked_of("q", values)}
+            cases[r] = re.sub(r"get\((\w+)\.last, (\d+)\)", r"\1.last\2", bound("o", placed("x", "o", values), block))
+        return switch("x.rule", cases, none), sorted(asked)
 
     def hits_sql(self) -> str:
         n, k = self.states, len(self.rules)
@@ -373,8 +377,7 @@ class Machine(Lines):
         codes = _in_parts("_marked", "'s', 0", "'s', b.s", "'s', p.s", "int", step)
         spots = f"transform(_marked, (m, j) -> named_struct('n', j, 'rule', if(get(_codes, j) < 0, -1, cast(get(_codes, j) DIV {n} AS int)), 's', pmod(get(_codes, j), {n}), 'i', m.i, 'line', m.line))"
         groups = switch("x.rule", {i: self._groups(r) for i, r in enumerate(self.tried)}, "cast(array() AS array<string>)")
-        values = self._values()
-        asked = sorted({int(x) for x in re.findall(r"get\(\w+\.last, (\d+)\)", values)})
+        values, asked = self._values()
         hit = f"named_struct('rule', x.rule, 'line_no', x.i, 'line_end', x.i, 'line', x.line, 'g', {groups}, 'carry', '', 'carry_no', cast(NULL AS int), 'v', {values})"
         hits = f"transform(filter(_spots, x -> x.rule >= 0 AND element_at({gives}, x.rule * {n} + x.s + 1)), x -> {hit})"
         if self.closes:
@@ -396,15 +399,15 @@ class Machine(Lines):
         return f"split(regexp_replace(x.line, {quoted(f'(?s)^.*?(?:{rule.pattern}).*$')}, {quoted(SEP.join(f'${k + 1}' for k in range(groups)))}), {quoted(SEP)}, -1)"
 
 
-#: Stands in `values` for a line of the fold with what stood before it.
-_PLACED = "<placed>"
-
-
 def halved(numbers: str, most: str, powers: str = "_powers") -> str:
     """SQL for how many of an array of rising numbers are at most `most`, by halving."""
     return f"aggregate({powers}, 0, (at, b) -> CASE WHEN at + b <= size({numbers}) AND get({numbers}, at + b - 1) <= {most} THEN at + b ELSE at END)"
 
 
+#: That `o` was closed, and the pair that tells by which line, if its n is that of `o`.
+_CLOSED, _PAIR = "w IS NOT NULL", f"get(_pairs, {halved('_paired', 'o.n')} - 1)"
+
+
 def _in_parts(array: str, first: str, going: str, gone: str, kind: str, step: str) -> str:
     """SQL for what a fold over `array` puts out, in two levels; `step` is over what is held, `a`, and an element, `m`."""
     empty = f"cast(array() AS array<{kind}>)"
@@ -427,9 +430,7 @@ def between(patterns: dict, since: int, o: str = "o") -> str:
 
 def closed_by(body: str) -> str:
     """SQL for `body` over `q`, the line that closed `o`; null where none did."""
-    pair = f"get(_pairs, {halved('_paired', 'o.n')} - 1)"
-    closer = bound("w", f"get(transform(array({pair}), z -> CASE WHEN z.n = o.n THEN get(_spots, z.by) END), 0)", f"CASE WHEN w IS NOT NULL THEN {bound('q', _PLACED, body)} END")
-    return closer
+    return f"CASE WHEN {_CLOSED} THEN {body} END"
 
 
 @dataclass
